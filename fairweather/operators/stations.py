@@ -7,11 +7,10 @@ from a station list and station information read apart.
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fairweather.functions.dates import parse_validity
-from fairweather.functions.geo import degree_distance
 from fairweather.functions.text import department_key
 
 PLACE_DAY = ["latitude", "longitude", "departement", "day"]
@@ -21,8 +20,6 @@ PLACE_DAY = ["latitude", "longitude", "departement", "day"]
 FINEST_CELL = 0.01
 LEVELS = 11
 WHOLE = LEVELS
-_CELL = ["departement", "year", "level", "cell_x", "cell_y"]
-_PLACE_YEAR = ["place", "latitude", "longitude", "departement", "year"]
 
 
 def join_station_info(stations: DataFrame, information: DataFrame) -> DataFrame:
@@ -100,104 +97,102 @@ def station_valid_on_day(days: DataFrame, stations: DataFrame, as_of: dt.datetim
     )
 
 
-def _cell_size() -> Column:
-    return F.lit(FINEST_CELL) * F.pow(F.lit(2.0), F.col("level"))
-
-
-def _cell(coordinate: str) -> Column:
-    return F.when(F.col("level") == WHOLE, F.lit(0).cast("bigint")).otherwise(
-        F.floor(F.col(coordinate) / _cell_size())
-    )
-
-
-def _in_cells(df: DataFrame, latitude: str, longitude: str) -> DataFrame:
-    """Each row once per grid level, with its own cell at that level."""
-    return df.withColumn("level", F.explode(F.sequence(F.lit(0), F.lit(WHOLE)))).withColumns(
-        {"cell_x": _cell(latitude), "cell_y": _cell(longitude)}
-    )
-
-
-def _cells_within(coordinate: str, reach: Column) -> Column:
-    """Cell numbers, at the row's level, that meet ``coordinate`` plus or minus ``reach``."""
-    whole = F.array(F.lit(0).cast("bigint"))
-    low, high = F.col(coordinate) - reach, F.col(coordinate) + reach
-    return F.when(F.col("level") == WHOLE, whole).otherwise(
-        F.sequence(F.floor(low / _cell_size()), F.floor(high / _cell_size()))
-    )
-
-
-def _valid_all_year() -> Column:
-    new_year = F.make_date(F.col("year"), F.lit(1), F.lit(1))
-    year_end = F.make_date(F.col("year"), F.lit(12), F.lit(31))
-    return _valid_on(new_year) & _valid_on(year_end)
-
-
-def _reach(place_years: DataFrame, active: DataFrame) -> DataFrame:
-    """For each place and year, a distance within which there surely is a station all year long.
-
-    Every grid cell keeps the bounding box of its stations that are valid the
-    whole year. A place looks up its own cell at each level: some station lies
-    in the box, so none of them is farther than the box's far corner. The least
-    of these distances is the reach; it is null if the department has no
-    all-year station.
-    """
-    boxes = (
-        _in_cells(active.where(F.col("all_year")), "lat", "lon")
-        .groupBy(*_CELL)
-        .agg(
-            F.min("lat").alias("south"),
-            F.max("lat").alias("north"),
-            F.min("lon").alias("west"),
-            F.max("lon").alias("east"),
-        )
-    )
-    latitude, longitude = F.col("latitude"), F.col("longitude")
-    d_lat = F.greatest(F.abs(latitude - F.col("south")), F.abs(latitude - F.col("north")))
-    d_lon = F.greatest(F.abs(longitude - F.col("west")), F.abs(longitude - F.col("east")))
-    return (
-        _in_cells(place_years, "latitude", "longitude")
-        .join(boxes, _CELL, "left")
-        .groupBy(*_PLACE_YEAR)
-        .agg(F.min(F.sqrt(d_lat * d_lat + d_lon * d_lon)).alias("reach"))
-    )
-
-
-def _candidates(place_years: DataFrame, active: DataFrame) -> DataFrame:
-    """For each place and year, the stations that can be nearest on some day of the year.
-
-    The search looks at the cells that meet the square of the reach around the
-    place, at the level whose cells are at least that large: at most four by
-    four cells. Without a reach it looks at the whole department. Of what it
-    finds, everything beyond the nearest all-year station is left out.
-    """
-    # a margin above rounding, so that no station on the edge is missed
-    reach = F.col("reach") * 1.000001 + 1e-9
-    level = F.lit(None).cast("int")
-    for number in reversed(range(LEVELS)):
-        level = F.when(F.col("reach") <= FINEST_CELL * 2**number, F.lit(number)).otherwise(level)
-
-    search = (
-        _reach(place_years, active)
-        .withColumn("level", F.coalesce(level, F.lit(WHOLE)))
-        .withColumn("cell_x", F.explode(_cells_within("latitude", reach)))
-        .withColumn("cell_y", F.explode(_cells_within("longitude", reach)))
-    )
-    distance = degree_distance(F.col("latitude"), F.col("longitude"), F.col("lat"), F.col("lon"))
-    nearest_all_year = F.min(F.when(F.col("all_year"), F.col("distance"))).over(
-        Window.partitionBy("place")
-    )
-    return (
-        search.join(_in_cells(active, "lat", "lon"), _CELL)
-        .withColumn("distance", distance)
-        # an infinite or undefined distance is never the least one
-        .where(F.col("distance") < float("inf"))
-        .where(F.col("reach").isNull() | (F.col("distance") <= reach))
-        .withColumn("nearest_all_year", nearest_all_year)
-        .where(
-            F.col("nearest_all_year").isNull() | (F.col("distance") <= F.col("nearest_all_year"))
-        )
-        .select("place", "distance", "list_pos", "id", "valid_from", "valid_to")
-    )
+def _cell_size(level: str) -> str:
+    return f"({FINEST_CELL}D * power(2D, {level}))"
+
+
+def _own_cells(latitude: str, longitude: str) -> str:
+    """SQL for the cell of a point at level ``l.level``."""
+    size = _cell_size("l.level")
+    return f"""
+        l.level AS level,
+        CASE WHEN l.level = {WHOLE} THEN 0 ELSE floor({latitude} / {size}) END AS cell_x,
+        CASE WHEN l.level = {WHOLE} THEN 0 ELSE floor({longitude} / {size}) END AS cell_y"""
+
+
+def _cells_within(coordinate: str) -> str:
+    """SQL for the cells, at the row's level, that meet a coordinate plus or minus the reach."""
+    size = _cell_size("level")
+    low, high = f"floor(({coordinate} - reach) / {size})", f"floor(({coordinate} + reach) / {size})"
+    return f"CASE WHEN level = {WHOLE} THEN array(0L) ELSE sequence({low}, {high}) END"
+
+
+# One statement: every step is a subquery, so Spark analyses the search once.
+#
+# place      one text for place and year; a key of doubles would be normalised,
+#            and shuffled, anew for every join and aggregation
+# active     each station once per year that is asked for and that it touches
+# boxes      the bounding box of the all-year stations of every grid cell
+# reaches    a distance within which there surely is a station all year long: a
+#            place looks up its own cell at each level, some station lies in the
+#            box there, and none of them is farther than the far corner; the
+#            margin is above rounding, so that no station on the edge is missed
+# searched   the cells that meet the square of the reach around a place, at the
+#            level whose cells are at least that large: at most four by four;
+#            the whole department where there is no reach
+# candidates the stations in these cells that can be nearest on some day: none
+#            beyond the nearest all-year station, and never one at an infinite
+#            or undefined distance
+_NEAREST = f"""
+WITH dated AS (
+    SELECT *, year(day) AS year,
+           concat_ws('_', latitude, longitude, year(day), departement) AS place
+    FROM {{keys}}
+), place_years AS (
+    SELECT DISTINCT place, latitude, longitude, departement, year FROM dated WHERE year IS NOT NULL
+), active AS (
+    SELECT s.*, y.year,
+           s.valid_from <= CAST(make_date(y.year, 1, 1) AS TIMESTAMP_NTZ)
+               AND s.valid_to >= CAST(make_date(y.year, 12, 31) AS TIMESTAMP_NTZ) AS all_year
+    FROM {{stations}} s
+    JOIN (SELECT DISTINCT departement, year FROM place_years) y
+      ON s.departement = y.departement AND y.year BETWEEN year(s.valid_from) AND year(s.valid_to)
+), station_cells AS (
+    SELECT s.*, {_own_cells("s.lat", "s.lon")}
+    FROM active s LATERAL VIEW explode(sequence(0, {WHOLE})) l AS level
+), boxes AS (
+    SELECT departement, year, level, cell_x, cell_y,
+           min(lat) AS south, max(lat) AS north, min(lon) AS west, max(lon) AS east
+    FROM station_cells WHERE all_year
+    GROUP BY departement, year, level, cell_x, cell_y
+), place_cells AS (
+    SELECT p.*, {_own_cells("p.latitude", "p.longitude")}
+    FROM place_years p LATERAL VIEW explode(sequence(0, {WHOLE})) l AS level
+), reaches AS (
+    SELECT place, latitude, longitude, departement, year,
+           min(sqrt(
+               power(greatest(abs(latitude - south), abs(latitude - north)), 2)
+               + power(greatest(abs(longitude - west), abs(longitude - east)), 2)
+           )) * 1.000001D + 1e-9D AS reach
+    FROM place_cells LEFT JOIN boxes USING (departement, year, level, cell_x, cell_y)
+    GROUP BY place, latitude, longitude, departement, year
+), levelled AS (
+    SELECT *, CASE WHEN reach IS NULL THEN {WHOLE}
+                   ELSE least(greatest(CAST(ceil(log2(reach / {FINEST_CELL}D)) AS INT), 0), {WHOLE})
+              END AS level
+    FROM reaches
+), searched AS (
+    SELECT l.*, x.cell_x, y.cell_y
+    FROM levelled l
+    LATERAL VIEW explode({_cells_within("latitude")}) x AS cell_x
+    LATERAL VIEW explode({_cells_within("longitude")}) y AS cell_y
+), in_reach AS (
+    SELECT place, reach, id, list_pos, valid_from, valid_to, all_year,
+           sqrt((latitude - lat) * (latitude - lat) + (longitude - lon) * (longitude - lon)) AS distance
+    FROM searched JOIN station_cells USING (departement, year, level, cell_x, cell_y)
+), candidates AS (
+    SELECT * FROM (
+        SELECT *, min(CASE WHEN all_year THEN distance END) OVER (PARTITION BY place) AS enough
+        FROM in_reach
+        WHERE distance < double('infinity') AND (reach IS NULL OR distance <= reach)
+    ) WHERE enough IS NULL OR distance <= enough
+)
+SELECT /* columns */, min(CASE
+           WHEN c.valid_from <= CAST(d.day AS TIMESTAMP_NTZ) AND c.valid_to >= CAST(d.day AS TIMESTAMP_NTZ)
+           THEN struct(c.distance, c.list_pos, c.id) END).id AS station_id
+FROM dated d LEFT JOIN candidates c ON d.place = c.place
+GROUP BY d.place, /* columns */
+"""
 
 
 def nearest_station(keys: DataFrame, stations: DataFrame, as_of: dt.datetime) -> DataFrame:
@@ -215,20 +210,9 @@ def nearest_station(keys: DataFrame, stations: DataFrame, as_of: dt.datetime) ->
     may, and adaptive execution splits those: nothing downstream needs their
     partitioning.
     """
-    columns = keys.columns
-    # One text for place and year: a key of doubles would be normalised anew,
-    # and shuffled anew, for every join and aggregation.
-    keys = keys.withColumn("year", F.year("day")).withColumn(
-        "place", F.concat_ws("_", "latitude", "longitude", "year", "departement")
-    )
-    place_years = keys.where(F.col("year").isNotNull()).select(*_PLACE_YEAR).distinct()
-    active = _in_years(
-        station_validity(stations, as_of), place_years.select("departement", "year").distinct()
-    ).withColumn("all_year", _valid_all_year())
-    best = F.min(F.when(_valid_on(F.col("day")), F.struct("distance", "list_pos", "id")))
-    return (
-        keys.join(_candidates(place_years, active), "place", "left")
-        .groupBy("place", *columns)
-        .agg(best.alias("best"))
-        .select(*columns, F.col("best.id").alias("station_id"))
+    columns = ", ".join(f"d.`{name}`" for name in keys.columns)
+    return keys.sparkSession.sql(
+        _NEAREST.replace("/* columns */", columns),
+        keys=keys,
+        stations=station_validity(stations, as_of),
     )
