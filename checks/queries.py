@@ -15,7 +15,7 @@ from fairweather.operators import geocoding as geo
 from fairweather.operators import keys as key
 from fairweather.operators import stations as st
 from fairweather.operators import weather as wx
-from fairweather.session import scratch_path
+from fairweather.session import materialize, scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -58,18 +58,25 @@ def _typed(located: DataFrame) -> DataFrame:
 
 
 def _place_days(spark: SparkSession, sf: str) -> DataFrame:
-    return _typed(key.distinct_combinations(_located(spark, sf))).select(*st.PLACE_DAY).distinct()
+    """Distinct places and days; written out, because the search reads them several times."""
+    combinations = _typed(key.distinct_combinations(_located(spark, sf)))
+    return materialize(combinations.select(*st.PLACE_DAY).distinct(), "place-days")
 
 
 def _found(spark: SparkSession, sf: str) -> DataFrame:
     return st.nearest_station(_place_days(spark, sf), fx.stations(spark, sf), fx.AS_OF)
 
 
+def _found_once(spark: SparkSession, sf: str) -> DataFrame:
+    """The same for queries that count their keys before they join them."""
+    return materialize(_found(spark, sf), "found")
+
+
 def _observed(spark: SparkSession, sf: str) -> DataFrame:
     """Weather by place and day, values read."""
     weather = fx.weather(spark, sf)
     return wx.parse_weather(
-        wx.weather_lookup(_found(spark, sf), weather), values=["rr", "QRR", "tn", "vide"]
+        wx.weather_lookup(_found_once(spark, sf), weather), values=["rr", "QRR", "tn", "vide"]
     )
 
 
@@ -307,7 +314,7 @@ def station_valid_on_day(spark: SparkSession, sf: str) -> DataFrame:
 @register
 def weather_lookup(spark: SparkSession, sf: str) -> DataFrame:
     """One lookup per distinct station and day."""
-    station_days = _found(spark, sf).select("station_id", "day").distinct()
+    station_days = _found_once(spark, sf).select("station_id", "day").distinct()
     return wx.weather_lookup(station_days, fx.weather(spark, sf)).withColumn("day", _iso("day"))
 
 
@@ -627,7 +634,7 @@ def prepare_addresses(spark: SparkSession, sf: str) -> DataFrame:
 @register
 def station_day_weather(spark: SparkSession, sf: str) -> DataFrame:
     landed = sources.read_weather_csv(spark, _landed_weather(spark, sf))
-    return plans.station_day_weather(landed, _found(spark, sf))
+    return plans.station_day_weather(landed, _found_once(spark, sf))
 
 
 @register

@@ -117,80 +117,82 @@ def _cells_within(coordinate: str) -> str:
     return f"CASE WHEN level = {WHOLE} THEN array(0L) ELSE sequence({low}, {high}) END"
 
 
-# One statement: every step is a subquery, so Spark analyses the search once.
-#
-# place      one text for place and year; a key of doubles would be normalised,
-#            and shuffled, anew for every join and aggregation
-# active     each station once per year that is asked for and that it touches
-# boxes      the bounding box of the all-year stations of every grid cell
-# reaches    a distance within which there surely is a station all year long: a
-#            place looks up its own cell at each level, some station lies in the
-#            box there, and none of them is farther than the far corner; the
-#            margin is above rounding, so that no station on the edge is missed
-# searched   the cells that meet the square of the reach around a place, at the
-#            level whose cells are at least that large: at most four by four;
-#            the whole department where there is no reach
-# candidates the stations in these cells that can be nearest on some day: none
-#            beyond the nearest all-year station, and never one at an infinite
-#            or undefined distance
-_NEAREST = f"""
-WITH dated AS (
-    SELECT *, year(day) AS year,
-           concat_ws('_', latitude, longitude, year(day), departement) AS place
-    FROM {{keys}}
-), place_years AS (
-    SELECT DISTINCT place, latitude, longitude, departement, year FROM dated WHERE year IS NOT NULL
-), active AS (
-    SELECT s.*, y.year,
-           s.valid_from <= CAST(make_date(y.year, 1, 1) AS TIMESTAMP_NTZ)
-               AND s.valid_to >= CAST(make_date(y.year, 12, 31) AS TIMESTAMP_NTZ) AS all_year
-    FROM {{stations}} s
-    JOIN (SELECT DISTINCT departement, year FROM place_years) y
-      ON s.departement = y.departement AND y.year BETWEEN year(s.valid_from) AND year(s.valid_to)
-), station_cells AS (
-    SELECT s.*, {_own_cells("s.lat", "s.lon")}
-    FROM active s LATERAL VIEW explode(sequence(0, {WHOLE})) l AS level
-), boxes AS (
+# Each station once per year that is asked for and that its validity touches.
+_ACTIVE = """
+SELECT s.*, y.year,
+       s.valid_from <= CAST(make_date(y.year, 1, 1) AS TIMESTAMP_NTZ)
+           AND s.valid_to >= CAST(make_date(y.year, 12, 31) AS TIMESTAMP_NTZ) AS all_year
+FROM {stations} s
+JOIN (SELECT DISTINCT departement, year FROM {place_years}) y
+  ON s.departement = y.departement AND y.year BETWEEN year(s.valid_from) AND year(s.valid_to)
+"""
+
+_STATION_CELLS = f"""
+SELECT s.*, {_own_cells("s.lat", "s.lon")}
+FROM {{active}} s LATERAL VIEW explode(sequence(0, {WHOLE})) l AS level
+"""
+
+# For each place and year, a distance within which there surely is a station all
+# year long, null if the department has none. Every grid cell keeps the bounding
+# box of its all-year stations. A place looks up its own cell at each level:
+# some station lies in the box there, and none of them is farther than the far
+# corner. The margin is above rounding, so that no station on the edge is missed.
+_REACHES = f"""
+SELECT place, latitude, longitude, departement, year,
+       min(sqrt(
+           power(greatest(abs(latitude - south), abs(latitude - north)), 2)
+           + power(greatest(abs(longitude - west), abs(longitude - east)), 2)
+       )) * 1.000001D + 1e-9D AS reach
+FROM (
+    SELECT p.*, {_own_cells("p.latitude", "p.longitude")}
+    FROM {{place_years}} p LATERAL VIEW explode(sequence(0, {WHOLE})) l AS level
+) LEFT JOIN (
     SELECT departement, year, level, cell_x, cell_y,
            min(lat) AS south, max(lat) AS north, min(lon) AS west, max(lon) AS east
-    FROM station_cells WHERE all_year
+    FROM {{station_cells}} WHERE all_year
     GROUP BY departement, year, level, cell_x, cell_y
-), place_cells AS (
-    SELECT p.*, {_own_cells("p.latitude", "p.longitude")}
-    FROM place_years p LATERAL VIEW explode(sequence(0, {WHOLE})) l AS level
-), reaches AS (
-    SELECT place, latitude, longitude, departement, year,
-           min(sqrt(
-               power(greatest(abs(latitude - south), abs(latitude - north)), 2)
-               + power(greatest(abs(longitude - west), abs(longitude - east)), 2)
-           )) * 1.000001D + 1e-9D AS reach
-    FROM place_cells LEFT JOIN boxes USING (departement, year, level, cell_x, cell_y)
-    GROUP BY place, latitude, longitude, departement, year
-), levelled AS (
+) USING (departement, year, level, cell_x, cell_y)
+GROUP BY place, latitude, longitude, departement, year
+"""
+
+# The cells that meet the square of the reach around a place, at the level whose
+# cells are at least that large: at most four by four. The whole department
+# where there is no reach.
+_SEARCHED = f"""
+SELECT l.*, x.cell_x, y.cell_y
+FROM (
     SELECT *, CASE WHEN reach IS NULL THEN {WHOLE}
                    ELSE least(greatest(CAST(ceil(log2(reach / {FINEST_CELL}D)) AS INT), 0), {WHOLE})
               END AS level
-    FROM reaches
-), searched AS (
-    SELECT l.*, x.cell_x, y.cell_y
-    FROM levelled l
-    LATERAL VIEW explode({_cells_within("latitude")}) x AS cell_x
-    LATERAL VIEW explode({_cells_within("longitude")}) y AS cell_y
-), in_reach AS (
-    SELECT place, reach, id, list_pos, valid_from, valid_to, all_year,
-           sqrt((latitude - lat) * (latitude - lat) + (longitude - lon) * (longitude - lon)) AS distance
-    FROM searched JOIN station_cells USING (departement, year, level, cell_x, cell_y)
-), candidates AS (
-    SELECT * FROM (
-        SELECT *, min(CASE WHEN all_year THEN distance END) OVER (PARTITION BY place) AS enough
-        FROM in_reach
-        WHERE distance < double('infinity') AND (reach IS NULL OR distance <= reach)
-    ) WHERE enough IS NULL OR distance <= enough
+    FROM {{reaches}}
+) l
+LATERAL VIEW explode({_cells_within("latitude")}) x AS cell_x
+LATERAL VIEW explode({_cells_within("longitude")}) y AS cell_y
+"""
+
+# The stations in these cells that can be nearest on some day of the year: none
+# beyond the nearest all-year station, and never one at an infinite or undefined
+# distance.
+_CANDIDATES = """
+SELECT place, distance, list_pos, id, valid_from, valid_to
+FROM (
+    SELECT *, min(CASE WHEN all_year THEN distance END) OVER (PARTITION BY place) AS enough
+    FROM (
+        SELECT place, reach, id, list_pos, valid_from, valid_to, all_year,
+               sqrt((latitude - lat) * (latitude - lat)
+                    + (longitude - lon) * (longitude - lon)) AS distance
+        FROM {searched} JOIN {station_cells} USING (departement, year, level, cell_x, cell_y)
+    )
+    WHERE distance < double('infinity') AND (reach IS NULL OR distance <= reach)
 )
+WHERE enough IS NULL OR distance <= enough
+"""
+
+_BEST = """
 SELECT /* columns */, min(CASE
            WHEN c.valid_from <= CAST(d.day AS TIMESTAMP_NTZ) AND c.valid_to >= CAST(d.day AS TIMESTAMP_NTZ)
            THEN struct(c.distance, c.list_pos, c.id) END).id AS station_id
-FROM dated d LEFT JOIN candidates c ON d.place = c.place
+FROM {dated} d LEFT JOIN {candidates} c ON d.place = c.place
 GROUP BY d.place, /* columns */
 """
 
@@ -202,7 +204,8 @@ def nearest_station(keys: DataFrame, stations: DataFrame, as_of: dt.datetime) ->
     keys as from ``department_key``, ``day`` a date or null) and may have more
     columns. Returns them with ``station_id``, null where there is none.
     Distance is Euclidean in degrees; at equal distance the station listed
-    first wins.
+    first wins. The keys are read several times: pass a written table
+    (``session.materialize``) if they are costly to make.
 
     Stations are searched once per place and year through a grid, not once per
     day and not by pairing each key with its whole department. A place and year
@@ -210,9 +213,24 @@ def nearest_station(keys: DataFrame, stations: DataFrame, as_of: dt.datetime) ->
     may, and adaptive execution splits those: nothing downstream needs their
     partitioning.
     """
-    columns = ", ".join(f"d.`{name}`" for name in keys.columns)
-    return keys.sparkSession.sql(
-        _NEAREST.replace("/* columns */", columns),
-        keys=keys,
-        stations=station_validity(stations, as_of),
+    sql = keys.sparkSession.sql
+    # One text for place and year: a key of doubles would be normalised, and
+    # shuffled, anew for every join and aggregation.
+    dated = keys.withColumns(
+        {
+            "year": F.year("day"),
+            "place": F.concat_ws("_", "latitude", "longitude", F.year("day"), "departement"),
+        }
     )
+    place_years = (
+        dated.where(F.col("year").isNotNull())
+        .select("place", "latitude", "longitude", "departement", "year")
+        .distinct()
+    )
+    active = sql(_ACTIVE, stations=station_validity(stations, as_of), place_years=place_years)
+    station_cells = sql(_STATION_CELLS, active=active)
+    reaches = sql(_REACHES, place_years=place_years, station_cells=station_cells)
+    searched = sql(_SEARCHED, reaches=reaches)
+    candidates = sql(_CANDIDATES, searched=searched, station_cells=station_cells)
+    columns = ", ".join(f"d.`{name}`" for name in keys.columns)
+    return sql(_BEST.replace("/* columns */", columns), dated=dated, candidates=candidates)

@@ -75,11 +75,14 @@ def station_day_weather(
 ) -> DataFrame:
     """Cleaned weather of a set of ``(station_id, day)``, without empty and quality columns.
 
-    Which columns are empty is known only after a pass over the data, so this runs a job.
+    Which columns are empty is known only after a pass over the data, so what
+    was fetched is written out and read twice.
     """
     wanted = station_days.select("station_id", "day").distinct()
-    fetched = parse_weather(weather_lookup(wanted, weather, columns).select(*weather.columns), columns)
-    return drop_quality_columns(drop_null_columns(fetched))
+    fetched = weather_lookup(wanted, drop_quality_columns(weather), columns).select(
+        *drop_quality_columns(weather).columns
+    )
+    return drop_null_columns(materialize(parse_weather(fetched, columns), "station-day-weather"))
 
 
 def _attach_weather(

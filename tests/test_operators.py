@@ -1,0 +1,220 @@
+"""Filters, keys, geocoding, weather shaping and joins on hand-made tables."""
+
+import datetime as dt
+
+import pandas as pd
+import pytest
+from pyspark.sql import functions as F
+
+from fairweather.operators import filters as flt
+from fairweather.operators import geocoding as geo
+from fairweather.operators import keys as key
+from fairweather.operators import weather as wx
+from fairweather.operators.skew import salted_join
+
+
+def values(df, *columns):
+    return sorted((tuple(r) for r in df.select(*columns).collect()), key=repr)
+
+
+# --- filters --------------------------------------------------------------------------
+
+
+def test_filter_equals_on_text(spark):
+    codes = ["31", " 31 ", "31.0", "2A", "031", "31.7", None, ""]
+    df = spark.createDataFrame([(i, c) for i, c in enumerate(codes)], "i int, code string")
+    assert values(flt.filter_equals(df, {"code": 31}), "i") == [(0,), (1,), (2,), (4,)]
+    assert values(flt.filter_equals(df, {"code": "31"}), "i") == [(0,)]
+    assert values(flt.filter_equals(df, {"code": "31 "}), "i") == []
+    assert values(flt.filter_equals(df, {"code": None}), "i") == []
+    assert flt.filter_equals(df, {}).count() == flt.filter_equals(df).count() == len(codes)
+    assert values(flt.filter_equals(df, {"code": 31, "i": 2}), "i") == [(2,)]
+
+
+def test_filter_equals_on_boolean_text(spark):
+    df = spark.createDataFrame([("true",), ("1",), ("false",), ("x",)], "b string")
+    assert values(flt.filter_equals(df, {"b": True}), "b") == [("1",), ("true",)]
+
+
+def test_text_filter_reaches_the_scan(spark, tmp_path):
+    path = str(tmp_path / "d")
+    spark.createDataFrame([("a", "1")], "n string, c string").write.parquet(path)
+    plan = flt.filter_equals(spark.read.parquet(path), {"n": "a"}).select("c")
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(n,a)" in text and "ReadSchema: struct<n:string,c:string>" in text
+
+
+def test_required_columns_leave_the_argument_alone():
+    asked = ["festival_nom"]
+    assert flt.required_columns(asked) == ["festival_nom", *flt.REQUIRED_COLUMNS]
+    assert asked == ["festival_nom"]
+    assert flt.required_columns() == flt.DEFAULT_COLUMNS
+
+
+def test_rename_day_without_the_column(spark):
+    assert flt.rename_day(spark.range(1)).columns == ["id"]
+
+
+# --- geocoding ------------------------------------------------------------------------
+
+
+def gazetteer(spark, rows):
+    return spark.createDataFrame(
+        rows, "full_address string, result_status string, latitude string, longitude string"
+    )
+
+
+def test_zero_or_unreadable_coordinates_are_refused(spark):
+    answers = gazetteer(spark, [
+        ("a", "ok", "0", "1.5"), ("b", "ok", "1.5", "0.0"), ("c", "ok", "x", "1"), ("d", "OK", "1", "1"),
+        ("e", "ok", "1.5", "-2"), ("f", "ok", None, "1"), ("g", None, "1", "1"),
+    ])
+    accepted = geo.filter_geocode_ok(answers)
+    assert values(accepted.where("latitude is not null"), "full_address", "latitude", "longitude") == [
+        ("e", 1.5, -2.0)
+    ]
+    assert accepted.where("latitude is null and longitude is null").count() == 6
+
+
+def test_keys_are_stripped_on_both_sides_and_do_not_multiply_events(spark):
+    coordinates = geo.coordinates_by_address(gazetteer(spark, [
+        ("\ta ", "ok", "2", "2"), ("a", "ok", "1", "3"), ("a ", "not-found", "9", "9"),
+    ]))
+    events = spark.createDataFrame([(1, "a\t"), (2, "a"), (2, "a"), (3, "b")], "i int, full_address string")
+    joined = geo.join_coordinates(events, coordinates)
+    assert joined.columns == ["i", "latitude", "longitude"]
+    assert values(joined, "i", "latitude", "longitude") == [
+        (1, 1.0, 3.0), (2, 1.0, 3.0), (2, 1.0, 3.0), (3, None, None)
+    ]
+
+
+def test_resolver_gets_bounded_batches_and_may_answer_short(spark):
+    keys = spark.range(2500, numPartitions=1).select(F.concat(F.lit(" k"), "id").alias("full_address"))
+
+    def resolve(batch):
+        assert len(batch) <= 1000 and batch["full_address"].str.match(r"^k\d+$").all()
+        return pd.DataFrame({"latitude": [float(len(batch))] * (len(batch) - 1), "longitude": 2.0})
+
+    found = geo.lookup_in_batches(keys, resolve)
+    assert values(found.groupBy("latitude").count(), "latitude", "count") == [
+        (1000.0, 1998), (500.0, 499), (None, 3)
+    ]
+    assert values(geo.batch_keys(keys, "full_address"), "batch_rows") == [(1000,), (1000,), (500,)]
+    for size in (0, -1):
+        with pytest.raises(ValueError, match="positive"):
+            geo.batch_keys(keys, "full_address", size)
+        with pytest.raises(ValueError, match="positive"):
+            geo.lookup_in_batches(keys, resolve, batch_size=size)
+
+
+def test_strict_geocoding(spark):
+    schema = "full_address string, latitude double"
+    geo.require_complete_geocoding(spark.createDataFrame([("a", 1.0)], schema))
+    with pytest.raises(geo.IncompleteGeocoding, match="no address found"):
+        geo.require_complete_geocoding(spark.createDataFrame([], schema))
+    rows = [(f"k{i:02d}", None) for i in range(12)] + [("z", 1.0)]
+    with pytest.raises(geo.IncompleteGeocoding, match=r"for 12 of 13 addresses: 'k00', .*'k09' \(\+2 others\)"):
+        geo.require_complete_geocoding(spark.createDataFrame(rows, schema))
+
+
+def test_clean_keys_drop_null_and_blank(spark):
+    df = spark.createDataFrame([(" a ",), (None,), ("\t",), ("",)], "k string")
+    assert values(key.clean_keys(df, "k"), "k") == [("a",)]
+
+
+# --- weather --------------------------------------------------------------------------
+
+
+def test_one_bad_cell_leaves_its_column_alone(spark):
+    df = spark.createDataFrame(
+        [("1", "20240101", "12,5"), ("1", "20240102", "abc"), ("1", "20240103", "#N/A"), ("1", "20240104", "12")],
+        "poste string, jour string, rr string",
+    )
+    parsed = wx.parse_weather(df)
+    assert parsed.schema["rr"].dataType.typeName() == "double"
+    assert [r.rr for r in parsed.orderBy("jour").collect()] == [12.5, None, None, 12.0]
+
+
+def test_columns_are_dropped_by_content_and_by_name(spark):
+    df = spark.createDataFrame([(1, None, 3, 4, 5), (1, None, None, 4, 5)], "a int, b int, c int, Qc int, qd int")
+    assert wx.drop_null_columns(df).columns == ["a", "c", "Qc", "qd"]
+    assert wx.drop_quality_columns(df).columns == ["a", "b", "c", "qd"]
+    profile = {r.column_name: (r.non_null, r.all_null) for r in wx.null_column_profile(df).collect()}
+    assert profile["b"] == (0, True) and profile["c"] == (1, False)
+
+
+PLACE = "latitude double, longitude double, departement string, day date"
+DAY = dt.date(2024, 1, 1)
+
+
+def test_weather_rows_fan_out_and_events_stay(spark):
+    events = spark.createDataFrame(
+        [(1, 1.0, 2.0, "31", DAY), (1, 1.0, 2.0, "31", DAY), (2, 1.0, 2.0, "31", None), (3, 9.0, 2.0, "31", DAY)],
+        f"i int, {PLACE}",
+    )
+    weather = spark.createDataFrame(
+        [(1.0, 2.0, "31", DAY, 5.0), (1.0, 2.0, "31", DAY, 6.0)], f"{PLACE}, rr double"
+    )
+    expected = [(1, 5.0)] * 2 + [(1, 6.0)] * 2 + [(2, None), (3, None)]
+    assert values(wx.join_weather_back(events, weather), "i", "rr") == expected
+    # the same when every key counts as hot
+    assert values(wx.join_weather_back(events, weather, rows_per_task=1), "i", "rr") == expected
+
+
+def test_no_weather_at_all_keeps_events_and_schema(spark):
+    events = spark.createDataFrame([(1, 1.0, 2.0, "31", DAY)], f"i int, {PLACE}")
+    none = spark.createDataFrame([], f"{PLACE}, station_id bigint")
+    back = wx.join_weather_back(events, none)
+    assert back.dtypes[-1] == ("station_id", "bigint")
+    assert values(back, "i", "station_id") == [(1, None)]
+
+
+def test_weather_lookup_compares_ids_as_text(spark):
+    keys = spark.createDataFrame([("01", DAY), ("1", DAY), (None, DAY), ("01", None)], "station_id string, day date")
+    weather = spark.createDataFrame([("01", "20240101", "7"), ("01", "20240102", "8")], "poste string, jour string, rr string")
+    assert values(wx.weather_lookup(keys, weather), "station_id", "rr") == [("01", "7")]
+
+
+# --- hot keys -------------------------------------------------------------------------
+
+
+def test_salted_join_splits_a_hot_key_and_joins_every_row_once(spark):
+    left = spark.range(0, 9000, numPartitions=12).select(
+        "id", F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.concat(F.lit("k"), F.col("id") % 50)).alias("k")
+    )
+    right = spark.createDataFrame([("hot", 1), ("hot", 2), ("k1", 3)], "k string, v int")
+    plain = left.join(right, "k", "left")
+    salted = salted_join(left, right, ["k"], "left", rows_per_task=500)
+    assert values(salted, "id", "k", "v") == values(plain, "id", "k", "v")
+    inner = salted_join(left, right, ["k"], rows_per_task=500)
+    assert inner.count() == left.join(right, "k").count()
+
+    # without broadcast and coalescing, the hot rows sit in several partitions
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.enabled": "false",
+    }
+    before = {name: spark.conf.get(name) for name in settings}
+    try:
+        for name, value in settings.items():
+            spark.conf.set(name, value)
+
+        def partitions(df):
+            return df.where("k = 'hot'").select(F.spark_partition_id().alias("p")).distinct().count()
+
+        assert partitions(left.join(right, "k", "left")) == 1
+        assert partitions(salted_join(left, right, ["k"], "left", rows_per_task=500)) > 1
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+
+
+def test_salted_join_with_null_keys_and_given_counts(spark):
+    left = spark.createDataFrame([(1, "a"), (2, None), (3, "b"), (4, "a")], "i int, k string")
+    right = spark.createDataFrame([("a", 10, 2), ("b", 20, 1)], "k string, v int, _n_rows int")
+    counts = left.groupBy("k").count()
+    joined = salted_join(left, right, ["k"], "left", counts=counts, rows_per_task=1)
+    assert joined.columns == ["i", "k", "v"]
+    assert values(joined, "i", "v") == [(1, 10), (2, None), (3, 20), (4, 10)]
+    with pytest.raises(ValueError, match="full"):
+        salted_join(left, right, ["k"], "full")
