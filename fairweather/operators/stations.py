@@ -162,7 +162,7 @@ _SEARCHED = f"""
 SELECT l.*, x.cell_x, y.cell_y
 FROM (
     SELECT *, CASE WHEN reach IS NULL THEN {WHOLE}
-                   ELSE least(greatest(CAST(ceil(log2(reach / {FINEST_CELL}D)) AS INT), 0), {WHOLE})
+                   ELSE CAST(least(greatest(ceil(log2(reach / {FINEST_CELL}D)), 0), {WHOLE}) AS INT)
               END AS level
     FROM {{reaches}}
 ) l

@@ -29,12 +29,7 @@ def read_station_list(spark: SparkSession, path: str) -> DataFrame:
     stations at the same distance. A response is a list of one department, so a
     document is small; documents are what Spark distributes.
     """
-    documents = (
-        spark.read.schema("value string, departement string")
-        .option("wholetext", True)
-        .option("recursiveFileLookup", False)
-        .text(path)
-    )
+    documents = spark.read.schema("value string, departement string").text(path, wholetext=True)
     return documents.select(
         "departement", F.posexplode(unwrap_station_json(F.col("value"))).alias("list_pos", "station")
     ).select(
