@@ -171,21 +171,16 @@ LATERAL VIEW explode({_cells_within("longitude")}) y AS cell_y
 """
 
 # The stations in these cells that can be nearest on some day of the year: none
-# beyond the nearest all-year station, and never one at an infinite or undefined
-# distance.
+# beyond the reach, and never one at an infinite or undefined distance.
 _CANDIDATES = """
 SELECT place, distance, list_pos, id, valid_from, valid_to
 FROM (
-    SELECT *, min(CASE WHEN all_year THEN distance END) OVER (PARTITION BY place) AS enough
-    FROM (
-        SELECT place, reach, id, list_pos, valid_from, valid_to, all_year,
-               sqrt((latitude - lat) * (latitude - lat)
-                    + (longitude - lon) * (longitude - lon)) AS distance
-        FROM {searched} JOIN {station_cells} USING (departement, year, level, cell_x, cell_y)
-    )
-    WHERE distance < double('infinity') AND (reach IS NULL OR distance <= reach)
+    SELECT place, reach, id, list_pos, valid_from, valid_to,
+           sqrt((latitude - lat) * (latitude - lat)
+                + (longitude - lon) * (longitude - lon)) AS distance
+    FROM {searched} JOIN {station_cells} USING (departement, year, level, cell_x, cell_y)
 )
-WHERE enough IS NULL OR distance <= enough
+WHERE distance < double('infinity') AND (reach IS NULL OR distance <= reach)
 """
 
 _BEST = """
