@@ -98,7 +98,7 @@ def station_valid_on_day(days: DataFrame, stations: DataFrame, as_of: dt.datetim
 
 
 def _cell_size(level: str) -> str:
-    return f"({FINEST_CELL}D * power(2D, {level}))"
+    return f"({FINEST_CELL}D * shiftleft(1L, {level}))"
 
 
 def _own_cells(latitude: str, longitude: str) -> str:
@@ -132,6 +132,14 @@ SELECT s.*, {_own_cells("s.lat", "s.lon")}
 FROM {{active}} s LATERAL VIEW explode(sequence(0, {WHOLE})) l AS level
 """
 
+def _square(expression: str) -> str:
+    return f"({expression} * {expression})"
+
+
+# Distance from a place to the far side of a box.
+_FAR_LAT = "greatest(abs(latitude - south), abs(latitude - north))"
+_FAR_LON = "greatest(abs(longitude - west), abs(longitude - east))"
+
 # For each place and year, a distance within which there surely is a station all
 # year long, null if the department has none. Every grid cell keeps the bounding
 # box of its all-year stations. A place looks up its own cell at each level:
@@ -139,10 +147,7 @@ FROM {{active}} s LATERAL VIEW explode(sequence(0, {WHOLE})) l AS level
 # corner. The margin is above rounding, so that no station on the edge is missed.
 _REACHES = f"""
 SELECT place, latitude, longitude, departement, year,
-       min(sqrt(
-           power(greatest(abs(latitude - south), abs(latitude - north)), 2)
-           + power(greatest(abs(longitude - west), abs(longitude - east)), 2)
-       )) * 1.000001D + 1e-9D AS reach
+       min(sqrt({_square(_FAR_LAT)} + {_square(_FAR_LON)})) * 1.000001D + 1e-9D AS reach
 FROM (
     SELECT p.*, {_own_cells("p.latitude", "p.longitude")}
     FROM {{place_years}} p LATERAL VIEW explode(sequence(0, {WHOLE})) l AS level
