@@ -9,6 +9,7 @@ sink, so that every column is computed). Nothing is cached between the two.
 import json
 import os
 import sys
+import tempfile
 import time
 from pathlib import Path
 
@@ -49,6 +50,7 @@ def main():
         spark__sql__shuffle__partitions=cpus,
         spark__ui__enabled="false",
         spark__driver__memory="16g",
+        spark__checkpoint__dir=tempfile.mkdtemp(prefix="bench-"),
     )
     spark.sparkContext.setLogLevel("ERROR")
     times = {}

@@ -1,6 +1,5 @@
 """Session and shared scratch space. The caller owns the session; nothing here is global."""
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,34 +17,61 @@ DEFAULTS = {
 def build_session(app_name: str = "fairweather", **conf: str) -> SparkSession:
     """A session with adaptive execution; keyword ``spark__x__y`` sets ``spark.x.y``.
 
-    An active session is reused as it is.
+    An active session is returned as it is: its settings belong to its owner.
     """
+    active = SparkSession.getActiveSession()
+    if active is not None:
+        return active
     builder = SparkSession.builder.appName(app_name)
     for key, value in {**DEFAULTS, **{k.replace("__", "."): v for k, v in conf.items()}}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 
 
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path below the shared folder of ``spark.checkpoint.dir``.
+def scratch_root(spark: SparkSession) -> str | None:
+    """The shared folder for intermediate tables, or null where none is set."""
+    return spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
 
-    Only a local session may fall back to a folder of this machine: executors of
-    a cluster could not read it.
-    """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A fresh path below the shared folder that the session names."""
+    root = scratch_root(spark)
     if root is None:
-        if not spark.conf.get("spark.master", "").startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-        root = tempfile.mkdtemp(prefix="fairweather-")
+        raise ValueError(
+            "intermediate tables need a folder that the driver and every executor can reach: "
+            "set spark.checkpoint.dir or call SparkContext.setCheckpointDir"
+        )
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write a frame to the shared scratch folder and read it back: cuts the lineage.
+class Scratch:
+    """The intermediate tables of one job, so that they can be removed when it is over."""
 
-    What follows is planned with the true size of the table, and a lost
-    executor costs no recomputation of what came before.
-    """
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.paths: list[str] = []
+
+    def materialize(self, df: DataFrame, name: str) -> DataFrame:
+        """Write a frame to the shared scratch folder and read it back: cuts the lineage.
+
+        What follows is planned with the true size of the table, and a lost
+        executor costs no recomputation of what came before.
+        """
+        path = scratch_path(self.spark, name)
+        self.paths.append(path)
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def remove(self, *tables: DataFrame) -> None:
+        """Delete these tables, or all; only when nothing that reads them will run again."""
+        chosen = [p for t in tables for p in self.paths if any(p in f for f in t.inputFiles())]
+        jvm, conf = self.spark._jvm, self.spark._jsc.hadoopConfiguration()
+        for path in chosen if tables else list(self.paths):
+            folder = jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(conf).delete(folder, True)
+            self.paths.remove(path)
+
+
+def materialize(df: DataFrame, name: str, scratch: Scratch | None = None) -> DataFrame:
+    """:meth:`Scratch.materialize`; without ``scratch`` the table stays until the folder is cleared."""
+    return (scratch or Scratch(df.sparkSession)).materialize(df, name)
