@@ -2,10 +2,11 @@
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+import public_tokenizers
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fairweather.llm import sharding
+from fairweather.llm import chat, language, line_frequency, packing, sharding
 from fairweather.session import Scratch
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -34,3 +35,84 @@ def op10_hash_tree_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
         sharding.shard_of(F.col("doc_id"), sharding.standard_tree(17)).alias("grown_shard"),
     )
     return sharding.shard_rows(rows, "doc_id", sharding.standard_tree(16), Scratch(spark))
+
+
+@register
+def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in sequences of at most 1024 tokens."""
+    pieces = packing.token_pieces(
+        _table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), 1024, 2
+    )
+    return packing.pack(pieces, "length", ["doc_id", "piece", "ids_crc32"], 1024, Scratch(spark))
+
+
+@register
+def op9_line_frequency_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Word rules of all documents, and lines that are frequent within a source."""
+    return line_frequency.judge(_table(spark, sf_dir, "documents"), Scratch(spark), keep=["doc_id"])
+
+
+def _held_out() -> Column:
+    """A quarter of the documents by a checksum of their id; a null id counts as empty."""
+    return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 4 == 2
+
+
+@register
+def op4_hyperdimensional_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of all documents, learnt from three quarters of them."""
+    documents = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    profiles = language.learn(documents.where(~_held_out()))
+    return language.predict(documents.select("doc_id", "text"), profiles).select(
+        "doc_id", _held_out().alias("held_out"), "lang_pred", "score"
+    )
+
+
+# Comes as a JSON record of another layout than the table.
+_ODD_CONVERSATION = (
+    '{"id": -7, "messages": [{"role": "user", "content": "</s>[INST] ok [/INST]"},'
+    ' {"role": "assistant", "content": "</s>[INST] ok [/INST]"}]}'
+)
+
+
+@register
+def op2_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations formatted, and what reading them back gives."""
+    rows = chat.turns_of_rows(_table(spark, sf_dir, "conversations"))
+    odd = spark.range(1).select(F.lit(_ODD_CONVERSATION).alias("record"))
+    conversations = rows.unionByName(chat.turns_of_records(odd, "record"))
+    read = chat.format_turns(conversations).select(
+        "conv_id",
+        F.char_length("formatted").cast("bigint").alias("formatted_chars"),
+        chat.read_turns(F.col("formatted")).alias("turns"),
+        chat.read_loss_text(F.col("segments")).alias("loss"),
+    )
+    turn_text = F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
+    return read.select(
+        "conv_id",
+        F.size("turns").cast("bigint").alias("n_turns"),
+        F.sha2(F.array_join(turn_text, ""), 256).alias("turns_sha256"),
+        F.char_length("loss").cast("bigint").alias("loss_chars"),
+        F.sha2("loss", 256).alias("loss_sha256"),
+        "formatted_chars",
+    )
+
+
+ORACLES["op2_chat_formatting"] = r"""
+WITH turns AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    UNION ALL VALUES (-7, 0, 'user', '</s>[INST] ok [/INST]'), (-7, 1, 'assistant', '</s>[INST] ok [/INST]')
+), escaped AS (
+    SELECT *, length(text) + length(text) - length(replace(text, '\', ''))
+           + len(regexp_extract_all(text, '<(\||/?s>|</?SYS>>)|\[/?INST\]'))
+           + length(role) + length(role) - length(replace(role, '\', ''))
+           + len(regexp_extract_all(role, '<(\||/?s>|</?SYS>>)|\[/?INST\]'))
+           + length('<|start|><|text|><|end|>') + 1 AS chars
+    FROM turns
+)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+       coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       sum(chars)::BIGINT AS formatted_chars
+FROM escaped GROUP BY conv_id
+"""
