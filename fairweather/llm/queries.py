@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fairweather.llm import chat, language, line_frequency, packing, sharding
+from fairweather.llm import chat, jaccard, language, line_frequency, packing, sharding
 from fairweather.session import Scratch
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -116,3 +116,9 @@ SELECT conv_id, count(*) AS n_turns,
        sum(chars)::BIGINT AS formatted_chars
 FROM escaped GROUP BY conv_id
 """
+
+
+@register
+def op8_set_relation_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of all documents with a Jaccard similarity of 0.85 of four-word shingles."""
+    return jaccard.similar_groups(_table(spark, sf_dir, "documents"), Scratch(spark))
