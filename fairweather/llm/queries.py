@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fairweather.llm import chat, jaccard, language, line_frequency, packing, sharding
+from fairweather.llm import bpe, chat, jaccard, language, line_frequency, neighbours, packing, quality, sharding
 from fairweather.session import Scratch
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -41,7 +41,11 @@ def op10_hash_tree_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in sequences of at most 1024 tokens."""
     pieces = packing.token_pieces(
-        _table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), 1024, 2
+        _table(spark, sf_dir, "documents"),
+        public_tokenizers.path("byte_bpe_50k.json"),
+        public_tokenizers.PATTERN,
+        1024,
+        2,
     )
     return packing.pack(pieces, "length", ["doc_id", "piece", "ids_crc32"], 1024, Scratch(spark))
 
@@ -122,3 +126,30 @@ FROM escaped GROUP BY conv_id
 def op8_set_relation_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of all documents with a Jaccard similarity of 0.85 of four-word shingles."""
     return jaccard.similar_groups(_table(spark, sf_dir, "documents"), Scratch(spark))
+
+
+@register
+def op5_recursive_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents encoded by the ranks of a vocabulary for many languages, and decoded."""
+    ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    return bpe.encode_and_decode(_table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
+
+
+@register
+def op6_boosted_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The quality of all documents, learnt from the labelled ones in three quarters of them."""
+    documents = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = _table(spark, sf_dir, "labels").select("doc_id", "quality")
+    trees = quality.learn(documents.where(~_held_out()).join(labels, "doc_id"))
+    return quality.predict(documents, trees).select(
+        "doc_id",
+        _held_out().alias("held_out"),
+        "score",
+        F.when(F.col("score") >= 0.7, 1).otherwise(0).alias("predicted"),
+    )
+
+
+@register
+def op7_small_world_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near duplicates among all embeddings of a label."""
+    return neighbours.near_duplicates(_table(spark, sf_dir, "embeddings"), Scratch(spark))
