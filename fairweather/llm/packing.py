@@ -131,23 +131,30 @@ PIECES = "piece int, start bigint, length bigint, ids_crc32 bigint"
 
 
 def token_pieces(
-    documents: DataFrame, tokenizer: str, capacity: int, end_id: int, text: str = "text", key: str = "doc_id"
+    documents: DataFrame,
+    tokenizer: str,
+    pattern: str,
+    capacity: int,
+    end_id: int,
+    text: str = "text",
+    key: str = "doc_id",
 ) -> DataFrame:
     """Documents as pieces of at most ``capacity`` token ids, each document closed by ``end_id``.
 
     Longer documents are cut into pieces of ``capacity`` ids; the first piece
     takes what is over. A null or empty text is the end id alone. The ids are
     told by their checksum; encode the rows of a sequence again to write it.
+    ``pattern`` splits texts before the merges, as the tokenizer file does.
     """
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = file_encoder(tokenizer)
+        encode = file_encoder(tokenizer, pattern)
         end = np.asarray([end_id], "<u4").tobytes()
         size = 4 * capacity
         for batch in batches:
             texts = [t or "" for t in batch.column(1).to_pylist()]
             rows, found = [], {"piece": [], "start": [], "length": [], "ids_crc32": []}
-            for row, body in enumerate(encode(texts)):
+            for row, body in enumerate(map(encode, texts)):
                 ids = body + end
                 first = len(ids) % size or size
                 bounds = [0, *range(first, len(ids), size), len(ids)] if first < len(ids) else [0, len(ids)]

@@ -87,6 +87,8 @@ def test_ids_by_chunk_are_the_ids_of_the_whole_text():
     draw = random.Random(5)
     parts = [" ", "  ", "\n", "a", "don't", "<|endoftext|>", " ", "\x1c", "9", "é", "!?", "\t"]
     texts = ["".join(draw.choices(parts, k=draw.randint(0, 14))) for _ in range(2000)]
+    # every token of the vocabulary that is text by itself
+    texts += [tokenizer.decode([i], skip_special_tokens=False) for i in range(tokenizer.get_vocab_size())]
     whole = [struct.pack(f"<{len(i)}I", *i) for i in (tokenizer.encode(t, add_special_tokens=False).ids for t in texts)]
-    assert list(tokens.file_encoder(path)(texts)) == whole
+    assert list(map(tokens.file_encoder(path, public_tokenizers.PATTERN), texts)) == whole
     assert all("".join(tokens.chunks(t)) == t for t in texts)
