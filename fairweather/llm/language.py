@@ -36,7 +36,7 @@ class Letters:
         new = [p for p in distinct.tolist() if p not in self.row_of]
         if new:
             made = [np.random.default_rng(p).integers(0, 2, self.dimensions, np.int8) * 2 - 1 for p in new]
-            self.row_of.update((p, len(self.row_of) + n) for n, p in enumerate(new))
+            self.row_of.update(zip(new, range(len(self.kept), len(self.kept) + len(new)), strict=True))
             self.kept = np.concatenate([self.kept, np.asarray(made, np.int8)])
         return np.fromiter(map(self.row_of.__getitem__, distinct.tolist()), np.int64)[back]
 
@@ -55,13 +55,12 @@ class Letters:
         rows = self._rows(points)
         size = len(self.row_of)
         grams, counts = np.unique((rows[:-2] * size + rows[1:-1]) * size + rows[2:], return_counts=True)
-        first, second, third = self.kept, self.kept, self.kept
         total = np.zeros(self.dimensions, np.float64)
         for start in range(0, len(grams), _BLOCK):
             g = grams[start : start + _BLOCK]
-            bound = np.roll(first[g // (size * size)], 2, axis=1)
-            bound *= np.roll(second[g // size % size], 1, axis=1)
-            bound *= third[g % size]
+            bound = np.roll(self.kept[g // (size * size)], 2, axis=1)
+            bound *= np.roll(self.kept[g // size % size], 1, axis=1)
+            bound *= self.kept[g % size]
             total += counts[start : start + _BLOCK].astype(np.float32) @ bound.astype(np.float32)
         return total
 
@@ -117,8 +116,10 @@ def learn(documents: DataFrame, text: str = "text", language: str = "lang") -> P
         .agg(F.sum("value").alias("value"))
         .toPandas()
     )
+    if sums.empty:
+        return Profiles([], np.zeros((0, DIMENSIONS)))
     table = sums.pivot(index="language", columns="dimension", values="value").sort_index()
-    prototypes = table.to_numpy().reshape(len(table), -1)
+    prototypes = table.to_numpy()
     lengths = np.linalg.norm(prototypes, axis=1, keepdims=True)
     return Profiles([str(name) for name in table.index], prototypes / np.where(lengths > 0, lengths, 1))
 
