@@ -6,7 +6,18 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fairweather.llm import bpe, chat, jaccard, language, line_frequency, neighbours, packing, quality, sharding
+from fairweather.llm import (
+    bpe,
+    chat,
+    jaccard,
+    language,
+    licenses,
+    line_frequency,
+    neighbours,
+    packing,
+    quality,
+    sharding,
+)
 from fairweather.session import Scratch
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -153,3 +164,18 @@ def op6_boosted_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_small_world_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near duplicates among all embeddings of a label."""
     return neighbours.near_duplicates(_table(spark, sf_dir, "embeddings"), Scratch(spark))
+
+
+@register
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licences of all documents, laid out as files of their source.
+
+    Folders hold sixteen documents and sixteen folders each, by id; the first
+    document of a folder is its licence file.
+    """
+    doc_id = F.col("doc_id")
+    name = F.when(doc_id % 16 == 0, F.lit("LICENSE")).otherwise(F.concat(doc_id.cast("string"), F.lit(".txt")))
+    folders = [F.floor(doc_id / 256).cast("string"), F.floor(doc_id / 16).cast("string")]
+    path = F.when(doc_id.isNotNull(), F.concat_ws("/", "source", *folders, name))
+    files = _table(spark, sf_dir, "documents").select("doc_id", "text", path.alias("path"))
+    return licenses.scan(files, Scratch(spark))
