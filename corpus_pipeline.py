@@ -1,8 +1,84 @@
-"""The corpus pipeline."""
+"""The corpus pipeline: language, quality, near copies, packing.
 
-STAGES = []
+Each stage takes ``(spark, docs, sf_dir)`` and returns a frame; all but the last
+return the columns of documents. ``run`` writes every stage's result to the
+scratch folder and reads it again as the next one's documents.
+"""
+
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from fairweather.llm import jaccard, language, line_frequency, packing
+from fairweather.session import Scratch
+
+# A text so unlike every language's profile is in none of them.
+LEAST_LANGUAGE_SCORE = 0.05
+# Near copies: five words and a similarity of 0.8.
+NEAR = jaccard.Threshold(percent=80, words=5)
+
+
+def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in one of the languages that ``lang`` names; those without letters go.
+
+    Where no document has a language there is nothing to reject by, and all stay.
+    """
+    profiles = language.learn(docs)
+    if not profiles.languages:
+        return docs
+    judged = language.predict(docs, profiles)
+    known = (F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= LEAST_LANGUAGE_SCORE)
+    return judged.where(known).select(*docs.columns)
+
+
+def apply_quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that pass the rules, without the lines that are frequent in their source."""
+    judged = line_frequency.judge(docs, Scratch(spark), keep=docs.columns)
+    text = line_frequency.without_lines(F.col("text"), F.col("removed_lines"))
+    cleaned = {"text": text, "n_chars": F.when(F.size("removed_lines") > 0, F.char_length(text)).otherwise(F.col("n_chars"))}
+    return judged.where("kept").withColumns(cleaned).select(*docs.columns)
+
+
+def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents that near copies connect, the one with the least id; a null id stays."""
+    groups = jaccard.similar_groups(docs, Scratch(spark), threshold=NEAR)
+    gone = groups.where("doc_id <> component_id").select("doc_id").distinct()
+    left = docs.join(gone, "doc_id", "left_anti")
+    # rows that repeat an id are copies too
+    repeated = docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows")).where("doc_id IS NOT NULL AND rows > 1")
+    if repeated.isEmpty():
+        return left.select(*docs.columns)
+    again = left.join(repeated.select("doc_id"), "doc_id", "left_semi")
+    once = again.groupBy("doc_id").agg(F.min(F.struct(*[c for c in docs.columns if c != "doc_id"])).alias("kept"))
+    return (
+        left.join(repeated.select("doc_id"), "doc_id", "left_anti")
+        .select(*docs.columns)
+        .unionByName(once.select("doc_id", "kept.*"))
+    )
+
+
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents left, as pieces packed into sequences of 1024 tokens."""
+    pieces = packing.token_pieces(
+        docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN, 1024, 2
+    )
+    return packing.pack(pieces, "length", ["doc_id", "piece", "ids_crc32"], 1024, Scratch(spark))
+
+
+STAGES = [
+    ("language identification", identify_language),
+    ("quality rules", apply_quality_rules),
+    ("near copies", keep_one_of_each_group),
+    ("packing", pack_sequences),
+]
+# Shingle hashes, profiles and tokens are beyond SQL: see tests/llm/test_corpus_pipeline.py.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over the documents of ``sf_dir``."""
+    scratch = Scratch(spark)
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for number, (_, stage) in enumerate(STAGES):
+        docs = scratch.materialize(stage(spark, docs, sf_dir), f"stage-{number}")
+    return docs
