@@ -30,12 +30,16 @@ from fairweather.session import Scratch
 
 # How many hashes of a set are tried to find it a leader.
 LEADER_ROUNDS = 3
-# Shingles in the lists of more leaders than this come last, the most frequent of them
-# first to be noted: the table travels with the tasks and is at most 8 MB.
-FREQUENT, FREQUENT_SHINGLES = 16, 1 << 20
+# Shingles of more sets than this come last, the most frequent of them first to be
+# noted: the table travels with the tasks and is at most 16 MB.
+FREQUENT, FREQUENT_SHINGLES = 4, 1 << 21
 # Sets that share a leader are dealt over so many tasks; entries per block of a list.
 SALTS, BLOCK = 256, 64
-_CACHED_WORDS = 400_000
+# Bytes of a set's signature; bits of the table of shingles that sets share; shingles a
+# task counts at a time.
+SIGNATURE, FILTER_BITS, _COUNTED = 12, 1 << 27, 4_000_000
+# Lists up to this length are handled together.
+_SHORT = 16
 
 
 @dataclass(frozen=True)
@@ -63,26 +67,49 @@ class Threshold:
         return (100 + self.percent) * most >= self.percent * (n + m)
 
 
-class _WordHashes(dict):
-    def __missing__(self, word: bytes) -> int:
-        from xxhash import xxh3_64_intdigest
-
-        if len(self) >= _CACHED_WORDS:
-            self.clear()
-        self[word] = found = xxh3_64_intdigest(word)
-        return found
+_IS_SPACE = np.isin(np.arange(256), list(b" \t\n\x0b\x0c\r"))
+_SEGMENT = 1 << 20
 
 
 class Shingles:
-    """Texts to sorted arrays of distinct 64-bit shingle hashes."""
+    """Texts to sorted arrays of distinct 64-bit shingle hashes, without a loop over words.
+
+    A word's hash is the sum of random numbers of its bytes times powers of an
+    odd base, modulo 2**64: differences of running sums, moved to power zero.
+    """
 
     def __init__(self, words: int):
-        self.words, self.hashes = words, _WordHashes()
-        self.factors = np.array([pow(0x9E3779B97F4A7C15, k + 1, 1 << 64) for k in range(words)], np.uint64)
+        draw = np.random.default_rng(words)
+        self.words = words
+        self.of_byte = draw.integers(0, 1 << 64, 256, np.uint64)
+        base = int(draw.integers(0, 1 << 63)) * 2 + 1
+        self.bases = np.uint64(base), np.uint64(pow(base, -1, 1 << 64))
+        self.powers = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+        self.factors = draw.integers(0, 1 << 63, words, np.uint64) * np.uint64(2) + np.uint64(1)
+
+    def _word_hashes(self, raw: np.ndarray) -> np.ndarray:
+        if len(raw) >= len(self.powers[0]):
+            self.powers = [np.cumprod(np.full(2 * len(raw), b)) for b in self.bases]
+        up, down = self.powers
+        is_word = ~_IS_SPACE[raw]
+        edges = np.flatnonzero(is_word[1:] != is_word[:-1]) + 1
+        edges = np.concatenate([[0][: int(is_word[0])], edges, [len(raw)][: int(is_word[-1])]]).astype(np.int64)
+        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(self.of_byte[raw] * up[: len(raw)])])
+        starts, ends = edges[::2], edges[1::2]
+        return (sums[ends] - sums[starts]) * down[starts]
+
+    def _hashes(self, raw: bytes) -> np.ndarray:
+        found, start = [], 0
+        while start < len(raw):
+            stop = start + _SEGMENT
+            while stop < len(raw) and not _IS_SPACE[raw[stop]]:
+                stop += 1
+            found.append(self._word_hashes(np.frombuffer(raw[start:stop], np.uint8)))
+            start = stop
+        return np.concatenate(found) if found else np.zeros(0, np.uint64)
 
     def __call__(self, text: str | None) -> np.ndarray:
-        words = (text or "").encode("utf-8", "surrogatepass").lower().split()
-        codes = np.fromiter(map(self.hashes.__getitem__, words), np.uint64, len(words))
+        codes = self._hashes((text or "").encode("utf-8", "surrogatepass").lower())
         if not len(codes):
             return np.zeros(0, np.int64)
         width = min(self.words, len(codes))
@@ -114,7 +141,7 @@ def _described(documents: DataFrame, key: str, text: str, words: int) -> DataFra
             for value in batch.column(1).to_pylist():
                 found = shingles(value)
                 sizes.append(len(found))
-                signatures.append(xxh3_128_digest(found.tobytes()) if len(found) else None)
+                signatures.append(xxh3_128_digest(found.tobytes())[:SIGNATURE] if len(found) else None)
                 plain = found.view(np.uint64)
                 least.append([int(((plain * s) >> np.uint64(1)).min()) for s in seeds] if len(found) else None)
             yield pa.RecordBatch.from_arrays(
@@ -143,7 +170,7 @@ def _packed_texts(documents: DataFrame, text: str, words: int) -> DataFrame:
             signatures, packed = [], []
             for value in batch.column(0).to_pylist():
                 found = shingles(value)
-                signature = xxh3_128_digest(found.tobytes())
+                signature = xxh3_128_digest(found.tobytes())[:SIGNATURE]
                 if len(found) and signature not in seen:
                     seen.add(signature)
                     signatures.append(signature)
@@ -194,11 +221,11 @@ def _overlaps(pairs: DataFrame, texts: DataFrame, words: int) -> DataFrame:
 
 
 def _with_leaders(sets: DataFrame, texts: DataFrame, threshold: Threshold, scratch: Scratch) -> DataFrame:
-    """``sets (sig, n, least)`` with ``leader`` and ``lacking``, the shingles the leader has not.
+    """``sets (sig, n, rare, least)`` with ``leader`` and ``lacking``, the shingles the leader has not.
 
     In every round sets that lead themselves and share the least of one hash
-    meet. One of them, a leader already if there is one, is offered to the
-    others that lead nobody; who is above the threshold with it joins it. A
+    meet. One of them, a leader already if there is one, or else the one with the
+    fewest rare shingles, is offered to the others that lead nobody; who is above the threshold with it joins it. A
     second equal hash is asked for, because only likely pairs are worth a text.
     """
     members = None
@@ -213,7 +240,7 @@ def _with_leaders(sets: DataFrame, texts: DataFrame, threshold: Threshold, scrat
         heads = (
             free.groupBy("meet")
             .agg(
-                F.min(F.struct((~F.col("leads")).alias("idle"), "sig", "n", "least")).alias("head"),
+                F.min(F.struct((~F.col("leads")).alias("idle"), "rare", "sig", "n", "least")).alias("head"),
                 F.count(F.lit(1)).alias("sets"),
             )
             .where("sets > 1")
@@ -242,57 +269,133 @@ def _with_leaders(sets: DataFrame, texts: DataFrame, threshold: Threshold, scrat
     )
 
 
-def _frequent(leaders: DataFrame, threshold: Threshold) -> np.ndarray:
-    """Shingles that many leaders would be listed under, counted over all of them; sorted."""
+def _unpacked(batch: pa.RecordBatch, shingles: Shingles) -> Iterator[np.ndarray]:
+    """The sets of the texts of a batch."""
+    from zstandard import ZstdDecompressor
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from zstandard import ZstdDecompressor
+    unpack = ZstdDecompressor().decompress
+    for packed in batch.column("packed").to_pylist():
+        yield shingles(unpack(packed).decode("utf-8", "surrogatepass"))
 
-        shingles, unpack = Shingles(threshold.words), ZstdDecompressor().decompress
+
+def _frequent(texts: DataFrame, threshold: Threshold) -> np.ndarray:
+    """Shingles of many sets, sorted.
+
+    Every task counts over all shingles of its sets and reports what it saw more than once.
+    """
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shingles, found, held = Shingles(threshold.words), [np.zeros(0, np.int64)], 0
         for batch in batches:
-            found = [np.zeros(0, np.int64)]
-            for packed in batch.column(0).to_pylist():
-                own = shingles(unpack(packed).decode("utf-8", "surrogatepass"))
-                # half as many again, for those that take the place of frequent ones
-                found.append(own[: threshold.prefix(len(own)) * 3 // 2])
-            values, counts = np.unique(np.concatenate(found), return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(values), pa.array(counts)], ["shingle", "sets"])
-
-    counted = leaders.select("packed").mapInArrow(count, "shingle bigint, sets bigint").groupBy("shingle").agg(
+            for own in _unpacked(batch, shingles):
+                found.append(own)
+                held += len(own)
+                if held > _COUNTED:
+                    yield counted(found)
+                    found, held = [np.zeros(0, np.int64)], 0
+        yield counted(found)
+
+    def counted(found: list[np.ndarray]) -> pa.RecordBatch:
+        values, counts = np.unique(np.concatenate(found), return_counts=True)
+        again = counts > 1
+        return pa.RecordBatch.from_arrays([pa.array(values[again]), pa.array(counts[again])], ["shingle", "sets"])
+
+    sums = texts.select("packed").mapInArrow(count, "shingle bigint, sets bigint").groupBy("shingle").agg(
         F.sum("sets").alias("sets")
     )
-    often = counted.where(F.col("sets") > FREQUENT).orderBy(F.desc("sets"), "shingle").limit(FREQUENT_SHINGLES)
+    often = sums.where(F.col("sets") > FREQUENT).orderBy(F.desc("sets"), "shingle").limit(FREQUENT_SHINGLES)
     return np.sort(often.select("shingle").toPandas()["shingle"].to_numpy(np.int64))
 
 
-def _listed(led: DataFrame, frequent: np.ndarray, threshold: Threshold) -> DataFrame:
+def _often(own: np.ndarray, frequent: np.ndarray) -> np.ndarray:
+    if not len(frequent):
+        return np.zeros(len(own), bool)
+    return frequent[np.minimum(np.searchsorted(frequent, own), len(frequent) - 1)] == own
+
+
+def _rare(texts: DataFrame, frequent: np.ndarray, threshold: Threshold) -> DataFrame:
+    """``(sig, rare)``: how many shingles of a set are not frequent. An original has fewer than its copies."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shingles = Shingles(threshold.words)
+        for batch in batches:
+            rare = [int((~_often(own, frequent)).sum()) for own in _unpacked(batch, shingles)]
+            yield pa.RecordBatch.from_arrays([batch.column("sig"), pa.array(rare, pa.int64())], ["sig", "rare"])
+
+    counted = texts.select("sig", "packed").mapInArrow(count, "sig binary, rare bigint")
+    return counted.groupBy("sig").agg(F.max("rare").alias("rare"))
+
+
+def _prefix(own: np.ndarray, frequent: np.ndarray, threshold: Threshold) -> np.ndarray:
+    """The shingles a set is listed under, in the common order: frequent ones last, then by hash."""
+    often = _often(own, frequent)
+    return np.concatenate([own[~often], own[often]])[: threshold.prefix(len(own))]
+
+
+def _shared(led: DataFrame, frequent: np.ndarray, threshold: Threshold) -> np.ndarray:
+    """A bit for every shingle, by its hash: not set if surely one set alone is listed under it.
+
+    A table of fixed size; with more shingles more bits are set, and less is saved.
+    """
+    bits = FILTER_BITS  # a name of this module would be looked up anew in the tasks
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shingles = Shingles(threshold.words)
+        for batch in batches:
+            found = [_prefix(own, frequent, threshold) for own in _unpacked(batch, shingles)]
+            if found:
+                values, counts = np.unique(np.concatenate(found) & (bits - 1), return_counts=True)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(values, pa.int32()), pa.array(counts, pa.int32())], ["bit", "sets"]
+                )
+
+    seen = led.select("packed").mapInArrow(count, "bit int, sets int").groupBy("bit").agg(F.sum("sets").alias("sets"))
+    bit = F.col("bit").cast("bigint")
+    blocks = (
+        seen.where("sets > 1")
+        .groupBy(F.bitmap_bucket_number(bit).alias("bucket"))
+        .agg(F.bitmap_construct_agg(F.bitmap_bit_position(bit)).alias("bits"))
+        .toPandas()
+    )
+    # the first bucket holds zero alone in some orders of numbering, so places are computed
+    table = np.zeros((FILTER_BITS // 32768 + 2, 4096), np.uint8)
+    for bucket, held in zip(blocks["bucket"], blocks["bits"], strict=True):
+        table[int(bucket)] = np.frombuffer(held, np.uint8)
+    return table
+
+
+def _may_be_shared(tokens: np.ndarray, table: np.ndarray) -> np.ndarray:
+    """Looks shingles up in the bits, numbered as Spark numbers them: bucket 1 starts with bit 1."""
+    bit = tokens & (FILTER_BITS - 1)
+    bucket = np.where(bit > 0, 1 + (bit - 1) // 32768, 0)
+    place = np.where(bit > 0, (bit - 1) % 32768, 0)
+    return (table[bucket, place // 8] >> (place % 8).astype(np.uint8)) & 1 == 1
+
+
+def _listed(led: DataFrame, frequent: np.ndarray, shared: np.ndarray, threshold: Threshold) -> DataFrame:
     """Index entries ``(shingle, leader, low, high, rest)``, those of a leader's sets in one.
 
     ``low`` and ``high`` bound the sizes of the sets, ``rest`` the shingles that
-    follow in the order.
+    follow in the order. Shingles of one set alone are left out.
     """
 
     def enter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from zstandard import ZstdDecompressor
-
-        shingles, unpack = Shingles(threshold.words), ZstdDecompressor().decompress
+        shingles = Shingles(threshold.words)
         for batch in batches:
             if not batch.num_rows:
                 continue
-            leaders = batch.column(0).dictionary_encode()
+            leaders = batch.column("leader").dictionary_encode()
             tokens, owner, sizes, rests = [], [], [], []
-            for code, packed in zip(leaders.indices.to_pylist(), batch.column(1).to_pylist(), strict=True):
-                own = shingles(unpack(packed).decode("utf-8", "surrogatepass"))
-                n, length = len(own), threshold.prefix(len(own))
-                often = np.zeros(n, bool)
-                if len(frequent):
-                    at = np.searchsorted(frequent, own)
-                    often = frequent[np.minimum(at, len(frequent) - 1)] == own
-                tokens.append(np.concatenate([own[~often], own[often]])[:length])
-                owner.append(np.full(length, code))
-                sizes.append(np.full(length, n))
-                rests.append(n - 1 - np.arange(length))
+            for code, own in zip(leaders.indices.to_pylist(), _unpacked(batch, shingles), strict=True):
+                listed = _prefix(own, frequent, threshold)
+                kept = np.flatnonzero(_may_be_shared(listed, shared))
+                tokens.append(listed[kept])
+                owner.append(np.full(len(kept), code))
+                sizes.append(np.full(len(kept), len(own)))
+                rests.append(len(own) - 1 - kept)
             tokens, owner, sizes, rests = map(np.concatenate, (tokens, owner, sizes, rests))
+            if not len(tokens):
+                continue
             order = np.lexsort((owner, tokens))
             tokens, owner, sizes, rests = tokens[order], owner[order], sizes[order], rests[order]
             new = np.flatnonzero(np.concatenate([[True], (tokens[1:] != tokens[:-1]) | (owner[1:] != owner[:-1])]))
@@ -310,31 +413,32 @@ def _listed(led: DataFrame, frequent: np.ndarray, threshold: Threshold) -> DataF
     return led.select("leader", "packed").mapInArrow(enter, "shingle bigint, leader binary, low int, high int, rest int")
 
 
-def _block_pairs(low: np.ndarray, high: np.ndarray, rest: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """Which entries of a list, ordered by ``low``, may hold sets that link: ``(one, other)``."""
-    ones, others = [], []
-    blocks = [slice(s, s + BLOCK) for s in range(0, len(low), BLOCK)]
+def _may_link(l1, h1, r1, l2, h2, r2, percent: int):  # noqa: ANN001
+    """Whether entries with these least and most sizes, and shingles to follow, may hold sets that link."""
+    sizes = (100 * h1 >= percent * l2) & (100 * h2 >= percent * l1)
+    # the first shared shingle is this one: what follows it bounds what is common
+    return sizes & ((100 + percent) * (1 + np.minimum(r1, r2)) >= percent * (l1 + l2))
 
-    def may(l1, h1, r1, l2, h2, r2):  # noqa: E741
-        sizes = (100 * h1 >= percent * l2) & (100 * h2 >= percent * l1)
-        # the first shared shingle is this one: what follows it bounds what is common
-        return sizes & ((100 + percent) * (1 + np.minimum(r1, r2)) >= percent * (l1 + l2))
 
+def _block_pairs(
+    low: np.ndarray, high: np.ndarray, rest: np.ndarray, percent: int
+) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of entries of a list, ordered by ``low``, that may link; whole blocks are skipped."""
+    blocks = [slice(s, s + BLOCK) for s in range(0, len(low), BLOCK)]
     bounds = [(low[b].min(), high[b].max(), rest[b].max()) for b in blocks]
     for i, one in enumerate(blocks):
         for j in range(i, len(blocks)):
-            if not may(*bounds[i], *bounds[j]):
+            if not _may_link(*bounds[i], *bounds[j], percent):
                 continue
             other = blocks[j]
-            fits = may(low[one, None], high[one, None], rest[one, None], low[other], high[other], rest[other])
+            fits = _may_link(
+                low[one, None], high[one, None], rest[one, None], low[other], high[other], rest[other], percent
+            )
             if i == j:
                 fits = np.triu(fits, 1)
             found = np.nonzero(fits)
-            ones.append(found[0] + one.start)
-            others.append(found[1] + other.start)
-    if not ones:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    return np.concatenate(ones), np.concatenate(others)
+            if len(found[0]):
+                yield found[0] + one.start, found[1] + other.start
 
 
 def _candidates(entries: DataFrame, percent: int) -> DataFrame:
@@ -361,23 +465,22 @@ def _candidates(entries: DataFrame, percent: int) -> DataFrame:
         leader = table.column("leader").combine_chunks()
         low, high, rest = (table.column(c).to_numpy().astype(np.int64) for c in ("low", "high", "rest"))
         starts = np.flatnonzero(np.concatenate([[True], tokens[1:] != tokens[:-1]]))
-        ends = np.append(starts[1:], len(tokens))
-        shared = ends - starts > 1
-        ones, others, kept = [], [], 0
-        for s, e in zip(starts[shared].tolist(), ends[shared].tolist(), strict=True):
-            one, other = _block_pairs(low[s:e], high[s:e], rest[s:e], percent)
-            ones.append(one + s)
-            others.append(other + s)
-            kept += len(one)
-            if kept > 500_000:
-                yield named(leader, ones, others)
-                ones, others, kept = [], [], 0
-        if kept:
-            yield named(leader, ones, others)
-
-    def named(leader: pa.Array, ones: list, others: list) -> pa.RecordBatch:
-        a, b = (leader.take(pa.array(np.concatenate(x))) for x in (ones, others))
-        return pa.RecordBatch.from_arrays([a, b], ["a", "b"])
+        sizes = np.diff(np.append(starts, len(tokens)))
+        for size in range(2, _SHORT + 1):
+            # lists of one length, all at once
+            first = starts[sizes == size]
+            for i in range(size - 1):
+                for j in range(i + 1, size):
+                    one, other = first + i, first + j
+                    fits = _may_link(low[one], high[one], rest[one], low[other], high[other], rest[other], percent)
+                    if fits.any():
+                        yield named(leader, one[fits], other[fits])
+        for s, e in zip(starts[sizes > _SHORT].tolist(), (starts + sizes)[sizes > _SHORT].tolist(), strict=True):
+            for one, other in _block_pairs(low[s:e], high[s:e], rest[s:e], percent):
+                yield named(leader, one + s, other + s)
+
+    def named(leader: pa.Array, one: np.ndarray, other: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([leader.take(pa.array(one)), leader.take(pa.array(other))], ["a", "b"])
 
     lists = entries.repartition("shingle").groupBy("shingle", "leader").agg(
         F.min("low").alias("low"), F.max("high").alias("high"), F.max("rest").alias("rest")
@@ -387,11 +490,14 @@ def _candidates(entries: DataFrame, percent: int) -> DataFrame:
     return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
-def _leader_links(led: DataFrame, texts: DataFrame, threshold: Threshold, scratch: Scratch) -> DataFrame:
+def _leader_links(
+    led: DataFrame, texts: DataFrame, frequent: np.ndarray, threshold: Threshold, scratch: Scratch
+) -> DataFrame:
     """Links ``(a, b)`` between leaders whose sets, or sets that they lead, link."""
     with_texts = texts.join(led.hint("shuffle_hash"), "sig")
-    frequent = _frequent(with_texts.where("sig = leader"), threshold)
-    pairs = scratch.materialize(_candidates(_listed(with_texts, frequent, threshold), threshold.percent), "candidates")
+    shared = _shared(with_texts, frequent, threshold)
+    entries = _listed(with_texts, frequent, shared, threshold)
+    pairs = scratch.materialize(_candidates(entries, threshold.percent), "candidates")
 
     led_by = led.groupBy("leader").agg(F.min("n").alias("low"), F.max("lacking").alias("lacking"))
     sizes = led.where("sig = leader").select("leader", "n").join(led_by, "leader")
@@ -455,9 +561,13 @@ def similar_groups(
         rows.where("n > 0").groupBy("sig").agg(F.max("n").alias("n"), F.min("doc").alias("doc"), F.max("least").alias("least")),
         "sets",
     )
-    texts = _packed_texts(documents, text, words).repartition("sig").persist(StorageLevel.DISK_ONLY)
-    led = _with_leaders(sets.select("sig", "n", "least"), texts, threshold, scratch)
-    links = scratch.materialize(_leader_links(led, texts, threshold, scratch), "leader-links")
+    # dealt by signature once, for all the joins that fetch texts
+    parts = int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    texts = _packed_texts(documents, text, words).repartition(parts, "sig").persist(StorageLevel.DISK_ONLY)
+    frequent = _frequent(texts, threshold)
+    rated = sets.select("sig", "n", "least").join(_rare(texts, frequent, threshold), "sig")
+    led = _with_leaders(scratch.materialize(rated, "rated-sets"), texts, threshold, scratch)
+    links = scratch.materialize(_leader_links(led, texts, frequent, threshold, scratch), "leader-links")
     texts.unpersist()
 
     groups = connected_components(links, scratch).withColumnsRenamed({"node": "leader", "component": "group"})

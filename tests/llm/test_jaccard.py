@@ -107,13 +107,16 @@ def test_odd_texts(spark, tmp_path):
 
 def test_answers_are_derived_for_a_large_group_of_near_copies(spark):
     draw = random.Random(3)
-    base = [f"b{n}" for n in range(200)]
-    rows = [(n, " ".join(edited(draw, base, 2))) for n in range(400)]
+    base = [f"b{n}" for n in range(300)]
+    rows = [(n, " ".join(edited(draw, base, 1))) for n in range(400)]
     frame = spark.createDataFrame(rows, "doc_id long, text string")
     scratch = Scratch(spark)
+    threshold = jaccard.Threshold()
     sets = jaccard._described(frame, "doc_id", "text", 4).select("sig", "n", "least").dropDuplicates(["sig"])
     texts = jaccard._packed_texts(frame, "text", 4)
-    led = jaccard._with_leaders(scratch.materialize(sets, "sets"), texts, jaccard.Threshold(), scratch)
+    frequent = jaccard._frequent(texts, threshold)
+    sets = scratch.materialize(sets.join(jaccard._rare(texts, frequent, threshold), "sig"), "sets")
+    led = jaccard._with_leaders(sets, texts, threshold, scratch)
     assert led.select("leader").distinct().count() < 20
     assert found(spark, rows) == groups(rows)
 
