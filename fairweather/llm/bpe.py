@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from fairweather.llm.tokens import BatchEncoder
+from fairweather.llm.tokens import CACHED_CHARS, CACHED_CHUNKS, BatchEncoder
 
 # Rows (a token of a word, or of a document) in one query.
 QUERY_ROWS = 2_000_000
@@ -23,29 +23,36 @@ QUERY_MEMORY = "256MB"
 # A byte as a character that no text function treats in its own way.
 _BYTE_SHIFT = 0x100
 
-_CONTRACT = """
-WITH RECURSIVE step(round, word, pos, token, size) AS (
-    SELECT 0, word, pos, token, 1 FROM start
+# Rank, place and length of a merge in one number, so that the least is the leftmost of
+# the least rank.
+_RANK, _PLACE = 1 << 45, 1 << 10
+_SIDE = 1 << 20
+
+# Words leave a place free between them, so that a place tells its word.
+_CONTRACT = f"""
+WITH RECURSIVE step(word, pos, token, size, done) AS (
+    SELECT word, pos, token, 1, false FROM start
     UNION ALL
     SELECT * FROM (
-        WITH pairs AS (
-            SELECT a.word, a.pos, b.pos AS gone, m.merged, a.size + b.size AS size
-            FROM step a
-            JOIN step b ON b.word = a.word AND b.pos = a.pos + a.size
-            JOIN merges m ON m.first = a.token AND m.second = b.token
+        WITH live AS (
+            SELECT * FROM step WHERE NOT done
         ), chosen AS (
-            SELECT word, min((merged, pos, gone, size)) AS best FROM pairs GROUP BY word
+            SELECT a.word, min(m.merged * {_RANK} + a.pos * {_PLACE} + m.size) AS best
+            FROM live a
+            JOIN live b ON b.pos = a.pos + a.size
+            JOIN merges m ON m.pair = a.token * {_SIDE} + b.token
+            GROUP BY a.word
+        ), told AS (
+            SELECT s.word, s.pos, s.token, s.size, best // {_RANK} AS merged,
+                   best % {_RANK} // {_PLACE} AS place, best % {_PLACE} AS length
+            FROM live s LEFT JOIN chosen c ON c.word = s.word
         )
-        SELECT s.round + 1, s.word, s.pos,
-               CASE WHEN s.pos = c.best[2] THEN c.best[1] ELSE s.token END,
-               CASE WHEN s.pos = c.best[2] THEN c.best[4] ELSE s.size END
-        FROM step s JOIN chosen c ON c.word = s.word
-        WHERE s.pos <> c.best[3]
+        SELECT word, pos, CASE WHEN pos = place THEN merged ELSE token END,
+               CASE WHEN pos = place THEN length ELSE size END, merged IS NULL
+        FROM told WHERE merged IS NULL OR pos <= place OR pos >= place + length
     )
 )
-SELECT word, list(token ORDER BY pos) AS ids
-FROM step JOIN (SELECT word, max(round) AS round FROM step GROUP BY word) USING (word, round)
-GROUP BY word ORDER BY word
+SELECT word, token FROM step WHERE done ORDER BY pos
 """
 
 _DECODE = """
@@ -69,17 +76,20 @@ class RecursiveBpe:
         import regex
 
         self.ranks, self.cut = ranks, regex.compile(pattern).findall
-        self.single = np.array([ranks[bytes([b])] for b in range(256)], np.int32)
+        self.single = np.array([ranks[bytes([b])] for b in range(256)], np.int64)
         self.db = duckdb.connect(config={"threads": 1, "memory_limit": QUERY_MEMORY})
+        if max(ranks.values()) >= _SIDE or max(map(len, ranks)) >= _PLACE:
+            raise ValueError("the vocabulary is too large for the merge numbers")
         # every way to cut a token in two tokens is a merge of its rank
         merges = [
-            (ranks[token[:k]], ranks[token[k:]], rank)
+            (ranks[token[:k]] * _SIDE + ranks[token[k:]], rank, len(token))
             for token, rank in ranks.items()
             for k in range(1, len(token))
             if token[:k] in ranks and token[k:] in ranks
         ]
-        first, second, merged = np.array(merges, np.int32).reshape(-1, 3).T
-        self._table("merges", first=first, second=second, merged=merged)
+        pair, merged, size = np.array(merges, np.int64).reshape(-1, 3).T
+        self._table("merges", pair=pair, merged=merged, size=size)
+        self.known: dict[str, bytes] = {}
         pieces = ["".join(chr(b + _BYTE_SHIFT) for b in token) for token in ranks]
         self._table("vocabulary", token=np.fromiter(ranks.values(), np.int32), piece=pieces)
 
@@ -88,38 +98,41 @@ class RecursiveBpe:
         self.db.execute(f"CREATE OR REPLACE TABLE {table} AS SELECT * FROM given")
         self.db.unregister("given")
 
-    def words(self, words: list[bytes]) -> list[list[int]]:
-        """Ids of words. A word that is a token itself is that token."""
-        found = [[self.ranks[w]] if w in self.ranks else None for w in words]
-        open_words = [n for n, ids in enumerate(found) if ids is None and words[n]]
+    def words(self, words: list[bytes]) -> list[bytes]:
+        """Ids of words, little-endian. A word that is a token itself is that token."""
+        found = [np.uint32(self.ranks[w]).tobytes() if w in self.ranks else b"" for w in words]
+        open_words = [n for n, w in enumerate(words) if w and not found[n]]
         lengths = np.array([len(words[n]) for n in open_words], np.int64)
         ends = np.cumsum(lengths)
         start = 0
         while start < len(open_words):
             # at least one word, and as many as fit a query
             taken = ends[start - 1] if start else 0
-            stop = max(start + 1, int(np.searchsorted(ends, taken + QUERY_ROWS // 16)))
+            stop = max(start + 1, int(np.searchsorted(ends, taken + QUERY_ROWS // 4)))
             part = open_words[start:stop]
-            raw = np.frombuffer(b"".join(words[n] for n in part), np.uint8)
-            sizes = lengths[start:stop]
-            self._table(
-                "start",
-                word=np.repeat(np.arange(len(part), dtype=np.int32), sizes),
-                pos=(np.arange(len(raw)) - np.repeat(np.cumsum(sizes) - sizes, sizes)).astype(np.int32),
-                token=self.single[raw],
-            )
-            ids = self.db.sql(_CONTRACT).to_arrow_table().column("ids").to_pylist()
-            for n, own in zip(part, ids, strict=True):
-                found[n] = own
+            raw = np.frombuffer(b"".join([words[n] for n in part]), np.uint8)
+            word = np.repeat(np.arange(len(part)), lengths[start:stop])
+            self._table("start", word=word, pos=np.arange(len(raw)) + word, token=self.single[raw])
+            done = self.db.sql(_CONTRACT).fetchnumpy()
+            tokens = done["token"].astype("<u4").tobytes()
+            cuts = (4 * np.searchsorted(done["word"], np.arange(len(part) + 1))).tolist()
+            for n, a, b in zip(part, cuts, cuts[1:], strict=False):
+                found[n] = tokens[a:b]
             start = stop
-        return [ids or [] for ids in found]
+        return found
 
-    def chunks(self, chunks: list[str]) -> list[list[int]]:
+    def chunks(self, chunks: list[str]) -> list[bytes]:
         """Ids of texts, every match of the pattern by itself."""
-        cut = [[m.encode("utf-8", "surrogatepass") for m in self.cut(c)] for c in chunks]
-        distinct = list(dict.fromkeys(m for matches in cut for m in matches))
-        ids = dict(zip(distinct, self.words(distinct), strict=True))
-        return [[i for m in matches for i in ids[m]] for matches in cut]
+        cut = [self.cut(c) for c in chunks]
+        new = list(dict.fromkeys(m for matches in cut for m in matches if m not in self.known))
+        if len(self.known) + len(new) > CACHED_CHUNKS:
+            self.known.clear()
+            new = list(dict.fromkeys(m for matches in cut for m in matches))
+        self.known.update(zip(new, self.words([m.encode("utf-8", "surrogatepass") for m in new]), strict=True))
+        found = [b"".join([self.known[m] for m in matches]) for matches in cut]
+        for match in [m for m in new if len(m) > CACHED_CHARS]:
+            del self.known[match]
+        return found
 
     def decode(self, documents: list[bytes]) -> Iterator[bytes]:
         """Bytes of documents given as little-endian unsigned 32-bit ids."""

@@ -49,7 +49,7 @@ def encode_by_chunk(known: Known, text: str) -> bytes:
 class BatchEncoder:
     """Texts to ids where ``encode`` takes many chunks at a time."""
 
-    def __init__(self, encode: Callable[[list[str]], Iterable[list[int]]], batch: int):
+    def __init__(self, encode: Callable[[list[str]], Iterable[bytes]], batch: int):
         self.encode, self.batch = encode, batch
         self.known: dict[str, bytes] = {}
 
@@ -60,8 +60,7 @@ class BatchEncoder:
             if len(self.known) + len(new) > CACHED_CHUNKS:
                 self.known.clear()
                 new = dict.fromkeys(c for found in cut for c in found)
-            for chunk, ids in zip(new, self.encode(list(new)), strict=True):
-                self.known[chunk] = np.asarray(ids, "<u4").tobytes()
+            self.known.update(zip(new, self.encode(list(new)), strict=True))
             for found in cut:
                 yield b"".join([self.known[c] for c in found])
             for chunk in [c for c in new if len(c) > CACHED_CHARS]:
