@@ -206,11 +206,15 @@ _QUERIES = {
     "nearest_station": """
         SELECT latitude, longitude, departement, strftime(day, '%Y-%m-%d') AS day, station_id FROM nearest""",
     "station_valid_on_day": """
-        SELECT d.departement, strftime(d.day, '%Y-%m-%d') AS day, s.id AS station_id
-        FROM (SELECT DISTINCT lieu_departement_code AS departement,
-                     CAST(try_strptime(declaration_date_representation, '%d-%m-%Y') AS DATE) AS day
-              FROM fx_declarations) d
-        JOIN usable s ON s.departement = d.departement AND d.day BETWEEN s.valid_from AND s.valid_to""",
+        SELECT d.departement, s.id AS station_id, strftime(min(d.day), '%Y-%m-%d') AS first_day,
+               strftime(max(d.day), '%Y-%m-%d') AS last_day
+        FROM (SELECT departement, unnest(generate_series(min(day), max(day), INTERVAL 1 DAY)) AS day
+              FROM (SELECT lieu_departement_code AS departement,
+                           CAST(try_strptime(declaration_date_representation, '%d-%m-%Y') AS DATE) AS day
+                    FROM fx_declarations)
+              WHERE day IS NOT NULL GROUP BY departement) d
+        JOIN usable s ON s.departement = d.departement AND d.day BETWEEN s.valid_from AND s.valid_to
+        GROUP BY d.departement, s.id""",
     "weather_lookup": """
         SELECT n.station_id, strftime(n.day, '%Y-%m-%d') AS day, w.*
         FROM (SELECT DISTINCT station_id, day FROM nearest) n JOIN fx_weather w

@@ -29,10 +29,6 @@ def register(query: Query) -> Query:
 # --- steps that several queries share -------------------------------------------------
 
 
-def _text(df: DataFrame) -> DataFrame:
-    return df.select(*[F.col(c).cast("string").alias(c) for c in df.columns])
-
-
 def _valid(spark: SparkSession, sf: str) -> DataFrame:
     return key.with_address_key(flt.filter_valid_address(fx.declarations(spark, sf)))
 
@@ -306,8 +302,8 @@ def station_valid_on_day(spark: SparkSession, sf: str) -> DataFrame:
         fn.department_key(F.col("lieu_departement_code")).alias("departement"),
         fn.parse_day(F.col(flt.DAY_COLUMN)).alias("day"),
     )
-    return st.station_valid_on_day(days, fx.stations(spark, sf), fx.AS_OF).withColumn(
-        "day", _iso("day")
+    return st.station_valid_on_day(days, fx.stations(spark, sf), fx.AS_OF).withColumns(
+        {"first_day": _iso("first_day"), "last_day": _iso("last_day")}
     )
 
 
@@ -330,8 +326,10 @@ def join_weather_back(spark: SparkSession, sf: str) -> DataFrame:
 @register
 def no_weather_fallback(spark: SparkSession, sf: str) -> DataFrame:
     """The join back with no weather at all: every event, with null from the right."""
-    no_weather = _observed(spark, sf).where(F.col("rr") < 0)
-    back = wx.join_weather_back(_typed(_located(spark, sf)), wx.tag_weather(no_weather))
+    located = _typed(_located(spark, sf))
+    keys = located.select(*st.PLACE_DAY).distinct().withColumn("station_id", F.lit("1"))
+    no_weather = wx.weather_lookup(keys, fx.weather(spark, sf).limit(0))
+    back = wx.join_weather_back(located, wx.tag_weather(no_weather))
     return back.select("event_id", "latitude", "longitude", "station_id")
 
 

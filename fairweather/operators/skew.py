@@ -34,28 +34,33 @@ def salted_join(
     usual, and every row is joined exactly once.
 
     ``counts`` gives the rows per key (columns ``counts_on``, a subset of
-    ``on``, and a last column with the count) when the caller has them already;
-    a right side that carries the count of its key as ``_n_rows`` is salted by
-    it and loses it. The hot keys are broadcast: there are at most
-    ``left rows / rows_per_task`` of them, whatever the data looks like.
+    ``on``, and a last column with the count); a right side that carries the
+    count of its key as ``_n_rows`` is salted by it and loses it. Without counts
+    nothing is counted, because that would compute the left side twice: the join
+    is a plain one, and adaptive execution splits it where it is skewed. The hot
+    keys are at most ``left rows / rows_per_task``; Spark broadcasts them if they
+    are few.
 
-    ``spread`` deals out the rows of a hot key. The default is the number of
-    the input partition, which does not change when a lost task runs again;
-    give a hash of distinguishing columns where the left rows are distinct.
+    ``spread`` deals out the rows of a hot key. The default is a hash of the
+    row and of its input partition, which does not change when a lost task runs
+    again, whatever the left side is clustered by.
     """
     if how not in ("inner", "left"):
         raise ValueError(f"salted_join supports inner and left joins, not {how!r}")
     counts_on = counts_on or on
-    counts = count_keys(left, counts_on) if counts is None else counts
-    spread = F.spark_partition_id() if spread is None else spread
+    if counts is None:
+        right = right.drop(N_ROWS)
+        joined = left.join(right, on, how)
+        return joined.select(*left.columns, *[c for c in right.columns if c not in on])
+    if spread is None:
+        hashed = [f.name for f in left.schema if "map<" not in f.dataType.simpleString()]
+        spread = F.xxhash64(F.spark_partition_id(), *[F.col(f"`{name}`") for name in hashed])
 
     def n_salts(n_rows: Column) -> Column:
         return F.ceil(n_rows / rows_per_task).cast("int")
 
     n_rows = F.col(counts.columns[-1])
-    hot = F.broadcast(
-        counts.where(n_rows > rows_per_task).select(*counts_on, n_salts(n_rows).alias(_SALTS))
-    )
+    hot = counts.where(n_rows > rows_per_task).select(*counts_on, n_salts(n_rows).alias(_SALTS))
 
     null_key = F.lit(False)
     for column in on:

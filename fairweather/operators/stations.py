@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fairweather.functions.dates import parse_validity
+from fairweather.functions.geo import degree_distance
 from fairweather.functions.text import department_key
 
 PLACE_DAY = ["latitude", "longitude", "departement", "day"]
@@ -74,26 +75,30 @@ def _valid_on(day: Column) -> Column:
     return (F.col("valid_from") <= midnight) & (F.col("valid_to") >= midnight)
 
 
-def _in_years(stations: DataFrame, department_years: DataFrame) -> DataFrame:
-    """Each station once per year that is asked for and that its validity touches."""
-    asked = department_years.select("departement", "year")
-    overlap = (F.col("year") >= F.year("valid_from")) & (F.col("year") <= F.year("valid_to"))
-    return stations.join(asked, "departement").where(overlap)
-
-
 def station_valid_on_day(days: DataFrame, stations: DataFrame, as_of: dt.datetime) -> DataFrame:
-    """Every station valid on each distinct ``(departement, day)``.
+    """The days on which each station is valid: ``departement, station_id, first_day, last_day``.
 
-    The join is on department and year, so that the range condition only sees
-    stations that are valid at some time of the day's year.
+    Validity is clipped to the days asked for in the station's department; a
+    station that is valid on none between the first and the last of them is left
+    out. One row per listed station, however many days are asked for.
     """
-    days = days.select("departement", "day").where(F.col("day").isNotNull()).distinct()
-    days = days.withColumn("year", F.year("day"))
-    active = _in_years(station_validity(stations, as_of), days.select("departement", "year").distinct())
+    asked = (
+        days.where(F.col("day").isNotNull())
+        .groupBy("departement")
+        .agg(F.min("day").alias("first_asked"), F.max("day").alias("last_asked"))
+    )
+    opens = F.col("valid_from").cast("date")
+    opens = F.when(F.col("valid_from") > opens.cast("timestamp_ntz"), F.date_add(opens, 1)).otherwise(opens)
     return (
-        days.join(active, ["departement", "year"])
-        .where(_valid_on(F.col("day")))
-        .select("departement", "day", F.col("id").alias("station_id"))
+        station_validity(stations, as_of)
+        .join(asked, "departement")
+        .select(
+            "departement",
+            F.col("id").alias("station_id"),
+            F.greatest("first_asked", opens).alias("first_day"),
+            F.least("last_asked", F.col("valid_to").cast("date")).alias("last_day"),
+        )
+        .where(F.col("first_day") <= F.col("last_day"))
     )
 
 
@@ -117,16 +122,42 @@ def _cells_within(coordinate: str) -> str:
     return f"CASE WHEN level = {WHOLE} THEN array(0L) ELSE sequence({low}, {high}) END"
 
 
-# Each station once per year that is asked for and that its validity touches.
+def _first_listed(stations: DataFrame) -> DataFrame:
+    """Of stations with one position and validity only the first in the list can win."""
+    same = ["departement", "lat", "lon", "valid_from", "valid_to"]
+    first = F.min(F.struct("list_pos", "id")).alias("first")
+    return stations.groupBy(*same).agg(first).select(*same, "first.list_pos", "first.id")
+
+
+def _midnight(day: str) -> str:
+    return f"CAST({day} AS TIMESTAMP_NTZ)"
+
+
+# The days asked for in a department and period, clipped to those on which some
+# station is valid.
+_SPANS = f"""
+SELECT d.departement, d.period,
+       greatest({_midnight("min(d.first_day)")}, min(s.valid_from)) AS first_day,
+       least({_midnight("max(d.last_day)")}, max(s.valid_to)) AS last_day
+FROM (
+    SELECT departement, period, min(day) AS first_day, max(day) AS last_day
+    FROM {{dated}} WHERE period IS NOT NULL GROUP BY departement, period
+) d JOIN {{stations}} s ON s.departement = d.departement
+    AND s.valid_from <= {_midnight("d.last_day")} AND s.valid_to >= {_midnight("d.first_day")}
+GROUP BY d.departement, d.period
+"""
+
+# Each station once per period that is asked for and that its validity touches;
+# it bounds the distance if it is valid all the time.
 _ACTIVE = """
-SELECT s.*, y.year,
-       s.valid_from <= CAST(make_date(y.year, 1, 1) AS TIMESTAMP_NTZ)
-           AND s.valid_to >= CAST(make_date(y.year, 12, 31) AS TIMESTAMP_NTZ) AS all_year
+SELECT s.*, y.period, s.valid_from <= y.first_day AND s.valid_to >= y.last_day AS throughout
 FROM {stations} s
-JOIN (SELECT DISTINCT departement, year FROM {place_years}) y
-  ON s.departement = y.departement AND y.year BETWEEN year(s.valid_from) AND year(s.valid_to)
+JOIN {spans} y ON s.departement = y.departement AND s.valid_from <= y.last_day AND s.valid_to >= y.first_day
 """
 
+# Departments and periods where a station bounds the distance all the time.
+_BOUNDED = "SELECT DISTINCT departement, period, true AS bounded FROM {active} WHERE throughout"
+
 _STATION_CELLS = f"""
 SELECT s.*, {_own_cells("s.lat", "s.lon")}
 FROM {{active}} s LATERAL VIEW explode(sequence(0, {WHOLE})) l AS level
@@ -140,52 +171,43 @@ def _square(expression: str) -> str:
 _FAR_LAT = "greatest(abs(latitude - south), abs(latitude - north))"
 _FAR_LON = "greatest(abs(longitude - west), abs(longitude - east))"
 
-# For each place and year, a distance within which there surely is a station all
-# year long, null if the department has none. Every grid cell keeps the bounding
-# box of its all-year stations. A place looks up its own cell at each level:
+# For each place and period, a distance within which there surely is a station all
+# the time, null if the department has none. Every grid cell keeps the bounding
+# box of its stations that are valid throughout. A place looks up its own cell at each level:
 # some station lies in the box there, and none of them is farther than the far
 # corner. The margin is above rounding, so that no station on the edge is missed.
 _REACHES = f"""
-SELECT place, latitude, longitude, departement, year,
+SELECT place, latitude, longitude, departement, period,
        min(sqrt({_square(_FAR_LAT)} + {_square(_FAR_LON)})) * 1.000001D + 1e-9D AS reach
 FROM (
     SELECT p.*, {_own_cells("p.latitude", "p.longitude")}
-    FROM {{place_years}} p LATERAL VIEW explode(sequence(0, {WHOLE})) l AS level
+    FROM {{place_periods}} p LATERAL VIEW explode(sequence(0, {WHOLE})) l AS level
 ) LEFT JOIN (
-    SELECT departement, year, level, cell_x, cell_y,
+    SELECT departement, period, level, cell_x, cell_y,
            min(lat) AS south, max(lat) AS north, min(lon) AS west, max(lon) AS east
-    FROM {{station_cells}} WHERE all_year
-    GROUP BY departement, year, level, cell_x, cell_y
-) USING (departement, year, level, cell_x, cell_y)
-GROUP BY place, latitude, longitude, departement, year
+    FROM {{station_cells}} WHERE throughout
+    GROUP BY departement, period, level, cell_x, cell_y
+) USING (departement, period, level, cell_x, cell_y)
+GROUP BY place, latitude, longitude, departement, period
 """
 
 # The cells that meet the square of the reach around a place, at the level whose
-# cells are at least that large: at most four by four. The whole department
-# where there is no reach.
+# cells are at least that large: at most four by four.
 _SEARCHED = f"""
 SELECT l.*, x.cell_x, y.cell_y
 FROM (
-    SELECT *, CASE WHEN reach IS NULL THEN {WHOLE}
-                   ELSE CAST(least(greatest(ceil(log2(reach / {FINEST_CELL}D)), 0), {WHOLE}) AS INT)
-              END AS level
-    FROM {{reaches}}
+    SELECT *, CAST(least(greatest(ceil(log2(reach / {FINEST_CELL}D)), 0), {WHOLE}) AS INT) AS level
+    FROM {{reaches}} WHERE reach IS NOT NULL
 ) l
 LATERAL VIEW explode({_cells_within("latitude")}) x AS cell_x
 LATERAL VIEW explode({_cells_within("longitude")}) y AS cell_y
 """
 
-# The stations in these cells that can be nearest on some day of the year: none
+# Of the stations in these cells those that can be nearest on some day of the period: none
 # beyond the reach, and never one at an infinite or undefined distance.
 _CANDIDATES = """
 SELECT place, distance, list_pos, id, valid_from, valid_to
-FROM (
-    SELECT place, reach, id, list_pos, valid_from, valid_to,
-           sqrt((latitude - lat) * (latitude - lat)
-                + (longitude - lon) * (longitude - lon)) AS distance
-    FROM {searched} JOIN {station_cells} USING (departement, year, level, cell_x, cell_y)
-)
-WHERE distance < double('infinity') AND (reach IS NULL OR distance <= reach)
+FROM {met} WHERE distance < double('infinity') AND distance <= reach
 """
 
 _BEST = """
@@ -208,29 +230,41 @@ def nearest_station(keys: DataFrame, stations: DataFrame, as_of: dt.datetime) ->
     (``session.materialize``) if they are costly to make.
 
     Stations are searched once per place and year through a grid, not once per
-    day and not by pairing each key with its whole department. A place and year
-    has at most 366 keys, so the last join has no hot key; the joins on cells
-    may, and adaptive execution splits those: nothing downstream needs their
-    partitioning.
+    day and not by pairing each key with its whole department. Where no station
+    of a department is valid throughout the days asked for in a year, its places
+    are searched once per day: on a day every valid station bounds the distance.
+    A place and year has at most 366 keys, so the last join has no hot key; the
+    joins on cells may, and adaptive execution splits those: nothing downstream
+    needs their partitioning.
     """
     sql = keys.sparkSession.sql
-    # One text for place and year: a key of doubles would be normalised, and
-    # shuffled, anew for every join and aggregation.
-    dated = keys.withColumns(
-        {
-            "year": F.year("day"),
-            "place": F.concat_ws("_", "latitude", "longitude", F.year("day"), "departement"),
-        }
+    listed = _first_listed(station_validity(stations, as_of))
+    by_year = keys.withColumn("period", F.year("day").cast("string"))
+    year_spans = sql(_SPANS, dated=by_year, stations=listed)
+    bounded = sql(_BOUNDED, active=sql(_ACTIVE, stations=listed, spans=year_spans))
+    period = F.when(F.col("bounded"), F.col("period")).otherwise(F.col("day").cast("string"))
+    dated = (
+        by_year.join(bounded, ["departement", "period"], "left")
+        .withColumn("period", period)
+        # One text for place and period: a key of doubles would be normalised, and
+        # shuffled, anew for every join and aggregation.
+        .withColumn("place", F.concat_ws("_", "latitude", "longitude", "period", "departement"))
+        .select(*keys.columns, "period", "place")
     )
-    place_years = (
-        dated.where(F.col("year").isNotNull())
-        .select("place", "latitude", "longitude", "departement", "year")
+    place_periods = (
+        dated.where(F.col("period").isNotNull())
+        .select("place", "latitude", "longitude", "departement", "period")
         .distinct()
     )
-    active = sql(_ACTIVE, stations=station_validity(stations, as_of), place_years=place_years)
+    spans = sql(_SPANS, dated=dated, stations=listed)
+    active = sql(_ACTIVE, stations=listed, spans=spans)
     station_cells = sql(_STATION_CELLS, active=active)
-    reaches = sql(_REACHES, place_years=place_years, station_cells=station_cells)
+    reaches = sql(_REACHES, place_periods=place_periods, station_cells=station_cells)
     searched = sql(_SEARCHED, reaches=reaches)
-    candidates = sql(_CANDIDATES, searched=searched, station_cells=station_cells)
+    cell = ["departement", "period", "level", "cell_x", "cell_y"]
+    met = searched.join(station_cells, cell).withColumn(
+        "distance", degree_distance(F.col("latitude"), F.col("longitude"), F.col("lat"), F.col("lon"))
+    )
+    candidates = sql(_CANDIDATES, met=met)
     columns = ", ".join(f"d.`{name}`" for name in keys.columns)
     return sql(_BEST.replace("/* columns */", columns), dated=dated, candidates=candidates)

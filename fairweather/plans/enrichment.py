@@ -105,7 +105,7 @@ def _attach_weather(
             _DEPARTMENT: department_key(F.col("lieu_departement_code")),
             _DAY: F.coalesce(F.unix_date(day), F.lit(_NO_DAY)),
         }
-    ).where((F.col(_ADDRESS) != "") & F.col(_DEPARTMENT).isNotNull())
+    ).where(F.col(_ADDRESS) != "")
 
     groups = materialize(
         count_keys(keyed, _GROUP)
@@ -125,7 +125,8 @@ def _attach_weather(
             )
         )
 
-    located = groups.where(F.col("latitude").isNotNull())
+    # addresses were checked for every event; those without a department have no station
+    located = groups.where(F.col("latitude").isNotNull() & F.col(_DEPARTMENT).isNotNull())
     places = materialize(
         nearest_station(count_keys(located, PLACE_DAY), stations, as_of), "places"
     )

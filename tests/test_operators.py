@@ -184,9 +184,10 @@ def test_salted_join_splits_a_hot_key_and_joins_every_row_once(spark):
     )
     right = spark.createDataFrame([("hot", 1), ("hot", 2), ("k1", 3)], "k string, v int")
     plain = left.join(right, "k", "left")
-    salted = salted_join(left, right, ["k"], "left", rows_per_task=500)
+    counts = left.groupBy("k").count()
+    salted = salted_join(left, right, ["k"], "left", counts=counts, rows_per_task=500)
     assert values(salted, "id", "k", "v") == values(plain, "id", "k", "v")
-    inner = salted_join(left, right, ["k"], rows_per_task=500)
+    inner = salted_join(left, right, ["k"], counts=counts, rows_per_task=500)
     assert inner.count() == left.join(right, "k").count()
 
     # without broadcast and coalescing, the hot rows sit in several partitions
@@ -203,7 +204,13 @@ def test_salted_join_splits_a_hot_key_and_joins_every_row_once(spark):
             return df.where("k = 'hot'").select(F.spark_partition_id().alias("p")).distinct().count()
 
         assert partitions(left.join(right, "k", "left")) == 1
-        assert partitions(salted_join(left, right, ["k"], "left", rows_per_task=500)) > 1
+        assert partitions(salted_join(left, right, ["k"], "left", counts=counts, rows_per_task=500)) > 1
+        # also where the left side is clustered by the key
+        clustered = left.repartition(4, "k")
+        again = salted_join(clustered, right, ["k"], "left", counts=counts, rows_per_task=500)
+        assert partitions(again) > 1
+        dealt = again.select("id", F.spark_partition_id().alias("p"))
+        assert dealt.exceptAll(again.select("id", F.spark_partition_id().alias("p"))).isEmpty()
     finally:
         for name, value in before.items():
             spark.conf.set(name, value)

@@ -96,6 +96,16 @@ def test_filters_come_before_the_projection(tables):
     assert df.count() == 2
 
 
+def test_strict_geocoding_checks_addresses_without_a_department(tables):
+    declarations, *rest = tables
+    lost = declarations.sparkSession.createDataFrame([(9, "a", "9 rue", None, "T", None, "01-06-2024")], DECLARED)
+    known = declarations.where("id <> 8")
+    with pytest.raises(geo.IncompleteGeocoding, match="for 1 of 3 addresses: '9 rue, T'"):
+        plans.enrich_events_with_weather(known.unionByName(lost), *rest, as_of=AS_OF, columns=["id"])
+    nowhere = known.where("id <> 6").withColumn("lieu_departement_code", F.lit(None).cast("string"))
+    assert plans.enrich_events_with_weather(nowhere, *rest, as_of=AS_OF, columns=["id"]).collect() == []
+
+
 def test_strict_geocoding_is_the_default(tables):
     with pytest.raises(geo.IncompleteGeocoding, match="for 1 of 3 addresses: '3 rue, T'"):
         plans.enrich_events_with_weather(*tables, as_of=AS_OF, columns=["id"])

@@ -138,9 +138,12 @@ def test_valid_stations_of_a_day(spark):
         station("a", 1.0, 1.0), station("b", 1.0, 1.0, start="2024-06-01 06:00:00"),
         station("c", 1.0, 1.0, end="2024-06-01 00:00:00"), station("d", 1.0, 1.0, dept="1"),
     ]
-    days = spark.createDataFrame([("31", DAY), ("31", DAY), ("1", None)], "departement string, day date")
+    later = DAY + dt.timedelta(days=3)
+    days = spark.createDataFrame([("31", DAY), ("31", later), ("1", None)], "departement string, day date")
     valid = st.station_valid_on_day(days, spark.createDataFrame(stations, STATIONS), AS_OF)
-    assert sorted(tuple(r) for r in valid.collect()) == [("31", DAY, "a"), ("31", DAY, "c")]
+    assert sorted(tuple(r) for r in valid.collect()) == [
+        ("31", "a", DAY, later), ("31", "b", DAY + dt.timedelta(days=1), later), ("31", "c", DAY, DAY),
+    ]
 
 
 def test_stations_by_department(spark):
@@ -153,6 +156,32 @@ def test_stations_by_department(spark):
     assert {r.id for r in st.stations_by_department(stations, "2A").collect()} == {"c"}
 
 
+def count_candidates(spark, monkeypatch, keys, stations):
+    """Pairs of a place and a station that the search compares by day."""
+    monkeypatch.setattr(st, "_BEST", "SELECT c.*, 0 AS station_id FROM {candidates} c JOIN (SELECT DISTINCT place FROM {dated}) USING (place)")
+    found = st.nearest_station(spark.createDataFrame(keys, KEYS), spark.createDataFrame(stations, STATIONS), AS_OF)
+    return found.count()
+
+
+@pytest.mark.parametrize("case", ["as_of year", "first year", "part-year stations"])
+def test_the_search_is_bounded_on_every_day(spark, monkeypatch, case):
+    draw = random.Random(1)
+    spots = [(round(draw.uniform(0, 9), 3), round(draw.uniform(0, 9), 3)) for _ in range(200)]
+    day = {"as_of year": dt.date(2026, 3, 1), "first year": dt.date(2000, 9, 1)}.get(case, dt.date(2024, 6, 1))
+    starts = {"first year": "2000-05-01 00:00:00", "part-year stations": "2024-02-01 00:00:00"}
+    ends = {"part-year stations": "2024-09-01 00:00:00"}
+    stations = [
+        station(f"s{n}", *spot, pos=n, start=starts.get(case, "1990-01-01 00:00:00"), end=ends.get(case, ""))
+        for n, spot in enumerate(spots)
+    ]
+    places = [(round(draw.uniform(0, 9), 3), round(draw.uniform(0, 9), 3), "31") for _ in range(100)]
+    days = [day, day + dt.timedelta(days=40), dt.date(day.year, 1, 5)]
+    keys = [(*place, d) for place in places for d in days]
+    quiet = [(*place, dt.date(2010, 3, 1)) for place in places]
+    always = [station(f"s{n}", *spot, pos=n) for n, spot in enumerate(spots)]
+    assert count_candidates(spark, monkeypatch, keys, stations) <= 4 * count_candidates(spark, monkeypatch, quiet, always)
+
+
 def test_the_search_never_pairs_everything(spark):
     keys = spark.createDataFrame([(1.0, 1.0, "31", DAY)], KEYS)
     stations = spark.createDataFrame([station("s", 1.0, 1.0)], STATIONS)
