@@ -226,9 +226,7 @@ def _with_leaders(sets: DataFrame, texts: DataFrame, threshold: Threshold, scrat
     In every round sets that lead themselves and share the least of one hash
     meet. One of them, a leader already if there is one, or else the one with the
     fewest rare shingles, is offered to the others that lead nobody; who is above the threshold with it joins it. A
-    second equal hash is asked for, because only likely pairs are worth a text, or that
-    the frequent shingles of a set would do: then it is one of a large group, and as a
-    leader of its own it would be compared with every other one left of the group.
+    second equal hash is asked for, because only likely pairs are worth a text.
     """
     members = None
     for turn in range(LEADER_ROUNDS):
@@ -249,11 +247,10 @@ def _with_leaders(sets: DataFrame, texts: DataFrame, threshold: Threshold, scrat
         )
         equal = F.size(F.filter(F.sequence(F.lit(0), F.lit(LEADER_ROUNDS - 1)), lambda k: F.col("least")[k] == F.col("head.least")[k]))
         most = F.least("n", "head.n")
-        of_large_group = threshold.reachable(F.col("n") - F.col("rare"), F.col("n"), F.col("head.n"))
         pairs = free.join(heads, "meet").where(
             ~F.col("leads")
             & (F.col("sig") != F.col("head.sig"))
-            & ((equal > 1) | of_large_group)
+            & (equal > 1)
             & threshold.reachable(most, F.col("n"), F.col("head.n"))
         ).select(F.col("head.sig").alias("a"), F.col("sig").alias("b"), "n", F.col("head.n").alias("m"))
         pairs = scratch.materialize(pairs, "leader-pairs")
