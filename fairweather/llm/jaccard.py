@@ -4,7 +4,8 @@ Copies are one set. Sets that are very similar get a common leader, verified,
 and their answers are derived from the leader's: with ``o`` shingles common to
 two leaders and ``d`` shingles of a set that its leader lacks, two sets have at
 most ``o + d1 + d2`` in common. Only leaders are compared; members are, one by
-one, where that bound leaves the answer open.
+one, where that bound leaves the answer open, and where they have a rare shingle
+in common or their frequent ones suffice.
 
 Leaders that must be compared come from index lists. A set enters the lists of
 its first shingles in a common order, so many that two sets above the threshold
@@ -262,8 +263,12 @@ def _with_leaders(sets: DataFrame, texts: DataFrame, threshold: Threshold, scrat
         )
         members = scratch.materialize(joined if members is None else members.unionByName(joined), "members")
     return scratch.materialize(
-        sets.select("sig", "n").join(members, "sig", "left").select(
-            "sig", "n", F.coalesce("leader", "sig").alias("leader"), F.coalesce("lacking", F.lit(0)).alias("lacking")
+        sets.select("sig", "n", "rare").join(members, "sig", "left").select(
+            "sig",
+            "n",
+            "rare",
+            F.coalesce("leader", "sig").alias("leader"),
+            F.coalesce("lacking", F.lit(0)).alias("lacking"),
         ),
         "led-sets",
     )
@@ -413,6 +418,32 @@ def _listed(led: DataFrame, frequent: np.ndarray, shared: np.ndarray, threshold:
     return led.select("leader", "packed").mapInArrow(enter, "shingle bigint, leader binary, low int, high int, rest int")
 
 
+def _rare_listed(sets: DataFrame, frequent: np.ndarray, threshold: Threshold) -> DataFrame:
+    """``(shingle, sig, leader, n, lacking)``: the rare shingles that a set is listed under.
+
+    Sets that link and have a rare shingle in common share one of these: the first
+    that they have in common in the order is among those either is listed under.
+    """
+
+    def enter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shingles = Shingles(threshold.words)
+        for batch in batches:
+            listed = [_prefix(own, frequent, threshold) for own in _unpacked(batch, shingles)]
+            listed = [first[~_often(first, frequent)] for first in listed]
+            owner = pa.array(np.repeat(np.arange(len(listed)), [len(first) for first in listed]))
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(np.concatenate([np.zeros(0, np.int64), *listed])),
+                    *[batch.column(c).take(owner) for c in ("sig", "leader", "n", "lacking")],
+                ],
+                ["shingle", "sig", "leader", "n", "lacking"],
+            )
+
+    return sets.select("sig", "leader", "n", "lacking", "packed").mapInArrow(
+        enter, "shingle bigint, sig binary, leader binary, n bigint, lacking bigint"
+    )
+
+
 def _may_link(l1, h1, r1, l2, h2, r2, percent: int):  # noqa: ANN001
     """Whether entries with these least and most sizes, and shingles to follow, may hold sets that link."""
     sizes = (100 * h1 >= percent * l2) & (100 * h2 >= percent * l1)
@@ -516,17 +547,35 @@ def _leader_links(
         & threshold.reachable(most, F.col("low_a"), F.col("low_b"))
     ).select("a", "b", "common")
 
-    def sets_of(name: str) -> DataFrame:
-        return led.select(F.col("leader").alias(name), F.col("sig").alias(f"set_{name}"), F.col("n").alias(f"m_{name}"), F.col("lacking").alias(f"d_{name}"))
+    def sets_of(sets: DataFrame, name: str) -> DataFrame:
+        return sets.withColumnsRenamed(
+            {"leader": name, "sig": f"set_{name}", "n": f"m_{name}", "lacking": f"d_{name}", "rare": f"r_{name}"}
+        )
 
+    # a set with as little as its leader in the other
     derived = F.col("common") + F.col("d_a") + F.col("d_b")
-    # a set with as little as its leader in the other: narrowed before the second join
+    still_open = (F.col("d_a") + F.col("d_b") > 0) & threshold.reachable(derived, F.col("m_a"), F.col("m_b"))
+    columns = ["a", "b", "set_a", "set_b", "m_a", "m_b"]
+    # without a common rare shingle, the frequent ones have to do
+    frequent_ones = F.least(F.col("m_a") - F.col("r_a"), F.col("m_b") - F.col("r_b"))
     of_members = (
-        open_pairs.join(sets_of("a"), "a")
-        .join(sets_of("b"), "b")
-        .where((F.col("d_a") + F.col("d_b") > 0) & threshold.reachable(derived, F.col("m_a"), F.col("m_b")))
-        .select("a", "b", "set_a", "set_b", "m_a", "m_b")
+        open_pairs.join(sets_of(led, "a"), "a")
+        .join(sets_of(led, "b"), "b")
+        .where(still_open & threshold.reachable(frequent_ones, F.col("m_a"), F.col("m_b")))
+        .select(*columns)
+    )
+    open_leaders = open_pairs.select(F.explode(F.array("a", "b")).alias("leader")).distinct()
+    open_sets = texts.join(led.join(open_leaders, "leader", "left_semi"), "sig")
+    rare_lists = scratch.materialize(_rare_listed(open_sets, frequent, threshold).distinct(), "rare-lists")
+    of_rare_lists = (
+        sets_of(rare_lists, "a")
+        .join(sets_of(rare_lists, "b"), "shingle")
+        .where("a < b")
+        .join(open_pairs, ["a", "b"])
+        .where(still_open)
+        .select(*columns)
     )
+    of_members = of_members.unionByName(of_rare_lists).distinct()
     of_members = scratch.materialize(of_members, "open-pairs")
     member_pairs = of_members.select(F.col("set_a").alias("a"), F.col("set_b").alias("b")).distinct()
     member_links = (
