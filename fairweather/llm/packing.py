@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fairweather.llm.ranking import PART, number_rows
-from fairweather.llm.tokens import file_encoder
+from fairweather.llm.tokens import ColumnEncoder
 from fairweather.session import Scratch
 
 
@@ -148,13 +148,12 @@ def token_pieces(
     """
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = file_encoder(tokenizer, pattern)
+        encode = ColumnEncoder(tokenizer, pattern)
         end = np.asarray([end_id], "<u4").tobytes()
         size = 4 * capacity
         for batch in batches:
-            texts = [t or "" for t in batch.column(1).to_pylist()]
             rows, found = [], {"piece": [], "start": [], "length": [], "ids_crc32": []}
-            for row, body in enumerate(map(encode, texts)):
+            for row, body in enumerate(encode(batch.column(1))):
                 ids = body + end
                 first = len(ids) % size or size
                 bounds = [0, *range(first, len(ids), size), len(ids)] if first < len(ids) else [0, len(ids)]

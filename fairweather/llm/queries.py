@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from fairweather.llm import (
     bpe,
     chat,
+    decomposition,
     jaccard,
     language,
     licenses,
@@ -179,3 +180,16 @@ def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = F.when(doc_id.isNotNull(), F.concat_ws("/", "source", *folders, name))
     files = _table(spark, sf_dir, "documents").select("doc_id", "text", path.alias("path"))
     return licenses.scan(files, Scratch(spark))
+
+
+@register
+def op13_power_of_two_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in pieces of binary length up to 1024 tokens, each a sequence."""
+    pieces = decomposition.binary_pieces(
+        _table(spark, sf_dir, "documents"),
+        public_tokenizers.path("byte_bpe_50k.json"),
+        public_tokenizers.PATTERN,
+        1024,
+        0,
+    )
+    return decomposition.bucket(pieces, ["doc_id", "start", "ids_crc32"], Scratch(spark))
