@@ -16,6 +16,7 @@ from fairweather.llm import (
     line_frequency,
     neighbours,
     packing,
+    phrases,
     quality,
     sharding,
 )
@@ -193,3 +194,52 @@ def op13_power_of_two_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
         0,
     )
     return decomposition.bucket(pieces, ["doc_id", "start", "ids_crc32"], Scratch(spark))
+
+
+@register
+def op12_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 2000 best phrases of two to four words of every language."""
+    return phrases.collocations(_table(spark, sf_dir, "documents"), Scratch(spark))
+
+
+ORACLES["op12_phrase_collocations"] = r"""
+WITH pieces AS (
+    SELECT coalesce(lang, 'und') AS lang,
+           unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                     '[.,;:!?\x0A-\x0D]')) AS piece
+    FROM documents
+), worded AS (
+    SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces
+), totals AS (
+    SELECT lang, sum(len(w))::BIGINT AS n FROM worded GROUP BY lang
+), grams AS (
+    SELECT lang, k, unnest([array_to_string(w[i:i + k - 1], ' ') FOR i IN range(1, len(w) - k + 2)]) AS phrase
+    FROM worded, (VALUES (1), (2), (3), (4)) sizes(k) WHERE len(w) >= k
+), f AS (
+    SELECT lang, k, phrase, count(*) AS f FROM grams GROUP BY ALL HAVING count(*) >= 30
+), cuts AS (
+    SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS w, unnest(range(1, k)) AS cut FROM f WHERE k > 1
+), scored AS (
+    SELECT c.lang, c.k, c.phrase, c.a, c.cut, x.f AS l, y.f AS r,
+           (2000000::HUGEINT * c.a) // (x.f::HUGEINT + y.f) AS score
+    FROM cuts c
+    JOIN f x ON x.lang = c.lang AND x.phrase = array_to_string(c.w[:c.cut], ' ')
+    JOIN f y ON y.lang = c.lang AND y.phrase = array_to_string(c.w[c.cut + 1:], ' ')
+), least AS (
+    SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1
+), inside AS (
+    SELECT lang, part, max(a) AS longer FROM (
+        SELECT lang, f AS a, unnest(flatten([
+            [array_to_string(string_split(phrase, ' ')[i:i + s - 1], ' ') FOR i IN range(1, k - s + 2)] FOR s IN range(2, k)
+        ])) AS part
+        FROM f WHERE k > 2
+    ) GROUP BY lang, part
+), kept AS (
+    SELECT least.* FROM least LEFT JOIN inside ON inside.lang = least.lang AND part = phrase
+    WHERE longer IS NULL OR 100::HUGEINT * longer < 80::HUGEINT * a
+)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank,
+       phrase, a, l, r, n, score::BIGINT AS score
+FROM kept JOIN totals USING (lang)
+QUALIFY rank <= 2000
+"""

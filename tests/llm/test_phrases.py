@@ -1,0 +1,123 @@
+import random
+import re
+from collections import Counter
+
+import cases
+import pytest
+
+from fairweather.llm import phrases
+from fairweather.llm.queries import ORACLES, QUERIES
+from fairweather.session import Scratch
+
+
+def grams(rows, longest):
+    """Occurrences of (lang, phrase), and how many words a language has."""
+    found, totals = Counter(), Counter()
+    for lang, text in rows:
+        lang = "und" if lang is None else lang
+        lowered = re.sub("[A-Z]", lambda m: m[0].lower(), text or "")
+        for piece in re.split("[.,;:!?\n-\r]", lowered):
+            words = re.findall("[^ \t]+", piece)
+            totals[lang] += len(words)
+            for k in range(1, longest + 1):
+                for i in range(len(words) - k + 1):
+                    found[lang, " ".join(words[i : i + k])] += 1
+    return found, totals
+
+
+def expected(rows, top=2000, least=30, percent=80, longest=4):
+    found, totals = grams(rows, longest)
+    candidates = {k: a for k, a in found.items() if " " in k[1] and a >= least}
+    by_lang = {}
+    for (lang, phrase), a in candidates.items():
+        words = phrase.split(" ")
+        inside = False
+        for (other, longer), b in candidates.items():
+            if other == lang and len(longer) > len(phrase) and f" {phrase} " in f" {longer} ":
+                inside = inside or 100 * b >= percent * a
+        if inside:
+            continue
+        cuts = []
+        for k in range(1, len(words)):
+            l, r = found[lang, " ".join(words[:k])], found[lang, " ".join(words[k:])]
+            cuts.append((2000000 * a // (l + r), k, l, r))
+        score, _, l, r = min(cuts)
+        by_lang.setdefault(lang, []).append((-score, -a, phrase.encode(), l, r))
+    return {
+        (lang, n + 1, phrase.decode(), -a, l, r, totals[lang], -score)
+        for lang, own in by_lang.items()
+        for n, (score, a, phrase, l, r) in enumerate(sorted(own)[:top])
+    }
+
+
+def frame(spark, rows):
+    return spark.createDataFrame([(t, c, 1, "x") for c, t in rows], "text string, lang string, f int, phrase string")
+
+
+def prose(seed, words="the of a b é 同 x.y end", texts=60, most=120):
+    draw = random.Random(seed)
+    vocabulary, marks = words.split(" "), [" ", " ", " ", "  ", "\t", ". ", "\n", ",", "\r\n", " "]
+    rows = []
+    for n in range(texts):
+        text = "".join(
+            draw.choices(vocabulary, weights=[9, 6, 4, 3, 2, 2, 1, 1])[0] + draw.choice(marks)
+            for _ in range(draw.randint(0, most))
+        )
+        rows.append((draw.choice(["en", "fr", None]), text.title() if n % 3 == 0 else text))
+    return rows
+
+
+@pytest.mark.parametrize("seed,budget,chunk", [(1, 3_000_000, 1 << 20), (2, 400, 300), (3, 40, 64), (4, 1, 24)])
+def test_against_counting_every_phrase(spark, seed, budget, chunk):
+    rows = [*prose(seed), (None, None), ("de", ""), ("de", " \t . ,"), ("en", "the " * 500), ("en", "q" * 300)]
+    rows += rows[:5]
+    options = {"tree_suffixes": budget, "chunk_bytes": chunk}
+    found = phrases.collocations(frame(spark, rows), Scratch(spark), least=5, **options)
+    assert {tuple(r) for r in found.collect()} == expected(rows, least=5)
+    cut = phrases.collocations(frame(spark, rows), Scratch(spark), least=3, top=7, longest=3, **options).collect()
+    assert {tuple(r) for r in cut} == expected(rows, least=3, top=7, longest=3)
+
+
+@pytest.mark.parametrize("size", [10, 37, 64, 1000])
+def test_segments_own_every_word_once(size):
+    text = " ".join(t for _, t in prose(9) if t).encode() + b" " * 99 + b"w" * 150 + b" a b"
+    counted = Counter()
+    for part, own in phrases._segments(text, 4, size):
+        chunk = phrases.Chunk([("en", part, own)], 4)
+        columns, counts = chunk.suffixes(phrases.np.ones(len(chunk.words), bool), 1, 4)
+        names = chunk.texts()
+        for n, count in enumerate(counts.tolist()):
+            counted[b" ".join(names[c[n]] for c in columns if c[n] >= 0)] += count
+    whole = phrases.Chunk([("en", text, len(text))], 4)
+    columns, counts = whole.suffixes(phrases.np.ones(len(whole.words), bool), 1, 4)
+    names = whole.texts()
+    assert counted == {
+        b" ".join(names[c[n]] for c in columns if c[n] >= 0): count for n, count in enumerate(counts.tolist())
+    }
+
+
+def test_counts_beyond_64_bits_stay_exact(spark, monkeypatch):
+    a = 9 * 10**14
+    rows = [("en", None, 0, 4 * a), ("en", "x", 1, a + 7), ("en", "y", 1, a + 1), ("en", "x y", 2, a)]
+    monkeypatch.setattr(
+        phrases, "phrase_counts", lambda *_, **__: spark.createDataFrame(rows, "lang string, phrase string, words int, f long")
+    )
+    found = phrases.collocations(None, Scratch(spark)).collect()
+    assert [tuple(r) for r in found] == [("en", 1, "x y", a, a + 7, a + 1, 4 * a, 2000000 * a // (2 * a + 8))]
+
+
+@pytest.mark.parametrize("folder", ["given", "odd", "empty"])
+def test_the_query_and_its_sql(spark, tmp_path, folder):
+    duckdb = pytest.importorskip("duckdb")
+    path = cases.SF
+    if folder != "given":
+        cases.documents(spark, path := tmp_path, **({"rows": []} if folder == "empty" else {}))
+    files = f"{path}/documents.parquet" + ("" if folder == "given" else "/*.parquet")
+    rows = [(r["lang"], r["text"]) for r in spark.read.parquet(f"{path}/documents.parquet").collect()]
+    result = QUERIES["op12_phrase_collocations"](spark, str(path))
+    found = {tuple(r) for r in result.collect()}
+    assert found == expected(rows) and (found or folder == "empty")
+    duck = duckdb.connect()
+    duck.execute(f"CREATE VIEW documents AS SELECT * FROM '{files}'")
+    assert set(duck.execute(ORACLES["op12_phrase_collocations"]).fetchall()) == found
+    assert result.columns == ["lang", "rank", "phrase", "a", "l", "r", "n", "score"]
