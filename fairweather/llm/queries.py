@@ -10,6 +10,7 @@ from fairweather.llm import (
     bpe,
     chat,
     decomposition,
+    hard_negatives,
     jaccard,
     language,
     licenses,
@@ -243,3 +244,37 @@ SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, p
 FROM kept JOIN totals USING (lang)
 QUALIFY rank <= 2000
 """
+
+
+@register
+def op11_cover_tree_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives for every hundredth embedding; every seventh changes its label first."""
+    vec_id = F.col("vec_id")
+    label = F.when(vec_id % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    embeddings = _table(spark, sf_dir, "embeddings")
+    return hard_negatives.mine(embeddings, Scratch(spark), is_anchor=vec_id % 100 == 0, label=label)
+
+
+ORACLES["op11_cover_tree_negatives"] = """
+WITH rows AS (
+    SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+           [floor(256 * x::DOUBLE) FOR x IN embedding] AS v, row_number() OVER () AS row
+    FROM embeddings
+    WHERE label IS NOT NULL AND embedding IS NOT NULL
+      AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+), scores AS (
+    SELECT a.vec_id AS anchor_id, a.row AS anchor, b.vec_id, b.row, a.label = b.label AS same,
+           list_inner_product(a.v, b.v)::BIGINT AS score
+    FROM rows a JOIN rows b ON len(a.v) = len(b.v) AND a.row <> b.row
+    WHERE a.vec_id % 100 = 0
+), positives AS (
+    SELECT * FROM scores WHERE same
+    QUALIFY row_number() OVER (PARTITION BY anchor ORDER BY score DESC, vec_id NULLS LAST, row) <= 5
+)
+SELECT p.anchor_id, p.vec_id AS positive_id,
+       row_number() OVER (PARTITION BY p.anchor, p.row ORDER BY n.score DESC, n.vec_id NULLS LAST, n.row) AS rank,
+       n.vec_id AS negative_id, p.score AS positive_score, n.score AS negative_score
+FROM positives p JOIN scores n ON n.anchor = p.anchor AND NOT n.same
+WHERE 30 * p.score <= 100 * n.score AND 100 * n.score <= 90 * p.score
+QUALIFY rank <= 10
+"""
