@@ -182,6 +182,63 @@ def test_the_search_is_bounded_on_every_day(spark, monkeypatch, case):
     assert count_candidates(spark, monkeypatch, keys, stations) <= 4 * count_candidates(spark, monkeypatch, quiet, always)
 
 
+def part_year(draw, n, spot=(0.0, 0.0)):
+    """Stations in one square degree, each valid for a part of 2024."""
+    found = []
+    for i in range(n):
+        first = dt.date(2024, 1, 20) + dt.timedelta(days=draw.randint(0, 60))
+        last = dt.date(2024, 9, 1) + dt.timedelta(days=draw.randint(0, 60))
+        place = (round(spot[0] + draw.random(), 3), round(spot[1] + draw.random(), 3))
+        found.append(station(f"s{i}", *place, pos=i, start=f"{first} 00:00:00", end=f"{last} 00:00:00"))
+    return found
+
+
+@pytest.mark.parametrize("days", [(150, 200, 210), (3, 150, 200), (3, 100, 350)])
+def test_one_far_station_that_is_always_valid_widens_nothing(spark, monkeypatch, days):
+    draw = random.Random(7)
+    near, far = part_year(draw, 200), station("far", 7.0, 7.0, pos=999)
+    places = [(round(draw.random(), 3), round(draw.random(), 3), "31") for _ in range(150)]
+    keys = [(*place, dt.date(2024, 1, 1) + dt.timedelta(days=d)) for place in places for d in days]
+    assert search(spark, keys, [*near, far]) == by_looping(keys, [*near, far])
+    alone = count_candidates(spark, monkeypatch, keys, near)
+    together = count_candidates(spark, monkeypatch, keys, [*near, far])
+    # days on which only the far station is valid have it as their one candidate
+    quiet = sum(1 for d in days if d < 15 or d > 320) * len(places)
+    assert together <= 4 * alone + quiet
+    assert together < 0.2 * len(keys) * len(near)
+
+
+def test_stations_that_follow_each_other_bound_the_distance_together(spark, monkeypatch):
+    draw = random.Random(8)
+    spots = [(round(draw.uniform(0, 9), 3), round(draw.uniform(0, 9), 3)) for _ in range(200)]
+    halves = [("2023-01-01 00:00:00", "2024-06-30 00:00:00"), ("2024-07-01 00:00:00", "")]
+    stations = [
+        station(f"s{n}-{h}", *spot, pos=2 * n + h, start=start, end=end)
+        for n, spot in enumerate(spots)
+        for h, (start, end) in enumerate(halves)
+    ]
+    always = [station(f"s{n}", *spot, pos=n) for n, spot in enumerate(spots)]
+    keys = [(*spot, "31", dt.date(2024, month, 1)) for spot in spots[:50] for month in (2, 6, 7, 11)]
+    assert search(spark, keys, stations) == by_looping(keys, stations)
+    assert count_candidates(spark, monkeypatch, keys, stations) <= 2 * count_candidates(spark, monkeypatch, keys, always)
+
+
+def test_covered_periods_join_what_touches(spark):
+    stations = [
+        station("a", 1.0, 1.0, start="2024-01-01 00:00:00", end="2024-01-10 00:00:00"),
+        station("b", 1.001, 1.002, start="2024-01-11 00:00:00", end="2024-01-20 00:00:00"),
+        station("c", 1.002, 1.001, start="2024-02-01 00:00:00", end="2024-02-02 12:00:00"),
+        station("d", 1.0, 1.0, start="2024-02-02 06:00:00", end="2024-02-02 23:00:00"),  # valid on no day
+        station("e", 1.003, 1.0, start="2024-01-15 00:00:00", end="2024-01-16 00:00:00"),
+    ]
+    listed = st._first_listed(st.station_validity(spark.createDataFrame(stations, STATIONS), AS_OF))
+    covered = st.station_coverage(listed).collect()
+    day = dt.date(2024, 1, 1).toordinal() - dt.date(1970, 1, 1).toordinal()
+    for level in range(st.WHOLE + 1):
+        rows = sorted((r.first_day - day, r.last_day - day, r.south, r.north, r.west, r.east) for r in covered if r.level == level)
+        assert rows == [(0, 19, 1.0, 1.003, 1.0, 1.002), (31, 32, 1.002, 1.002, 1.001, 1.001)]
+
+
 def test_the_search_never_pairs_everything(spark):
     keys = spark.createDataFrame([(1.0, 1.0, "31", DAY)], KEYS)
     stations = spark.createDataFrame([station("s", 1.0, 1.0)], STATIONS)
