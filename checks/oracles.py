@@ -169,7 +169,10 @@ _QUERIES = {
                CASE event_id % 3 WHEN 0 THEN TRUE WHEN 1 THEN FALSE END AS declaration_gestionnaires_multiples
         FROM fx_declarations""",
     "read_geocode_results": "SELECT *, '0.9' AS result_score FROM fx_gazetteer",
-    "read_station_list": "SELECT id, departement, lat, lon, poste_ouvert FROM fx_stations",
+    "read_station_list": """
+        SELECT id, departement, row_number() OVER (PARTITION BY departement ORDER BY list_pos) - 1 AS list_pos,
+               lat, lon, poste_ouvert
+        FROM fx_stations""",
     "read_station_info": "SELECT id, date_debut, date_fin FROM fx_stations WHERE list_pos % 11 <> 0",
     "read_weather_csv": "SELECT * FROM fx_weather",
     "filter_equals": """
@@ -189,7 +192,8 @@ _QUERIES = {
         WHERE id IS NOT NULL AND id NOT IN ('', '0') AND lat IS NOT NULL AND lon IS NOT NULL""",
     "filter_geocode_ok": "SELECT * FROM answers",
     "stations_by_department": """
-        SELECT id, departement, lat, lon FROM fx_stations WHERE departement = '2' AND list_pos % 2 = 0""",
+        SELECT id, departement, row_number() OVER (ORDER BY list_pos) - 1 AS list_pos, lat, lon
+        FROM fx_stations WHERE departement = '2' AND list_pos % 2 = 0""",
     "weather_for_day": "SELECT * FROM fx_weather WHERE poste = '00000001' AND jour = '19970131'",
     "rename_day": "SELECT event_id, declaration_date_representation AS day_representation FROM fx_declarations",
     "clean_keys": """

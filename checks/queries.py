@@ -13,6 +13,7 @@ from fairweather import plans, sources
 from fairweather.operators import filters as flt
 from fairweather.operators import geocoding as geo
 from fairweather.operators import keys as key
+from fairweather.operators import skew
 from fairweather.operators import stations as st
 from fairweather.operators import weather as wx
 from fairweather.session import materialize, scratch_path
@@ -53,27 +54,29 @@ def _typed(located: DataFrame) -> DataFrame:
     )
 
 
+def _counted(spark: SparkSession, sf: str) -> DataFrame:
+    """Distinct places and days with their events; written out, because they are read several times."""
+    return materialize(skew.count_keys(_typed(_located(spark, sf)), st.PLACE_DAY), "place-days")
+
+
 def _place_days(spark: SparkSession, sf: str) -> DataFrame:
-    """Distinct places and days; written out, because the search reads them several times."""
-    combinations = _typed(key.distinct_combinations(_located(spark, sf)))
-    return materialize(combinations.select(*st.PLACE_DAY).distinct(), "place-days")
+    return _counted(spark, sf).drop(skew.N_ROWS)
 
 
 def _found(spark: SparkSession, sf: str) -> DataFrame:
     return st.nearest_station(_place_days(spark, sf), fx.stations(spark, sf), fx.AS_OF)
 
 
-def _found_once(spark: SparkSession, sf: str) -> DataFrame:
-    """The same for queries that count their keys before they join them."""
-    return materialize(_found(spark, sf), "found")
+def _looked_up(place_days: DataFrame, sf: str) -> DataFrame:
+    """Weather by place and day, values read."""
+    spark = place_days.sparkSession
+    found = materialize(st.nearest_station(place_days, fx.stations(spark, sf), fx.AS_OF), "found")
+    weather = wx.weather_lookup(found, fx.weather(spark, sf), days=wx.asked_days(found))
+    return wx.parse_weather(weather, values=["rr", "QRR", "tn", "vide"])
 
 
 def _observed(spark: SparkSession, sf: str) -> DataFrame:
-    """Weather by place and day, values read."""
-    weather = fx.weather(spark, sf)
-    return wx.parse_weather(
-        wx.weather_lookup(_found_once(spark, sf), weather), values=["rr", "QRR", "tn", "vide"]
-    )
+    return _looked_up(_place_days(spark, sf), sf)
 
 
 def _iso(column: str) -> Column:
@@ -98,8 +101,8 @@ def _landed_weather(spark: SparkSession, sf: str) -> str:
     return path
 
 
-def _station_documents(spark: SparkSession, sf: str) -> DataFrame:
-    """Station lists as JSON documents of at most 1000 stations; every second one is wrapped."""
+def _station_documents(stations: DataFrame) -> DataFrame:
+    """Station lists as JSON documents of at most 1000 numbers; every second one is wrapped."""
     entry = F.struct(
         "id",
         "lat",
@@ -108,12 +111,12 @@ def _station_documents(spark: SparkSession, sf: str) -> DataFrame:
     )
     page = F.floor(F.col("list_pos") / 1000)
     return (
-        fx.stations(spark, sf)
-        .groupBy("departement", page.alias("page"))
+        stations.groupBy("departement", page.alias("page"))
         .agg(F.array_sort(F.collect_list(F.struct("list_pos", entry.alias("entry")))).alias("page_rows"))
         .withColumn("listed", F.to_json(F.col("page_rows.entry")))
         .select(
             "departement",
+            F.format_string("%05d", "page").alias("page"),
             F.when(
                 F.pmod(F.col("page") + F.col("departement").cast("int"), F.lit(2)) == 0,
                 F.concat(F.lit('{"data": '), F.col("listed"), F.lit("}")),
@@ -161,10 +164,10 @@ def read_geocode_results(spark: SparkSession, sf: str) -> DataFrame:
 def read_station_list(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch_path(spark, "station-lists")
     # one document per file, as it was answered
-    _station_documents(spark, sf).write.partitionBy("departement").option(
+    _station_documents(fx.stations(spark, sf)).write.partitionBy("departement", "page").option(
         "maxRecordsPerFile", 1
     ).text(path)
-    return sources.read_station_list(spark, path).drop("list_pos")
+    return sources.read_station_list(spark, path)
 
 
 @register
@@ -238,10 +241,16 @@ def filter_geocode_ok(spark: SparkSession, sf: str) -> DataFrame:
 
 @register
 def stations_by_department(spark: SparkSession, sf: str) -> DataFrame:
-    measured = F.when(F.col("list_pos") % 2 == 0, F.array(F.lit("precipitation"), F.lit("vent")))
-    stations = fx.stations(spark, sf).withColumn("parameters", measured)
-    chosen = st.stations_by_department(stations, 2, "precipitation")
-    return chosen.select("id", "departement", "lat", "lon")
+    """The stations that measure a parameter, from lists landed by parameter."""
+    path, every = scratch_path(spark, "station-lists"), fx.stations(spark, sf)
+    lists = {None: every, "precipitation": every.where("list_pos % 2 = 0"), "vent": every.where("list_pos % 3 = 0")}
+    for parameter, stations in lists.items():
+        documents = _station_documents(stations).withColumn("parametre", F.lit(parameter).cast("string"))
+        by_list = documents.write.mode("append").partitionBy("departement", "parametre", "page")
+        by_list.option("maxRecordsPerFile", 1).text(path)
+    landed = sources.read_station_list(spark, path, by_parameter=True)
+    chosen = st.stations_by_department(landed, 2, "precipitation")
+    return chosen.select("id", "departement", "list_pos", "lat", "lon")
 
 
 @register
@@ -310,13 +319,17 @@ def station_valid_on_day(spark: SparkSession, sf: str) -> DataFrame:
 @register
 def weather_lookup(spark: SparkSession, sf: str) -> DataFrame:
     """One lookup per distinct station and day."""
-    station_days = _found_once(spark, sf).select("station_id", "day").distinct()
-    return wx.weather_lookup(station_days, fx.weather(spark, sf)).withColumn("day", _iso("day"))
+    station_days = materialize(_found(spark, sf).select("station_id", "day").distinct(), "station-days")
+    found = wx.weather_lookup(station_days, fx.weather(spark, sf), days=wx.asked_days(station_days))
+    return found.withColumn("day", _iso("day"))
 
 
 @register
 def join_weather_back(spark: SparkSession, sf: str) -> DataFrame:
-    back = wx.join_weather_back(_typed(_located(spark, sf)), _observed(spark, sf))
+    counted = _counted(spark, sf)
+    back = wx.join_weather_back(
+        _typed(_located(spark, sf)), _looked_up(counted.drop(skew.N_ROWS), sf), key_counts=counted
+    )
     return back.select(
         "event_id", "latitude", "longitude", "lieu_departement_code", "day_representation",
         "rr", "tn", "station_id",
@@ -476,7 +489,7 @@ def null_tokens(spark: SparkSession, sf: str) -> DataFrame:
 
 @register
 def unwrap_station_json(spark: SparkSession, sf: str) -> DataFrame:
-    documents = _station_documents(spark, sf)
+    documents = _station_documents(fx.stations(spark, sf))
     stations = documents.select(
         "departement", F.inline(sources.unwrap_station_json(F.col("value")))
     )
@@ -632,7 +645,7 @@ def prepare_addresses(spark: SparkSession, sf: str) -> DataFrame:
 @register
 def station_day_weather(spark: SparkSession, sf: str) -> DataFrame:
     landed = sources.read_weather_csv(spark, _landed_weather(spark, sf))
-    return plans.station_day_weather(landed, _found_once(spark, sf))
+    return plans.station_day_weather(landed, _found(spark, sf))
 
 
 @register

@@ -8,15 +8,31 @@ from pyspark.sql import functions as F
 
 from fairweather.functions.text import clean_key, parse_number
 from fairweather.operators.keys import clean_keys
-from fairweather.operators.skew import ROWS_PER_TASK, salted_join
+from fairweather.operators.skew import ROWS_PER_TASK, HotKeys, salted_join, sketch_hot_keys
 
 BATCH_SIZE = 1000
 
 Resolver = Callable[[pd.DataFrame], pd.DataFrame]
 
 
+# How many keys without coordinates an error names.
+EXAMPLES = 10
+
+
 class IncompleteGeocoding(ValueError):
-    """Some address keys have no coordinates, or there are no keys at all."""
+    """Some address keys have no coordinates, or there are no keys at all.
+
+    ``missing`` of ``total`` keys have none; ``examples`` are the first of them.
+    """
+
+    def __init__(self, missing: int, total: int, examples: list[str]):
+        self.missing, self.total, self.examples = missing, total, list(examples)
+        if not total:
+            text = "nothing to geocode: no event has a usable address"
+        else:
+            named = "; ".join(self.examples)
+            text = f"{missing} of {total} addresses could not be located, first of all: {named}"
+        super().__init__(text)
 
 
 def _accepted(status: Column, latitude: Column, longitude: Column) -> Column:
@@ -50,20 +66,23 @@ def coordinates_by_address(gazetteer: DataFrame) -> DataFrame:
 
 
 def join_coordinates(
-    events: DataFrame, coordinates: DataFrame, rows_per_task: int = ROWS_PER_TASK
+    events: DataFrame,
+    coordinates: DataFrame,
+    rows_per_task: int = ROWS_PER_TASK,
+    *,
+    hot: HotKeys | None = None,
 ) -> DataFrame:
     """Left join of coordinates on ``full_address``, which is dropped afterwards.
 
-    Spark broadcasts the coordinates when their size allows; otherwise the
-    shuffle join splits addresses that many events share.
+    Addresses that more than ``rows_per_task`` events share are split, and events
+    without an address are spread. Which addresses these are is found by a job
+    over the addresses alone; pass ``hot`` if it is known (``[]`` for none).
     """
-    return salted_join(
-        events.withColumn("full_address", clean_key(F.col("full_address"))),
-        coordinates,
-        ["full_address"],
-        "left",
-        rows_per_task=rows_per_task,
-    ).drop("full_address")
+    keyed = events.withColumn("full_address", clean_key(F.col("full_address")))
+    if hot is None:
+        hot = sketch_hot_keys(keyed.where(F.col("full_address").isNotNull()), ["full_address"], rows_per_task)
+    joined = salted_join(keyed, coordinates, ["full_address"], "left", hot=hot, rows_per_task=rows_per_task)
+    return joined.drop("full_address")
 
 
 def join_geocode_by_position(requests: DataFrame, answers: DataFrame) -> DataFrame:
@@ -135,27 +154,36 @@ def geocode_completeness(geocoded: DataFrame) -> DataFrame:
     )
 
 
-def missing_examples(geocoded: DataFrame, n: int = 10) -> DataFrame:
+def missing_examples(geocoded: DataFrame, n: int = EXAMPLES) -> DataFrame:
     """The first ``n`` keys without coordinates, in key order."""
     return geocoded.where(F.col("latitude").isNull()).select("full_address").orderBy(
         "full_address"
     ).limit(n)
 
 
+def completeness_with_examples(geocoded: DataFrame, n: int = EXAMPLES) -> DataFrame:
+    """:func:`geocode_completeness` with the column ``examples``: the first ``n`` missing keys.
+
+    One pass: every partition sorts its own keys and gives its first ones to the
+    aggregate, so at most ``n`` keys of each partition meet in one task.
+    """
+    missing = F.col("latitude").isNull()
+    ordered = geocoded.select("full_address", "latitude").sortWithinPartitions(~missing, "full_address")
+    # the lower bits of this id count the rows of a partition
+    place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    first = F.when(missing & (F.col("_place") < n), F.col("full_address"))
+    return ordered.withColumn("_place", place).agg(
+        F.count(F.lit(1)).alias("total_keys"),
+        F.count_if(missing).alias("missing_keys"),
+        F.slice(F.array_sort(F.collect_list(first)), 1, n).alias("examples"),
+    )
+
+
 def require_complete_geocoding(geocoded: DataFrame) -> None:
-    """Raise unless there is at least one key and every key has coordinates.
+    """Raise :class:`IncompleteGeocoding` unless there is a key and every key has coordinates.
 
-    This runs a job; only two counts and at most ten keys reach the driver.
+    This runs one job; only two counts and at most ten keys reach the driver.
     """
-    counts = geocode_completeness(geocoded).first()
-    if counts["total_keys"] == 0:
-        raise IncompleteGeocoding("no address found")
-    missing = counts["missing_keys"]
-    if missing:
-        examples = [row["full_address"] for row in missing_examples(geocoded).collect()]
-        others = missing - len(examples)
-        raise IncompleteGeocoding(
-            f"no coordinates for {missing} of {counts['total_keys']} addresses: "
-            + ", ".join(map(repr, examples))
-            + (f" (+{others} others)" if others else "")
-        )
+    found = completeness_with_examples(geocoded).first()
+    if not found["total_keys"] or found["missing_keys"]:
+        raise IncompleteGeocoding(found["missing_keys"], found["total_keys"], found["examples"])

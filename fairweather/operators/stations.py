@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from fairweather.functions.dates import parse_validity
 from fairweather.functions.geo import degree_distance
 from fairweather.functions.text import department_key
-from fairweather.session import materialize
+from fairweather.session import Scratch
 
 PLACE_DAY = ["latitude", "longitude", "departement", "day"]
 
@@ -46,10 +46,20 @@ def filter_usable_stations(stations: DataFrame) -> DataFrame:
 def stations_by_department(
     stations: DataFrame, department: str | int, parameter: str | None = None
 ) -> DataFrame:
-    """Stations of a department, optionally only those whose ``parameters`` array has one value."""
+    """Stations of a department, optionally only those that measure a parameter.
+
+    Which ones do is known from lists that were landed by parameter: the column
+    ``parametre`` of ``read_station_list(…, by_parameter=True)``, null in the
+    lists of all stations. Both filters are on columns of the layout, so only the
+    folders that they name are read.
+    """
     code = department_key(F.lit(str(department)))
     chosen = stations.where(department_key(F.col("departement")) == code)
-    return chosen.where(F.array_contains("parameters", parameter)) if parameter else chosen
+    if "parametre" in stations.columns:
+        return chosen.where(F.col("parametre").eqNullSafe(F.lit(parameter)))
+    if parameter is not None:
+        raise ValueError("the stations do not tell their parameters: read lists that were landed by parameter")
+    return chosen
 
 
 def station_validity(stations: DataFrame, as_of: dt.datetime) -> DataFrame:
@@ -290,7 +300,7 @@ GROUP BY d.place, /* columns */
 """
 
 
-def _reaches(dated: DataFrame, coverage: DataFrame) -> DataFrame:
+def _reaches(dated: DataFrame, coverage: DataFrame, scratch: Scratch) -> DataFrame:
     """How far to search: ``place, latitude, longitude, departement, first_day, last_day, reach``.
 
     A place and year is one row where a reach for all its days is about as good
@@ -302,7 +312,9 @@ def _reaches(dated: DataFrame, coverage: DataFrame) -> DataFrame:
     day = F.unix_date("day")
     asked = dated.where(F.col("place").isNotNull())
     places = asked.groupBy(*place).agg(F.min(day).alias("first_day"), F.max(day).alias("last_day"))
-    bounds = materialize(sql(_BOUNDS, looked_up=sql(_LOOKED_UP, places=places, coverage=coverage)), "bounds")
+    bounds = scratch.materialize(
+        sql(_BOUNDS, looked_up=sql(_LOOKED_UP, places=places, coverage=coverage)), "bounds"
+    )
     tight = F.coalesce(F.col("reach") <= LOOSE * F.col("hope"), F.lit(False))
     days = asked.join(bounds.where(~tight).select("place"), "place").select(
         *place, day.alias("first_day"), day.alias("last_day")
@@ -311,7 +323,9 @@ def _reaches(dated: DataFrame, coverage: DataFrame) -> DataFrame:
     return bounds.where(tight).unionByName(by_day).drop("hope")
 
 
-def nearest_station(keys: DataFrame, stations: DataFrame, as_of: dt.datetime) -> DataFrame:
+def nearest_station(
+    keys: DataFrame, stations: DataFrame, as_of: dt.datetime, scratch: Scratch | None = None
+) -> DataFrame:
     """The nearest station of the department that is usable, open and valid on the day.
 
     ``keys`` has distinct ``latitude, longitude, departement, day`` (department
@@ -327,18 +341,18 @@ def nearest_station(keys: DataFrame, stations: DataFrame, as_of: dt.datetime) ->
     a distance within which there is a station every day is found even where no
     station is valid all the time. Where that distance is large for some days
     only, these days are searched apart. The tree and the distances are written
-    to the scratch folder. A place and year has at most 366 keys, so the last
+    to the scratch folder, where they stay unless ``scratch`` removes them. A place and year has at most 366 keys, so the last
     join has no hot key; the joins on cells may, and adaptive execution splits
     those: nothing downstream needs their partitioning.
     """
-    sql = keys.sparkSession.sql
+    sql, scratch = keys.sparkSession.sql, scratch or Scratch(keys.sparkSession)
     listed = _first_listed(station_validity(stations, as_of))
-    coverage = materialize(station_coverage(listed), "coverage")
+    coverage = scratch.materialize(station_coverage(listed), "coverage")
     # One text for place and year: a key of doubles would be normalised, and
     # shuffled, anew for every join and aggregation.
     place = F.concat_ws("_", "latitude", "longitude", F.year("day").cast("string"), "departement")
     dated = keys.withColumn("place", F.when(F.col("day").isNotNull(), place))
-    searched = sql(_SEARCHED, reaches=_reaches(dated, coverage))
+    searched = sql(_SEARCHED, reaches=_reaches(dated, coverage, scratch))
     entered = sql(_ENTERED, searched=searched, below=sql(_BELOW, coverage=coverage))
     met = entered.join(sql(_STATION_CELLS, stations=listed), _CELL.split(", ")).withColumn(
         "distance", degree_distance(F.col("latitude"), F.col("longitude"), F.col("lat"), F.col("lon"))

@@ -3,11 +3,17 @@
 import datetime as dt
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fairweather.functions.text import combination_key, null_tokens, parse_decimal_comma
-from fairweather.operators.skew import ROWS_PER_TASK, count_keys, salted_join
+from fairweather.operators.skew import (
+    ROWS_PER_TASK,
+    HotKeys,
+    counted_hot_keys,
+    salted_join,
+    sketch_hot_keys,
+)
 from fairweather.operators.stations import PLACE_DAY
 
 
@@ -51,14 +57,23 @@ def null_column_profile(df: DataFrame) -> DataFrame:
     )
 
 
-def drop_null_columns(df: DataFrame) -> DataFrame:
+def value_counts(names: list[str]) -> dict[str, Column]:
+    """An aggregate for every column, in order: how many values it has."""
+    return {f"values_{n}": F.count(F.col(f"`{name}`")) for n, name in enumerate(names)}
+
+
+def drop_null_columns(df: DataFrame, counts: dict | None = None) -> DataFrame:
     """Drop the columns that hold no value at all.
 
-    The schema depends on the data, so this runs a job (one row comes back).
-    Restrict the rows first: it is columns empty in the fetched set that go.
+    The schema depends on the data: this runs a job (one row comes back), unless
+    ``counts`` has the values of :func:`value_counts`, as a write of the rows can
+    observe them. Restrict the rows first: it is columns empty in the fetched set
+    that go.
     """
-    profile = df.agg(*[F.count(F.col(name)).alias(name) for name in df.columns]).first()
-    return df.select(*[name for name in df.columns if profile[name]])
+    wanted = value_counts(df.columns)
+    if counts is None:
+        counts = df.agg(*[count.alias(key) for key, count in wanted.items()]).first().asDict()
+    return df.select(*[f"`{name}`" for name, key in zip(df.columns, wanted, strict=True) if counts[key]])
 
 
 def drop_quality_columns(df: DataFrame) -> DataFrame:
@@ -78,29 +93,51 @@ def weather_for_day(
     return weather.where((F.col(columns.station) == station_id) & (F.col(columns.day) == text))
 
 
+# The most days that a lookup names to the scan of the weather, one by one.
+MOST_DAYS = 20_000
+
+
+def lookup_key(columns: WeatherColumns = DEFAULT_WEATHER) -> list[Column]:
+    """Station and day of a key as they are written in the landed weather."""
+    return [F.col("station_id"), F.date_format("day", columns.day_format)]
+
+
+def asked_days(keys: DataFrame, columns: WeatherColumns = DEFAULT_WEATHER) -> list[str] | None:
+    """The days of the keys as landed texts; null if there are more than ``MOST_DAYS``. Runs a job."""
+    text = lookup_key(columns)[1].alias("day")
+    found = keys.where(F.col("station_id").isNotNull()).select(text).where("day IS NOT NULL").distinct()
+    days = [row["day"] for row in found.limit(MOST_DAYS + 1).collect()]
+    return sorted(days) if len(days) <= MOST_DAYS else None
+
+
 def weather_lookup(
     keys: DataFrame,
     weather: DataFrame,
     columns: WeatherColumns = DEFAULT_WEATHER,
     *,
-    day_counts: DataFrame | None = None,
+    hot: HotKeys = (),
+    days: list[str] | None = None,
     rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
     """Weather of each key's ``station_id`` on its ``day``; keys without weather drop out.
 
-    Many places may share a station and day. Their number is bounded by the
-    places of that day, which is cheap to count: days above the limit are split.
-    Pass ``day_counts`` (``day`` and a count) if the keys are costly to count.
+    Many places may share a station and day: ``hot`` tells those with more than
+    ``rows_per_task`` keys, by the hash of :func:`lookup_key`, and they are split.
+    ``days`` are the days of the keys as texts (:func:`asked_days`). They become a
+    filter of the scan, so that only the folders of these days are read where
+    the weather is laid out by day, and only their rows are shuffled elsewhere.
     """
-    if day_counts is None:
-        day_counts = count_keys(keys, ["day"])
     keys = keys.where(F.col("station_id").isNotNull() & F.col("day").isNotNull())
     # The keys take the form of the landed text, not the other way round: the
-    # large side stays a plain scan, which the join can prune.
-    landed_day = F.date_format("day", columns.day_format)
+    # large side stays a plain scan, which filters can prune.
+    station, day = lookup_key(columns)
+    if days is not None:
+        # as text: thousands of literals, one by one, take seconds to build
+        named = ", ".join("'" + day.replace("'", "\\'") + "'" for day in days)
+        weather = weather.where(f"CAST(`{columns.day}` AS STRING) IN ({named})" if days else F.lit(False))
     place = [name for name in keys.columns if name not in ("station_id", "day")]
     return salted_join(
-        keys.withColumns({_STATION_TEXT: F.col("station_id"), _DAY_TEXT: landed_day}),
+        keys.withColumns({_STATION_TEXT: station, _DAY_TEXT: day}),
         weather.withColumns(
             {
                 _STATION_TEXT: F.col(columns.station).cast("string"),
@@ -108,8 +145,7 @@ def weather_lookup(
             }
         ),
         [_STATION_TEXT, _DAY_TEXT],
-        counts=day_counts.select(landed_day.alias(_DAY_TEXT), day_counts.columns[-1]),
-        counts_on=[_DAY_TEXT],
+        hot=hot,
         spread=F.xxhash64(*place) if place else None,
         rows_per_task=rows_per_task,
     ).drop(_STATION_TEXT, _DAY_TEXT)
@@ -137,12 +173,25 @@ def skip_empty_weather(keys: DataFrame, weather_by_key: DataFrame) -> DataFrame:
 
 
 def join_weather_back(
-    events: DataFrame, weather_by_key: DataFrame, *, rows_per_task: int = ROWS_PER_TASK
+    events: DataFrame,
+    weather_by_key: DataFrame,
+    *,
+    key_counts: DataFrame | None = None,
+    rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
     """Left join of weather to events on place, department and day.
 
     Events without weather stay, with nulls; repeated events stay repeated;
     several weather rows of a key repeat the event. With no weather at all the
     schema is the same and everything from the right side is null.
+
+    Keys that more than ``rows_per_task`` events share are split. They are read
+    from ``key_counts``, a written table of the keys with their events
+    (``skew.count_keys`` makes one), and otherwise found by a job over the keys
+    of the events.
     """
-    return salted_join(events, weather_by_key, PLACE_DAY, "left", rows_per_task=rows_per_task)
+    if key_counts is not None:
+        hot = counted_hot_keys(key_counts, PLACE_DAY, rows_per_task)
+    else:
+        hot = sketch_hot_keys(events.where(F.col("day").isNotNull()), PLACE_DAY, rows_per_task)
+    return salted_join(events, weather_by_key, PLACE_DAY, "left", hot=hot, rows_per_task=rows_per_task)

@@ -2,7 +2,7 @@
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 # Settings the plans in this package rely on; all but the last two are Spark's defaults.
 DEFAULTS = {
@@ -62,6 +62,16 @@ class Scratch:
         df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def observe_write(self, df: DataFrame, name: str, **metrics: Column) -> tuple[DataFrame, dict]:
+        """:meth:`materialize`, and the values of aggregates that ride on the write.
+
+        A task that runs twice may count twice: use them for what is zero, least,
+        greatest or frequent, not as totals.
+        """
+        observation = Observation(f"{name}-{uuid.uuid4().hex}")
+        observed = df.observe(observation, *[value.alias(key) for key, value in metrics.items()])
+        return self.materialize(observed, name), observation.get
+
     def remove(self, *tables: DataFrame) -> None:
         """Delete these tables, or all; only when nothing that reads them will run again."""
         chosen = [p for t in tables for p in self.paths if any(p in f for f in t.inputFiles())]
@@ -75,3 +85,8 @@ class Scratch:
 def materialize(df: DataFrame, name: str, scratch: Scratch | None = None) -> DataFrame:
     """:meth:`Scratch.materialize`; without ``scratch`` the table stays until the folder is cleared."""
     return (scratch or Scratch(df.sparkSession)).materialize(df, name)
+
+
+def observe_write(df: DataFrame, name: str, scratch: Scratch | None = None, **metrics: Column) -> tuple[DataFrame, dict]:
+    """:meth:`Scratch.observe_write`; without ``scratch`` the table stays until the folder is cleared."""
+    return (scratch or Scratch(df.sparkSession)).observe_write(df, name, **metrics)

@@ -1,6 +1,7 @@
 """Filters, keys, geocoding, weather shaping and joins on hand-made tables."""
 
 import datetime as dt
+from pathlib import Path
 
 import pandas as pd
 import pytest
@@ -9,8 +10,11 @@ from pyspark.sql import functions as F
 from fairweather.operators import filters as flt
 from fairweather.operators import geocoding as geo
 from fairweather.operators import keys as key
+from fairweather.operators import skew
 from fairweather.operators import weather as wx
 from fairweather.operators.skew import salted_join
+from fairweather.operators.stations import PLACE_DAY
+from fairweather.session import Scratch
 
 
 def values(df, *columns):
@@ -110,11 +114,28 @@ def test_resolver_gets_bounded_batches_and_may_answer_short(spark):
 def test_strict_geocoding(spark):
     schema = "full_address string, latitude double"
     geo.require_complete_geocoding(spark.createDataFrame([("a", 1.0)], schema))
-    with pytest.raises(geo.IncompleteGeocoding, match="no address found"):
+    with pytest.raises(geo.IncompleteGeocoding, match="nothing to geocode"):
         geo.require_complete_geocoding(spark.createDataFrame([], schema))
     rows = [(f"k{i:02d}", None) for i in range(12)] + [("z", 1.0)]
-    with pytest.raises(geo.IncompleteGeocoding, match=r"for 12 of 13 addresses: 'k00', .*'k09' \(\+2 others\)"):
-        geo.require_complete_geocoding(spark.createDataFrame(rows, schema))
+    with pytest.raises(geo.IncompleteGeocoding, match="^12 of 13 addresses") as raised:
+        geo.require_complete_geocoding(spark.createDataFrame(rows, schema).repartition(5))
+    assert (raised.value.missing, raised.value.total) == (12, 13)
+    assert raised.value.examples == [f"k{i:02d}" for i in range(10)]
+
+
+def test_examples_and_counts_come_from_one_pass(spark):
+    rows = [(f"k{i:03d}", None if i % 3 else 1.0) for i in range(300)] + [(None, None)]
+    geocoded = spark.createDataFrame(rows, "full_address string, latitude double").repartition(7)
+    found = geo.completeness_with_examples(geocoded, 4)
+    assert [tuple(r) for r in found.collect()] == [(301, 201, ["k001", "k002", "k004", "k005"])]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    # only the aggregate is shuffled, and the table is read once
+    assert plan.split("Initial Plan")[0].count("Scan ") == 1
+    assert "collect_list" in plan and "Exchange rangepartitioning" not in plan
+    by_query = geo.missing_examples(geocoded.where("full_address IS NOT NULL"), 4)
+    assert sorted(r.full_address for r in by_query.collect()) == found.first()["examples"]
+    empty = geo.completeness_with_examples(geocoded.limit(0)).first()
+    assert tuple(empty) == (0, 0, [])
 
 
 def test_clean_keys_drop_null_and_blank(spark):
@@ -178,50 +199,138 @@ def test_weather_lookup_compares_ids_as_text(spark):
 # --- hot keys -------------------------------------------------------------------------
 
 
-def test_salted_join_splits_a_hot_key_and_joins_every_row_once(spark):
-    left = spark.range(0, 9000, numPartitions=12).select(
-        "id", F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.concat(F.lit("k"), F.col("id") % 50)).alias("k")
-    )
-    right = spark.createDataFrame([("hot", 1), ("hot", 2), ("k1", 3)], "k string, v int")
-    plain = left.join(right, "k", "left")
-    counts = left.groupBy("k").count()
-    salted = salted_join(left, right, ["k"], "left", counts=counts, rows_per_task=500)
-    assert values(salted, "id", "k", "v") == values(plain, "id", "k", "v")
-    inner = salted_join(left, right, ["k"], counts=counts, rows_per_task=500)
-    assert inner.count() == left.join(right, "k").count()
-
-    # without broadcast and coalescing, the hot rows sit in several partitions
-    settings = {
-        "spark.sql.autoBroadcastJoinThreshold": "-1",
-        "spark.sql.adaptive.enabled": "false",
-    }
+def partitions_of(df, condition):
+    return df.where(condition).select(F.spark_partition_id().alias("p")).distinct().count()
+
+
+@pytest.fixture
+def shuffled(spark):
+    """Joins by shuffle, as planned."""
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
     before = {name: spark.conf.get(name) for name in settings}
-    try:
-        for name, value in settings.items():
-            spark.conf.set(name, value)
-
-        def partitions(df):
-            return df.where("k = 'hot'").select(F.spark_partition_id().alias("p")).distinct().count()
-
-        assert partitions(left.join(right, "k", "left")) == 1
-        assert partitions(salted_join(left, right, ["k"], "left", counts=counts, rows_per_task=500)) > 1
-        # also where the left side is clustered by the key
-        clustered = left.repartition(4, "k")
-        again = salted_join(clustered, right, ["k"], "left", counts=counts, rows_per_task=500)
-        assert partitions(again) > 1
-        dealt = again.select("id", F.spark_partition_id().alias("p"))
-        assert dealt.exceptAll(again.select("id", F.spark_partition_id().alias("p"))).isEmpty()
-    finally:
-        for name, value in before.items():
-            spark.conf.set(name, value)
-
-
-def test_salted_join_with_null_keys_and_given_counts(spark):
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    yield
+    for name, value in before.items():
+        spark.conf.set(name, value)
+
+
+@pytest.fixture
+def hot_left(spark):
+    name = F.when(F.col("id") % 3 == 0, F.lit("hot")).when(F.col("id") % 10 != 1, F.concat(F.lit("k"), F.col("id") % 50))
+    return spark.range(0, 9000, numPartitions=12).select("id", name.alias("k"))
+
+
+def test_salted_join_splits_a_hot_key_and_joins_every_row_once(spark, hot_left, shuffled):
+    right = spark.createDataFrame([("hot", 1), ("hot", 2), ("k1", 3), ("k2", 4)], "k string, v int")
+    hot = skew.sketch_hot_keys(hot_left, ["k"], 500)
+    assert sorted(rows for _, rows in hot) == [600, 3000]  # the null key is one, and harmless
+    plain = hot_left.join(right, "k", "left")
+    assert partitions_of(plain, "k = 'hot'") == 1
+    salted = salted_join(hot_left, right, ["k"], "left", hot=hot, rows_per_task=500)
+    assert values(salted, "id", "k", "v") == values(plain, "id", "k", "v")
+    assert partitions_of(salted, "k = 'hot'") > 1 and partitions_of(salted, "k IS NULL") > 1
+    inner = salted_join(hot_left, right, ["k"], hot=hot, rows_per_task=500)
+    assert values(inner, "id", "k", "v") == values(hot_left.join(right, "k"), "id", "k", "v")
+    # also where the left side is clustered by the key
+    again = salted_join(hot_left.repartition(4, "k"), right, ["k"], "left", hot=hot, rows_per_task=500)
+    assert partitions_of(again, "k = 'hot'") > 1
+    dealt = again.select("id", F.spark_partition_id().alias("p"))
+    assert dealt.exceptAll(again.select("id", F.spark_partition_id().alias("p"))).isEmpty()
+    # a hash shared with a hot key splits the other key as well, no more
+    shared = salted_join(hot_left, right, ["k"], "left", hot=[(h, 9000) for h, _ in hot] * 2, rows_per_task=500)
+    assert values(shared, "id", "k", "v") == values(plain, "id", "k", "v")
+
+
+def test_hot_keys_from_a_table_of_counts(spark, hot_left):
+    counts = skew.count_keys(hot_left, ["k"])
+    hot = skew.counted_hot_keys(counts, ["k"], 500)
+    assert dict(hot) == dict(skew.sketch_hot_keys(hot_left, ["k"], 500)) and hot[0][1] == 3000
+    assert skew.counted_hot_keys(counts, ["k"], 500, largest=500) == []
+    assert skew.counted_hot_keys(counts.limit(0), ["k"], 0) == skew.sketch_hot_keys(hot_left.limit(0), ["k"], 0) == []
+    assert skew.above(None, 5) == []
+
+
+def test_hot_keys_are_observed_by_a_write(spark, hot_left):
+    written, seen = Scratch(spark).observe_write(hot_left, "left", frequent=skew.frequent_keys(["k"]), n=F.count(F.lit(1)))
+    assert seen["n"] == written.count() == 9000
+    assert skew.above(seen["frequent"], 500) == skew.sketch_hot_keys(hot_left, ["k"], 500)
+    nothing, seen = Scratch(spark).observe_write(hot_left.limit(0), "left", n=F.count(F.lit(1)))
+    assert nothing.count() == 0 and not seen["n"]
+
+
+def test_salted_join_with_null_keys_and_other_joins(spark):
     left = spark.createDataFrame([(1, "a"), (2, None), (3, "b"), (4, "a")], "i int, k string")
-    right = spark.createDataFrame([("a", 10, 2), ("b", 20, 1)], "k string, v int, _n_rows int")
-    counts = left.groupBy("k").count()
-    joined = salted_join(left, right, ["k"], "left", counts=counts, rows_per_task=1)
+    right = spark.createDataFrame([("a", 10), ("b", 20)], "k string, v int")
+    hot = skew.sketch_hot_keys(left, ["k"], 1)
+    joined = salted_join(left, right, ["k"], "left", hot=hot, rows_per_task=1)
     assert joined.columns == ["i", "k", "v"]
     assert values(joined, "i", "v") == [(1, 10), (2, None), (3, 20), (4, 10)]
     with pytest.raises(ValueError, match="full"):
         salted_join(left, right, ["k"], "full")
+
+
+def test_shared_addresses_and_missing_ones_are_spread(spark, hot_left, shuffled):
+    events = hot_left.select("id", F.concat(F.lit(" "), "k").alias("full_address"))
+    coordinates = spark.createDataFrame([("hot", 1.0, 2.0), ("k2", 3.0, 4.0)], "full_address string, latitude double, longitude double")
+    joined = geo.join_coordinates(events, coordinates, rows_per_task=500)
+    assert joined.where("latitude = 1.0").count() == 3000 and joined.count() == 9000
+    assert partitions_of(joined, "latitude = 1.0") > 1
+    plain = geo.join_coordinates(events, coordinates, rows_per_task=5000)
+    assert partitions_of(plain, "latitude = 1.0") == 1 and partitions_of(plain, "latitude IS NULL") > 1
+    assert values(plain, "id", "latitude") == values(joined, "id", "latitude")
+
+
+def test_repeated_events_of_a_key_are_split_by_the_counts_of_the_key_table(spark, shuffled, tmp_path):
+    path = str(tmp_path / "events")
+    day = F.when(F.col("id") % 4 != 0, F.lit(DAY))
+    spark.range(0, 4000, numPartitions=6).select(
+        "id", F.lit(1.0).alias("latitude"), F.lit(2.0).alias("longitude"), F.lit("31").alias("departement"), day.alias("day")
+    ).write.parquet(path)
+    events = spark.read.parquet(path)
+    weather = spark.createDataFrame([(1.0, 2.0, "31", DAY, 5.0)], f"{PLACE}, rr double")
+    counts = Scratch(spark).materialize(skew.count_keys(events, PLACE_DAY), "keys")
+    back = wx.join_weather_back(events, weather, key_counts=counts, rows_per_task=500)
+    assert back.where("rr = 5.0").count() == 3000 and back.count() == 4000
+    assert partitions_of(back, "rr = 5.0") > 1 and partitions_of(back, "rr IS NULL") > 1
+    plan = back._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Scan parquet") == 1  # the events; the counts were read before
+
+
+def test_a_lookup_reads_the_folders_of_its_days(spark, tmp_path):
+    path = str(tmp_path / "weather")
+    days = [f"202401{d:02d}" for d in range(1, 21)]
+    rows = [(s, day, f"{n}") for n, day in enumerate(days) for s in ("01", "02")]
+    spark.createDataFrame(rows, "poste string, jour string, rr string").write.partitionBy("jour").parquet(path)
+    weather = spark.read.schema("poste string, rr string, jour string").parquet(path)
+    keys = spark.createDataFrame(
+        [("01", dt.date(2024, 1, 3)), ("02", dt.date(2024, 1, 5)), ("02", dt.date(2025, 1, 5)), (None, dt.date(2024, 1, 9)), ("01", None)],
+        "station_id string, day date",
+    )
+    asked = wx.asked_days(keys)
+    assert asked == ["20240103", "20240105", "20250105"]
+    found = wx.weather_lookup(keys, weather, days=asked)
+    assert values(found, "station_id", "rr") == values(wx.weather_lookup(keys, weather), "station_id", "rr") == [("01", "2"), ("02", "4")]
+    plan = found._jdf.queryExecution().executedPlan()
+    leaves = plan.collectLeaves() if "Adaptive" not in plan.getClass().getName() else plan.executedPlan().collectLeaves()
+    scans = [leaves.apply(i) for i in range(leaves.size()) if "FileSourceScan" in leaves.apply(i).getClass().getName()]
+    assert [scan.selectedPartitions().totalNumberOfFiles() for scan in scans] == [files_of(path, asked)]
+    assert wx.weather_lookup(keys, weather, days=[]).count() == 0
+    quoted = wx.weather_lookup(keys, weather, days=["it's"])
+    assert quoted.count() == 0
+
+
+def files_of(path, days):
+    return sum(len(list(Path(path, f"jour={day}").glob("*.parquet"))) for day in days)
+
+
+def test_too_many_days_are_not_named(spark, monkeypatch):
+    monkeypatch.setattr(wx, "MOST_DAYS", 2)
+    keys = spark.createDataFrame([("1", dt.date(2024, 1, d)) for d in (1, 2, 2, 3)], "station_id string, day date")
+    assert wx.asked_days(keys) is None and wx.asked_days(keys.where("day < '2024-01-03'")) == ["20240101", "20240102"]
+
+
+def test_columns_without_values_are_counted_while_they_are_written(spark):
+    df = spark.createDataFrame([(1, None, "x"), (1, None, None)], "`a.b` int, c string, Qd string")
+    written, counts = Scratch(spark).observe_write(df, "weather", **wx.value_counts(df.columns))
+    assert wx.drop_null_columns(written, counts).columns == wx.drop_null_columns(df).columns == ["a.b", "Qd"]

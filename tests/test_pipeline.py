@@ -2,6 +2,7 @@
 
 import datetime as dt
 import json
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,6 +10,8 @@ from pyspark.sql import functions as F
 from fairweather import build_session, enrich_files, plans
 from fairweather.operators import filters as flt
 from fairweather.operators import geocoding as geo
+from fairweather.plans.enrichment import covered_days
+from fairweather.session import Scratch
 
 AS_OF = dt.datetime(2026, 12, 1)
 
@@ -100,16 +103,16 @@ def test_strict_geocoding_checks_addresses_without_a_department(tables):
     declarations, *rest = tables
     lost = declarations.sparkSession.createDataFrame([(9, "a", "9 rue", None, "T", None, "01-06-2024")], DECLARED)
     known = declarations.where("id <> 8")
-    with pytest.raises(geo.IncompleteGeocoding, match="for 1 of 3 addresses: '9 rue, T'"):
+    with pytest.raises(geo.IncompleteGeocoding, match="^1 of 3 addresses .*: 9 rue, T$"):
         plans.enrich_events_with_weather(known.unionByName(lost), *rest, as_of=AS_OF, columns=["id"])
     nowhere = known.where("id <> 6").withColumn("lieu_departement_code", F.lit(None).cast("string"))
     assert plans.enrich_events_with_weather(nowhere, *rest, as_of=AS_OF, columns=["id"]).collect() == []
 
 
 def test_strict_geocoding_is_the_default(tables):
-    with pytest.raises(geo.IncompleteGeocoding, match="for 1 of 3 addresses: '3 rue, T'"):
+    with pytest.raises(geo.IncompleteGeocoding, match="^1 of 3 addresses .*: 3 rue, T$"):
         plans.enrich_events_with_weather(*tables, as_of=AS_OF, columns=["id"])
-    with pytest.raises(geo.IncompleteGeocoding, match="no address found"):
+    with pytest.raises(geo.IncompleteGeocoding, match="nothing to geocode"):
         plans.enrich_events_with_weather(
             *tables, as_of=AS_OF, columns=["id"], filters={"festival_nom": "none"}
         )
@@ -179,26 +182,122 @@ def test_extraction_without_filters_keeps_everything(spark, tmp_path):
     assert plans.extract_declarations(spark, str(path), {"b": "x"}, ["a"]).columns == ["a"]
 
 
-def test_the_wide_rows_are_shuffled_once(spark, tmp_path, tables):
-    declarations, *rest = tables
-    # a table that no plan broadcasts
-    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+def wide_shuffles(plan, column):
+    """Exchanges of the events that carry this column of theirs."""
+    lines = plan.splitlines()
+    return sum(
+        1
+        for i, line in enumerate(lines)
+        if "Exchange hashpartitioning(_address" in line and any(column in x for x in lines[i + 1 : i + 3])
+    )
+
+
+@pytest.fixture(params=["true", "false"], ids=["adaptive", "static"])
+def no_broadcast(spark, request):
+    """Tables that no plan broadcasts by their size."""
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": request.param}
     before = {name: spark.conf.get(name) for name in settings}
-    try:
-        for name, value in settings.items():
-            spark.conf.set(name, value)
-        df = plans.enrich_events_with_weather(
-            declarations, *rest, as_of=AS_OF, columns=["festival_nom"], strict=False
-        )
-        plan = df._jdf.queryExecution().executedPlan().toString()
-    finally:
-        for name, value in before.items():
-            spark.conf.set(name, value)
-    assert "NestedLoop" not in plan and "Cartesian" not in plan
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    yield
+    for name, value in before.items():
+        spark.conf.set(name, value)
+
+
+@pytest.mark.parametrize("rows_per_task", [1, 1_000_000], ids=["hot keys", "no hot keys"])
+def test_the_wide_rows_are_shuffled_once(no_broadcast, tables, rows_per_task):
+    declarations, *rest = tables
+    df = plans.enrich_events_with_weather(
+        declarations, *rest, as_of=AS_OF, columns=["id", "festival_nom"], strict=False, rows_per_task=rows_per_task
+    )
     # the festival name is only in the branch of the events: one exchange carries it
+    planned = df._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in planned and "Cartesian" not in planned
+    assert wide_shuffles(planned, "festival_nom") == 1
+    assert result(df) == EXPECTED
+    execution = df._jdf.queryExecution()
+    execution.executedPlan().executeCollect()
+    final = execution.executedPlan().toString().split("Initial Plan")[0]
+    assert wide_shuffles(final, "festival_nom") == 1
+    assert ("_key_hash" in planned) == (rows_per_task == 1)
+
+
+@pytest.mark.parametrize("rows_per_task", [1, 1_000_000], ids=["hot keys", "no hot keys"])
+def test_periods_are_expanded_after_the_wide_rows_are_shuffled(no_broadcast, tables, rows_per_task):
+    declarations, *rest = tables
+    df = plans.weather_per_event_day(
+        declarations, *rest, last_day=F.lit("2024-06-03").cast("date"), as_of=AS_OF, columns=["id", "festival_nom"],
+        strict=False, rows_per_task=rows_per_task,
+    )
+    plan = df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert wide_shuffles(plan, "festival_nom") == 1
+    # no day of a period is made below a wide row
     lines = plan.splitlines()
-    wide = [i for i, line in enumerate(lines) if "Exchange hashpartitioning(_address" in line and any("festival_nom" in x for x in lines[i + 1 : i + 3])]
-    assert len(wide) == 1
+    scans = [i for i, line in enumerate(lines) if "festival_nom" in line]
+    assert not [i for i in scans if "Generate" in lines[i]]
+
+
+def test_periods_that_overlap_are_looked_up_once(spark):
+    rows = [
+        (1.0, 2.0, "31", 10, 12), (1.0, 2.0, "31", 11, 15), (1.0, 2.0, "31", 10, 10), (1.0, 2.0, "31", 16, 16),
+        (1.0, 2.0, "31", 30, 31), (1.0, 2.0, "32", 30, 30), (5.0, 2.0, "31", 12, 12), (5.0, 2.0, "31", 12, 12),
+    ]
+    periods = spark.createDataFrame(rows, "latitude double, longitude double, departement string, first int, last int")
+    days = covered_days(periods)
+    assert days.columns == ["latitude", "longitude", "departement", "day"]
+    got = sorted((r.latitude, r.departement, (r.day - dt.date(1970, 1, 1)).days) for r in days.collect())
+    assert got == sorted([(1.0, "31", d) for d in (*range(10, 17), 30, 31)] + [(1.0, "32", 30), (5.0, "31", 12)])
+
+
+def test_periods_of_one_address_that_differ(tables):
+    declarations, *rest = tables
+    spark = declarations.sparkSession
+    one = [(i, "a", "1 rue", "31000", "T", "31", day) for i, day in enumerate(["31-05-2024", "01-06-2024", "01-06-2024", "bad"])]
+    events = spark.createDataFrame(one, DECLARED)
+    ends = F.when(F.col("id") == 0, F.lit("2024-06-02")).when(F.col("id") == 1, F.lit("2024-06-01"))
+    for rows_per_task in (1, 1000):
+        df = plans.weather_per_event_day(
+            events, *rest, last_day=ends.cast("date"), as_of=AS_OF, columns=["id"], rows_per_task=rows_per_task
+        )
+        got = sorted(str((r.id, str(r.weather_day), r.rr)) for r in df.collect())
+        without = [(0, "2024-05-31", None), (0, "2024-06-02", None), (3, "None", None)]
+        assert got == sorted(map(str, [*without, *((i, "2024-06-01", rr) for i in (0, 1, 2) for rr in (1.5, 2.5))]))
+
+
+class Jobs:
+    """How many jobs a block of code runs."""
+
+    def __init__(self, spark):
+        self.spark = spark
+
+    def __enter__(self):
+        self.group = f"counted-{id(self)}"
+        self.spark.sparkContext.setJobGroup(self.group, "")
+        return self
+
+    def __exit__(self, *_):
+        self.spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        self.count = len(self.spark.sparkContext.statusTracker().getJobIdsForGroup(self.group))
+
+
+def test_the_strict_check_adds_no_job(spark, tables):
+    declarations, *rest = tables
+    known, counts = declarations.where("id <> 8"), []
+    for strict in (False, True):
+        with Jobs(spark) as jobs:
+            plans.enrich_events_with_weather(known, *rest, as_of=AS_OF, columns=["id"], strict=strict)
+        counts.append(jobs.count)
+    assert counts[0] == counts[1] > 0
+
+
+def test_intermediate_tables_can_be_removed(spark, tables, tmp_path):
+    scratch = Scratch(spark)
+    df = plans.enrich_events_with_weather(*tables, as_of=AS_OF, columns=["id"], strict=False, scratch=scratch)
+    df.write.parquet(str(tmp_path / "result"))
+    paths = list(scratch.paths)
+    scratch.remove()
+    assert paths and not scratch.paths and not any(Path(p.removeprefix("file:")).exists() for p in paths)
+    assert spark.read.parquet(str(tmp_path / "result")).count() == len(EXPECTED)
 
 
 def test_column_pruning_reaches_the_first_pass(spark, tmp_path, tables):

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from fairweather import sources
-from fairweather.operators.stations import join_station_info
+from fairweather.operators.stations import join_station_info, stations_by_department
 
 
 def rows(df, *columns):
@@ -50,6 +50,47 @@ def test_station_lists_wrapped_and_bare(spark, tmp_path):
     ]
 
 
+def land(folder, name, stations, wrapped=False):
+    folder.mkdir(parents=True, exist_ok=True)
+    listed = [{"id": s, "lat": 1.0, "lon": 2.0} for s in stations]
+    (folder / name).write_text(json.dumps({"data": listed} if wrapped else listed))
+
+
+def test_a_list_goes_on_from_one_document_to_the_next(spark, tmp_path):
+    land(tmp_path / "departement=01", "a.json", ["x", "y"])
+    land(tmp_path / "departement=01", "b.json", [], wrapped=True)
+    land(tmp_path / "departement=01", "c.json", ["z"], wrapped=True)
+    (tmp_path / "departement=01" / "d.json").write_text("not json")
+    land(tmp_path / "departement=01", "e.json", ["w", "v"])
+    land(tmp_path / "departement=2A", "c.json", ["u"])
+    df = sources.read_station_list(spark, str(tmp_path))
+    assert sorted(rows(df, "departement", "list_pos", "id")) == [
+        ("01", 0, "x"), ("01", 1, "y"), ("01", 2, "z"), ("01", 3, "w"), ("01", 4, "v"), ("2A", 0, "u")
+    ]
+
+
+def test_only_the_lists_of_a_department_and_parameter_are_read(spark, tmp_path):
+    for code in ("1", "2"):
+        for parameter, stations in {"rr": "ac", "tn": "b", "__HIVE_DEFAULT_PARTITION__": "abc"}.items():
+            folder = tmp_path / f"departement={code}" / f"parametre={parameter}"
+            land(folder, "1.json", [f"{code}{s}" for s in stations])
+            land(folder, "2.json", [f"{code}{s}{s}" for s in stations])
+    listed = sources.read_station_list(spark, str(tmp_path), by_parameter=True)
+    chosen = stations_by_department(listed, 2, "rr")
+    assert sorted(rows(chosen, "list_pos", "id", "parametre")) == [(0, "2a", "rr"), (1, "2c", "rr"), (2, "2aa", "rr"), (3, "2cc", "rr")]
+    every = stations_by_department(listed, 2)
+    assert [r[1] for r in sorted(rows(every, "list_pos", "id"))] == ["2a", "2b", "2c", "2aa", "2bb", "2cc"]
+    # of the documents those of the one list, of their sizes those of the department
+    assert files_read(chosen) == [2, 6]
+
+
+def files_read(df):
+    plan = df._jdf.queryExecution().executedPlan()
+    leaves = plan.executedPlan().collectLeaves() if "Adaptive" in plan.getClass().getName() else plan.collectLeaves()
+    scans = [leaves.apply(i) for i in range(leaves.size())]
+    return sorted(s.selectedPartitions().totalNumberOfFiles() for s in scans if "FileSourceScan" in s.getClass().getName())
+
+
 def test_first_information_counts_and_stations_without_any_drop_out(spark, tmp_path):
     lines = [
         {"id": "1", "information": [{"dateDebut": "2000-01-01 00:00:00", "dateFin": ""}, {"dateDebut": "1900-01-01 00:00:00"}]},

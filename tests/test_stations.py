@@ -148,12 +148,17 @@ def test_valid_stations_of_a_day(spark):
 
 def test_stations_by_department(spark):
     stations = spark.createDataFrame(
-        [("a", "01", ["rr"]), ("b", "1", None), ("c", "2A", ["rr", "tn"])],
-        "id string, departement string, parameters array<string>",
+        [("a", "01", None), ("b", "1", None), ("a", "1", "rr"), ("c", "2A", "rr"), ("c", "2A", None)],
+        "id string, departement string, parametre string",
     )
-    assert {r.id for r in st.stations_by_department(stations, 1).collect()} == {"a", "b"}
-    assert {r.id for r in st.stations_by_department(stations, 1, "rr").collect()} == {"a"}
-    assert {r.id for r in st.stations_by_department(stations, "2A").collect()} == {"c"}
+    assert sorted(r.id for r in st.stations_by_department(stations, 1).collect()) == ["a", "b"]
+    assert [r.id for r in st.stations_by_department(stations, 1, "rr").collect()] == ["a"]
+    assert [r.id for r in st.stations_by_department(stations, "2A").collect()] == ["c"]
+    assert st.stations_by_department(stations, "2A", "vent").count() == 0
+    untold = stations.drop("parametre")
+    assert st.stations_by_department(untold, 1).count() == 3
+    with pytest.raises(ValueError, match="landed by parameter"):
+        st.stations_by_department(untold, 1, "rr")
 
 
 def count_candidates(spark, monkeypatch, keys, stations):
