@@ -1,138 +1,138 @@
 """Licence scans: TF-IDF cosine of notices to templates, inheritance along folders.
 
-Every line that speaks of a licence or of copyright is a passage, and so is a
-licence file as a whole. A passage is compared with the templates by the cosine
-of sparse TF-IDF vectors. A file without a licence of its own inherits that of
-the licence file in its folder or in the nearest folder above.
+The passages of a file are its lines that speak of a licence or of copyright,
+the paragraphs with such a line (a header), and a licence file as a whole. A
+passage is compared with the templates by the cosine of sparse TF-IDF vectors.
+A file without a licence of its own inherits that of the licence file in its
+folder or in the nearest folder above.
 """
 
 import math
 import re
 from collections import Counter
+from collections.abc import Iterator
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from fairweather.llm.license_texts import TEMPLATES
 from fairweather.session import Scratch
 
-# The usual notices of public licences, by SPDX identifier.
-TEMPLATES = {
-    "Apache-2.0": [
-        "Licensed under the Apache License, Version 2.0.",
-        'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in'
-        " compliance with the License. You may obtain a copy of the License at",
-        "SPDX-License-Identifier: Apache-2.0",
-    ],
-    "BSD-2-Clause": [
-        "Licensed under the BSD 2-Clause License.",
-        "SPDX-License-Identifier: BSD-2-Clause",
-    ],
-    "BSD-3-Clause": [
-        "Licensed under the BSD 3-Clause License.",
-        "Use of this source code is governed by a BSD-style license that can be found in the LICENSE file.",
-        "SPDX-License-Identifier: BSD-3-Clause",
-    ],
-    "CC-BY-4.0": [
-        "Licensed under CC BY 4.0.",
-        "This work is licensed under a Creative Commons Attribution 4.0 International License.",
-    ],
-    "CC-BY-NC-4.0": [
-        "Licensed under CC BY-NC 4.0.",
-        "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.",
-    ],
-    "CC-BY-SA-4.0": [
-        "Licensed under CC BY-SA 4.0.",
-        "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
-    ],
-    "GPL-2.0": [
-        "This work is licensed under the GNU General Public License, version 2.",
-        "SPDX-License-Identifier: GPL-2.0-only",
-    ],
-    "GPL-3.0": [
-        "This work is licensed under the GNU General Public License, version 3.",
-        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU"
-        " General Public License as published by the Free Software Foundation, either version 3 of the License",
-        "SPDX-License-Identifier: GPL-3.0-only",
-    ],
-    "LGPL-3.0": [
-        "This work is licensed under the GNU Lesser General Public License, version 3.",
-        "SPDX-License-Identifier: LGPL-3.0-only",
-    ],
-    "MIT": [
-        "Released under the MIT License.",
-        "Licensed under the MIT License.",
-        "MIT License Permission is hereby granted, free of charge, to any person obtaining a copy of this software",
-        "SPDX-License-Identifier: MIT",
-    ],
-    "MPL-2.0": [
-        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
-        "SPDX-License-Identifier: MPL-2.0",
-    ],
-}
-# Lines with one of these are passages; a path whose last part starts so is a licence file.
-_NOTICE = r"(?i)licen[cs]|copyright|spdx|permission is hereby|creative commons|\bcc[- ]by\b|public domain"
+# Lines with one of these, in lower case, are passages; the last as words by themselves.
+_MARKS = ("licenc", "licens", "copyright", "spdx", "permission is hereby", "creative commons", "public domain")
+_SHORT_MARK = re.compile(r"\bcc[- ]by\b")
+# A path whose last part starts so is a licence file.
 _LICENSE_FILE = r"(?i)^(licen[cs]e|copying|unlicense|notice)([._-].*)?$"
-_TERM = r"[a-z0-9]+(?:\.[0-9]+)*"
+_TERM = re.compile(r"[a-z0-9]+(?:\.[0-9]+)*")
+_BLANK_LINE = re.compile(r"\n[ \t\r]*\n")
 LEAST_COSINE = 0.75
-# A term that no template has weighs as if it were in none.
-_N = sum(map(len, TEMPLATES.values()))
-
-
-def _weights(templates: dict[str, list[str]]) -> tuple[list[tuple[str, str, float]], dict[str, float]]:
-    """``(term, template, weight)`` of unit length, and the inverse frequency of terms."""
-    texts = [(name, n, Counter(re.findall(_TERM, text.lower()))) for name, own in templates.items() for n, text in enumerate(own)]
-    holding = Counter(term for *_, terms in texts for term in terms)
-    idf = {term: math.log((1 + len(texts)) / (1 + n)) + 1 for term, n in holding.items()}
-    rows = []
-    for name, n, terms in texts:
-        length = math.sqrt(sum((c * idf[t]) ** 2 for t, c in terms.items()))
-        rows += [(term, f"{name}#{n}", count * idf[term] / length) for term, count in terms.items()]
-    return rows, idf
-
-
-def passages(text: Column, is_license_file: Column) -> Column:
-    """The passages of a text, whole lines wherever they stand."""
-    lines = F.filter(F.split(F.coalesce(text, F.lit("")), "\n"), lambda line: line.rlike(_NOTICE))
-    whole = F.when(is_license_file, F.array(F.regexp_replace(F.coalesce(text, F.lit("")), "\n", " "))).otherwise(F.array().cast("array<string>"))
-    return F.array_distinct(F.concat(lines, whole))
+# What a task remembers: answers for so many passages, none longer than this.
+_KNOWN, _KNOWN_CHARS = 50_000, 400
+
+
+def _speaks(lowered: str) -> bool:
+    return any(mark in lowered for mark in _MARKS) or _SHORT_MARK.search(lowered) is not None
+
+
+def passages(text: str, is_license_file: bool) -> Iterator[str]:
+    """The passages of a text, whole, wherever they stand."""
+    if _speaks(text.lower()):
+        for paragraph in _BLANK_LINE.split(text):
+            lines = paragraph.split("\n")
+            found = [line for line in lines if _speaks(line.lower())]
+            yield from found
+            if found and len(lines) > 1:
+                yield " ".join(lines)
+    if is_license_file:
+        yield text.replace("\n", " ")
+
+
+class TemplateIndex:
+    """Templates as unit vectors, a row for every term; answers with the most similar licence."""
+
+    def __init__(self, templates: dict[str, list[str]], least: float):
+        texts = [(name, Counter(_TERM.findall(text.lower()))) for name, own in templates.items() for text in own]
+        holding = Counter(term for _, terms in texts for term in terms)
+        self.names, self.least = np.array([name for name, _ in texts]), least
+        self.place = {term: n for n, term in enumerate(holding)}
+        self.idf = np.array([math.log((1 + len(texts)) / (1 + n)) + 1 for n in holding.values()])
+        # a term that no template has weighs as if it were in none
+        self.unknown = math.log(1 + len(texts)) + 1
+        self.weights = np.zeros((len(holding), len(texts)))
+        for n, (_, terms) in enumerate(texts):
+            rows = [self.place[t] for t in terms]
+            own = np.array(list(terms.values())) * self.idf[rows]
+            self.weights[rows, n] = own / np.linalg.norm(own)
+        self.known: dict[str, tuple[float, str] | None] = {}
+
+    def best(self, passage: str) -> tuple[float, str] | None:
+        """The greatest cosine, negative, and its licence; the first by name of those with the same."""
+        if passage in self.known:
+            return self.known[passage]
+        found = self._compare(Counter(_TERM.findall(passage.lower())))
+        if len(passage) <= _KNOWN_CHARS:
+            if len(self.known) >= _KNOWN:
+                self.known.clear()
+            self.known[passage] = found
+        return found
+
+    def _compare(self, terms: Counter) -> tuple[float, str] | None:
+        rows = [self.place[t] for t in terms if t in self.place]
+        if not rows:
+            return None
+        own = np.array([n for t, n in terms.items() if t in self.place]) * self.idf[rows]
+        others = sum(n * n for t, n in terms.items() if t not in self.place)
+        length = math.sqrt(float(own @ own) + others * self.unknown**2)
+        # rounded, so that the order of the sums does not decide
+        cosine = np.round(own @ self.weights[rows] / length, 9)
+        name = min(self.names[cosine == cosine.max()])
+        return (-float(cosine.max()), str(name)) if cosine.max() >= self.least else None
 
 
 def match_templates(
-    notices: DataFrame, spark: SparkSession, templates: dict[str, list[str]] = TEMPLATES, least: float = LEAST_COSINE
+    files: DataFrame, templates: dict[str, list[str]] = TEMPLATES, least: float = LEAST_COSINE
 ) -> DataFrame:
-    """``(notice, license, cosine)`` of distinct notices that are like a template.
+    """``files (key, path, is_license, text)`` with ``license, cosine`` in place of the text.
 
-    Ties go to the first licence by name. Only terms travel; the templates are a
-    constant of this module, a few hundred rows, and are broadcast.
+    Of several passages the most similar counts, of equal ones the first licence
+    by name; both are null where none reaches ``least``. A file is compared where
+    it is read: nothing is shuffled, and a task holds the terms of one passage.
+    The templates travel with the function.
     """
-    weights, idf = _weights(templates)
-    unknown = math.log(1 + _N) + 1
-    table = spark.createDataFrame(weights, "term string, template string, weight double")
-    of_term = spark.createDataFrame(list(idf.items()), "term string, idf double")
-    terms = notices.select("notice", F.explode(F.regexp_extract_all(F.lower("notice"), F.lit(_TERM), F.lit(0))).alias("term"))
-    counted = terms.groupBy("notice", "term").agg(F.count(F.lit(1)).alias("times")).join(F.broadcast(of_term), "term", "left")
-    weighed = counted.withColumn("own", F.col("times") * F.coalesce("idf", F.lit(unknown)))
-    lengths = weighed.groupBy("notice").agg(F.sqrt(F.sum(F.col("own") * F.col("own"))).alias("length"))
-    products = (
-        weighed.join(F.broadcast(table), "term")
-        .groupBy("notice", "template")
-        .agg(F.sum(F.col("own") * F.col("weight")).alias("product"))
-    )
-    # rounded, so that the order of the sums does not decide
-    cosine = F.round(F.col("product") / F.col("length"), 9)
-    best = products.join(lengths, "notice").groupBy("notice").agg(
-        F.min(F.struct((-cosine).alias("away"), F.split("template", "#")[0].alias("license"))).alias("best")
-    )
-    return best.select("notice", F.col("best.license").alias("license"), (-F.col("best.away")).alias("cosine")).where(
-        F.col("cosine") >= least
-    )
+
+    def match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        index = TemplateIndex(templates, least)
+        for batch in batches:
+            best = [
+                min(filter(None, map(index.best, passages(text or "", is_file))), default=(None, None))
+                for is_file, text in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)
+            ]
+            licenses = pa.array([name for _, name in best], pa.string())
+            cosines = pa.array([None if c is None else -c for c, _ in best], pa.float64())
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], licenses, cosines], names)
+
+    names = ["key", "path", "is_license", "license", "cosine"]
+    kind = files.schema["key"].dataType.simpleString()
+    schema = f"key {kind}, path string, is_license boolean, license string, cosine double"
+    return files.select("key", "path", "is_license", "text").mapInArrow(match, schema)
 
 
 def _folder(path: Column) -> Column:
     return F.when(path.isNotNull(), F.regexp_extract(path, r"^(.*)/[^/]*$", 1))
 
 
-def scan(files: DataFrame, scratch: Scratch, *, key: str = "doc_id", path: str = "path", text: str = "text") -> DataFrame:
+def scan(
+    files: DataFrame,
+    scratch: Scratch,
+    *,
+    key: str = "doc_id",
+    path: str = "path",
+    text: str = "text",
+    templates: dict[str, list[str]] = TEMPLATES,
+    least: float = LEAST_COSINE,
+) -> DataFrame:
     """``(key, path, license, cosine, found_in)`` of every file.
 
     ``found_in`` is the path of the file itself or of the licence file that it
@@ -143,29 +143,9 @@ def scan(files: DataFrame, scratch: Scratch, *, key: str = "doc_id", path: str =
     """
     name = F.element_at(F.split(F.col("path"), "/"), -1)
     is_license = F.coalesce(name.rlike(_LICENSE_FILE), F.lit(False))
-    own_rows = files.select(
-        F.col(key).alias("key"),
-        F.col(path).alias("path"),
-        F.col(text).alias("text"),
-    ).select("key", "path", is_license.alias("is_license"), passages(F.col("text"), is_license).alias("notices"))
-    rows = scratch.materialize(own_rows.withColumn("row", F.monotonically_increasing_id()), "notices")
-
-    told = rows.select("row", F.explode("notices").alias("notice"))
-    matched = scratch.materialize(match_templates(told.select("notice").distinct(), files.sparkSession), "matched")
-    own = told.join(matched, "notice").groupBy("row").agg(
-        F.min(F.struct((-F.col("cosine")).alias("away"), "license")).alias("own")
-    )
-    judged = scratch.materialize(
-        rows.select("row", "key", "path", "is_license").join(own, "row", "left").select(
-            "key",
-            "path",
-            "is_license",
-            _folder(F.col("path")).alias("folder"),
-            F.col("own.license").alias("license"),
-            (-F.col("own.away")).alias("cosine"),
-        ),
-        "judged",
-    )
+    rows = files.select(F.col(key).alias("key"), F.col(path).alias("path"), F.col(text).alias("text"))
+    matched = match_templates(rows.withColumn("is_license", is_license), templates, least)
+    judged = scratch.materialize(matched.withColumn("folder", _folder(F.col("path"))), "judged")
     passed_on = (
         judged.where("is_license AND license IS NOT NULL")
         .groupBy("folder")

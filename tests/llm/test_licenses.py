@@ -6,20 +6,33 @@ import cases
 import pytest
 
 from fairweather.llm import licenses
+from fairweather.llm.license_texts import TEMPLATES
 from fairweather.session import Scratch
 
 
-def best_template(notice):
-    weights, idf = licenses._weights(licenses.TEMPLATES)
-    counts = Counter(re.findall(r"[a-z0-9]+(?:\.[0-9]+)*", notice.lower()))
-    own = {t: n * idf.get(t, math.log(1 + licenses._N) + 1) for t, n in counts.items()}
-    length = math.sqrt(sum(w * w for w in own.values()))
-    products = Counter()
-    for term, template, weight in weights:
-        if term in own:
-            products[template] += own[term] * weight
-    scored = sorted((-round(p / length, 9), t.split("#")[0]) for t, p in products.items())
-    return scored[0] if scored and -scored[0][0] >= licenses.LEAST_COSINE else None
+def vector(text, idf, unknown):
+    counts = Counter(re.findall(r"[a-z0-9]+(?:\.[0-9]+)*", text.lower()))
+    return {t: n * idf.get(t, unknown) for t, n in counts.items()}
+
+
+def cosines(passage):
+    """Cosine of a passage with every template, written apart from the library."""
+    texts = [(name, text) for name, own in TEMPLATES.items() for text in own]
+    holding = Counter(t for _, text in texts for t in set(re.findall(r"[a-z0-9]+(?:\.[0-9]+)*", text.lower())))
+    idf = {t: math.log((1 + len(texts)) / (1 + n)) + 1 for t, n in holding.items()}
+    unknown = math.log(1 + len(texts)) + 1
+    own = vector(passage, idf, unknown)
+    length = math.hypot(*own.values())
+    for name, text in texts:
+        other = vector(text, idf, unknown)
+        product = sum(w * other.get(t, 0) for t, w in own.items())
+        if product:
+            yield -round(product / length / math.hypot(*other.values()), 9), name
+
+
+def says(line):
+    words = r"licenc|licens|copyright|spdx|permission is hereby|creative commons|public domain|\bcc[- ]by\b"
+    return re.search(words, line.lower())
 
 
 def expected(rows):
@@ -28,9 +41,10 @@ def expected(rows):
     for _, path, text in rows:
         name = (path or "").split("/")[-1]
         is_file = re.match(r"(?i)(licen[cs]e|copying|unlicense|notice)([._-].*)?$", name)
-        found = [x for x in (text or "").split("\n") if re.search(licenses._NOTICE, x)]
+        found = [x for x in (text or "").split("\n") if says(x)]
+        found += [" ".join(p.split("\n")) for p in re.split(r"\n[ \t\r]*\n", text or "") if any(map(says, p.split("\n")))]
         found += [(text or "").replace("\n", " ")] if is_file and path is not None else []
-        best = min(filter(None, map(best_template, found)), default=None)
+        best = min((c for passage in set(found) for c in cosines(passage) if c[0] <= -0.75), default=None)
         own.append(best)
         if is_file and best:
             folder = path.rpartition("/")[0]
@@ -93,3 +107,40 @@ def test_the_query(spark, tmp_path):
     assert len({r["license"] for r in found}) > 3
     cases.documents(spark, tmp_path, rows=[])
     assert cases.run(spark, "op3_license_scan", tmp_path) == []
+
+
+def license_file(name, text):
+    """A licence file as it is found: with a copyright line, and broken in lines."""
+    words = f"Copyright (c) 2019 Some Person and others. All rights reserved. {text}".split()
+    return "\n".join(" ".join(words[n : n + 11]) for n in range(0, len(words), 11))
+
+
+def test_whole_licence_files_are_told_apart(spark):
+    whole = {name: max(own, key=len) for name, own in TEMPLATES.items() if len(max(own, key=len)) > 400}
+    assert {"BSD-2-Clause", "BSD-3-Clause", "MIT", "ISC", "Zlib", "Apache-2.0"} <= set(whole)
+    rows = [(n, f"{name}/LICENSE", license_file(name, text)) for n, (name, text) in enumerate(whole.items())]
+    # the body in a header of a source file, without a title
+    rows += [(n + 100, f"src/{name}.py", license_file(name, text) + "\n\nimport this\n") for n, (name, text) in enumerate(whole.items())]
+    frame = spark.createDataFrame(rows, "doc_id int, path string, text string")
+    found = {r["doc_id"]: r["license"] for r in licenses.scan(frame, Scratch(spark)).collect()}
+    assert found == {n + k: name for n, name in enumerate(whole) for k in (0, 100)}
+
+
+def test_equal_cosines_go_by_name_and_repeats_are_judged_each(spark):
+    templates = {"b": ["licence of sorts"], "a": ["licence of sorts"], "c": ["another licence"]}
+    rows = [(1, "x/y", "licence of sorts"), (1, "x/y", "licence of sorts"), (2, "x/LICENSE", "of licence sorts"), (3, "x/z", "")]
+    frame = spark.createDataFrame([(*r, "k", 1.0) for r in rows], "doc_id int, path string, text string, license string, cosine double")
+    found = licenses.scan(frame, Scratch(spark), templates=templates, least=0.9).collect()
+    assert sorted((r["doc_id"], r["license"], r["found_in"]) for r in found) == [
+        (1, "a", "x/y"), (1, "a", "x/y"), (2, "a", "x/LICENSE"), (3, "a", "x/LICENSE"),
+    ]
+
+
+def test_a_long_licence_file_is_held_once(spark):
+    text = cases.LONG * 10 + "\nSPDX-License-Identifier: MIT\n" + cases.LONG * 10
+    frame = spark.createDataFrame([(1, "a/LICENSE", text), (2, "a/b", "x")], "doc_id int, path string, text string")
+    found = licenses.scan(frame, Scratch(spark))
+    assert {r["license"] for r in found.collect()} == {"MIT"}
+    # nothing but paths, names and numbers is shuffled
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "text" not in plan and "Scan parquet" in plan
