@@ -2,8 +2,11 @@
 
 Words are rows of token and position. In every step the pairs of neighbours
 are looked up in the merge table, and each word contracts its leftmost pair of
-the least rank, until no word has a pair left. Decoding joins the ids with the
-vocabulary and aggregates the bytes in order.
+the least rank, until no word has a pair left. A long word contracts all its
+pairs of that rank in one step, from the left, up to the first that makes room
+for a lower rank: the same merges as one by one. Decoding joins the ids with the
+vocabulary and aggregates the bytes in order. Distinct words and chunks are
+encoded and decoded once.
 """
 
 import base64
@@ -14,8 +17,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from fairweather.llm.tokens import CACHED_CHARS, CACHED_CHUNKS, BatchEncoder
+from fairweather.llm.tokens import CACHED_CHARS, CACHED_CHUNKS, segments, slices, split_column
 
+# Text that is cut and looked up together.
+SLICE_BYTES = 8 << 20
+# Words of more bytes contract many pairs in a step.
+LONG_WORD = 48
 # Rows (a token of a word, or of a document) in one query.
 QUERY_ROWS = 2_000_000
 QUERY_MEMORY = "256MB"
@@ -27,6 +34,7 @@ _BYTE_SHIFT = 0x100
 # the least rank.
 _RANK, _PLACE = 1 << 45, 1 << 10
 _SIDE = 1 << 20
+_MOST_RANKS = 1 << 18
 
 # Words leave a place free between them, so that a place tells its word.
 _CONTRACT = f"""
@@ -55,6 +63,59 @@ WITH RECURSIVE step(word, pos, token, size, done) AS (
 SELECT word, token FROM step WHERE done ORDER BY pos
 """
 
+# All disjoint pairs of the least rank of a word, from the left: of those that overlap in a
+# row the first, third and so on. A contracted pair whose token makes a pair of a lower
+# rank with a neighbour, as the neighbours are at its turn, is the last of its step.
+_CONTRACT_LONG = f"""
+WITH RECURSIVE step(word, pos, token, size, done) AS (
+    SELECT word, pos, token, 1, false FROM start
+    UNION ALL
+    SELECT * FROM (
+        WITH live AS (
+            SELECT * FROM step WHERE NOT done
+        ), pairs AS (
+            SELECT a.word, a.pos, b.pos AS middle, m.merged, m.size
+            FROM live a
+            JOIN live b ON b.pos = a.pos + a.size
+            JOIN merges m ON m.pair = a.token * {_SIDE} + b.token
+        ), least AS (
+            SELECT word, min(merged) AS merged FROM pairs GROUP BY word
+        ), found AS (
+            SELECT p.*, coalesce(lag(p.middle) OVER (PARTITION BY p.word ORDER BY p.pos) = p.pos, false) AS linked
+            FROM pairs p JOIN least l ON l.word = p.word AND l.merged = p.merged
+        ), chained AS (
+            SELECT *, sum(CASE WHEN linked THEN 0 ELSE 1 END) OVER (PARTITION BY word ORDER BY pos) AS chain
+            FROM found
+        ), numbered AS (
+            SELECT *, row_number() OVER (PARTITION BY word, chain ORDER BY pos) AS number FROM chained
+        ), disjoint AS (
+            SELECT * FROM numbered WHERE number % 2 = 1
+        ), beside AS (
+            SELECT d.word, d.pos, d.merged, coalesce(q.merged, p.token) * {_SIDE} + d.merged AS pair
+            FROM disjoint d
+            JOIN live p ON p.pos + p.size = d.pos
+            LEFT JOIN disjoint q ON q.pos + q.size = d.pos
+            UNION ALL
+            SELECT d.word, d.pos, d.merged, d.merged * {_SIDE} + n.token
+            FROM disjoint d JOIN live n ON n.pos = d.pos + d.size
+        ), stop AS (
+            SELECT b.word, min(b.pos) AS pos
+            FROM beside b JOIN merges m ON m.pair = b.pair
+            WHERE m.merged < b.merged GROUP BY b.word
+        ), contracted AS (
+            SELECT d.* FROM disjoint d LEFT JOIN stop s ON s.word = d.word WHERE s.pos IS NULL OR d.pos <= s.pos
+        )
+        SELECT s.word, s.pos, coalesce(c.merged, s.token), coalesce(c.size, s.size), l.word IS NULL
+        FROM live s
+        LEFT JOIN contracted c ON c.pos = s.pos
+        LEFT JOIN contracted d ON d.middle = s.pos
+        LEFT JOIN least l ON l.word = s.word
+        WHERE d.pos IS NULL
+    )
+)
+SELECT word, token FROM step WHERE done ORDER BY pos
+"""
+
 _DECODE = """
 SELECT document, string_agg(piece, '' ORDER BY pos) AS bytes
 FROM tokens JOIN vocabulary USING (token)
@@ -68,60 +129,95 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(a): int(b) for a, b in (line.split() for line in lines if line.strip())}
 
 
+def merge_tables(ranks: dict[bytes, int]) -> dict[str, np.ndarray]:
+    """What the queries need of a vocabulary, as arrays.
+
+    ``pair, merged, size``: every way to cut a token in two tokens is a merge of
+    its rank. ``single``: the tokens of the bytes. ``together``: whether two
+    bytes stand next to each other in some token; where they do not, no merge
+    ever crosses, and a word can be cut.
+    """
+    if max(ranks.values()) >= _MOST_RANKS or max(map(len, ranks)) >= _PLACE:
+        raise ValueError("the vocabulary is too large for the merge numbers")
+    merges = [
+        (ranks[token[:k]] * _SIDE + ranks[token[k:]], rank, len(token))
+        for token, rank in ranks.items()
+        for k in range(1, len(token))
+        if token[:k] in ranks and token[k:] in ranks
+    ]
+    pair, merged, size = np.array(merges, np.int64).reshape(-1, 3).T
+    together = np.zeros((256, 256), bool)
+    for token in ranks:
+        inside = np.frombuffer(token, np.uint8)
+        together[inside[:-1], inside[1:]] = True
+    single = np.array([ranks[bytes([b])] for b in range(256)], np.int64)
+    return {"pair": pair, "merged": merged, "size": size, "single": single, "together": together}
+
+
 class RecursiveBpe:
     """Encodes and decodes with one in-process database; ranks are the ids."""
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str):
+    def __init__(self, ranks: dict[bytes, int], pattern: str, tables: dict[str, np.ndarray] | None = None):
         import duckdb
         import regex
 
         self.ranks, self.cut = ranks, regex.compile(pattern).findall
-        self.single = np.array([ranks[bytes([b])] for b in range(256)], np.int64)
-        self.db = duckdb.connect(config={"threads": 1, "memory_limit": QUERY_MEMORY})
-        if max(ranks.values()) >= _SIDE or max(map(len, ranks)) >= _PLACE:
-            raise ValueError("the vocabulary is too large for the merge numbers")
-        # every way to cut a token in two tokens is a merge of its rank
-        merges = [
-            (ranks[token[:k]] * _SIDE + ranks[token[k:]], rank, len(token))
-            for token, rank in ranks.items()
-            for k in range(1, len(token))
-            if token[:k] in ranks and token[k:] in ranks
-        ]
-        pair, merged, size = np.array(merges, np.int64).reshape(-1, 3).T
-        self._table("merges", pair=pair, merged=merged, size=size)
-        self.known: dict[str, bytes] = {}
+        tables = tables or merge_tables(ranks)
+        self.single, self.together = tables["single"], tables["together"]
+        # queries are of bounded size and never spill
+        self.db = duckdb.connect(config={"threads": 1, "memory_limit": QUERY_MEMORY, "temp_directory": ""})
+        self._table("merges", **{name: tables[name] for name in ("pair", "merged", "size")})
         pieces = ["".join(chr(b + _BYTE_SHIFT) for b in token) for token in ranks]
         self._table("vocabulary", token=np.fromiter(ranks.values(), np.int32), piece=pieces)
+        self.known: dict[str, bytes] = {}
+        self.known_chunks: dict[str, tuple[bytes, bytes]] = {}
 
     def _table(self, table: str, **columns) -> None:
         self.db.register("given", pa.table(columns))
         self.db.execute(f"CREATE OR REPLACE TABLE {table} AS SELECT * FROM given")
         self.db.unregister("given")
 
+    def _contract(self, query: str, raws: list[np.ndarray]) -> list[bytes]:
+        """Ids of words given as bytes, little-endian."""
+        word = np.repeat(np.arange(len(raws)), [len(r) for r in raws])
+        raw = np.concatenate(raws)
+        start = pa.table({"word": word, "pos": np.arange(len(raw)) + word, "token": self.single[raw]})
+        self.db.register("start", start)
+        done = self.db.sql(query).fetchnumpy()
+        self.db.unregister("start")
+        tokens = done["token"].astype("<u4").tobytes()
+        cuts = (4 * np.searchsorted(done["word"], np.arange(len(raws) + 1))).tolist()
+        return [tokens[a:b] for a, b in zip(cuts, cuts[1:], strict=False)]
+
     def words(self, words: list[bytes]) -> list[bytes]:
         """Ids of words, little-endian. A word that is a token itself is that token."""
-        found = [np.uint32(self.ranks[w]).tobytes() if w in self.ranks else b"" for w in words]
-        open_words = [n for n, w in enumerate(words) if w and not found[n]]
-        lengths = np.array([len(words[n]) for n in open_words], np.int64)
-        ends = np.cumsum(lengths)
-        start = 0
-        while start < len(open_words):
-            # at least one word, and as many as fit a query
-            taken = ends[start - 1] if start else 0
-            stop = max(start + 1, int(np.searchsorted(ends, taken + QUERY_ROWS // 4)))
-            part = open_words[start:stop]
-            raw = np.frombuffer(b"".join([words[n] for n in part]), np.uint8)
-            word = np.repeat(np.arange(len(part)), lengths[start:stop])
-            self._table("start", word=word, pos=np.arange(len(raw)) + word, token=self.single[raw])
-            done = self.db.sql(_CONTRACT).fetchnumpy()
-            tokens = done["token"].astype("<u4").tobytes()
-            cuts = (4 * np.searchsorted(done["word"], np.arange(len(part) + 1))).tolist()
-            for n, a, b in zip(part, cuts, cuts[1:], strict=False):
-                found[n] = tokens[a:b]
-            start = stop
-        return found
+        found = [[np.uint32(self.ranks[w]).tobytes()] if w in self.ranks else [] for w in words]
+        # words cut where no token can cross, in short and long parts
+        parts: dict[str, list[np.ndarray]] = {_CONTRACT: [], _CONTRACT_LONG: []}
+        places: list[tuple[int, str, int]] = []
+        for n, w in enumerate(words):
+            if w and not found[n]:
+                raw = np.frombuffer(w, np.uint8)
+                cuts = np.flatnonzero(~self.together[raw[:-1], raw[1:]]) + 1 if len(raw) > LONG_WORD else []
+                for part in np.split(raw, cuts) if len(cuts) else [raw]:
+                    query = _CONTRACT_LONG if len(part) > LONG_WORD else _CONTRACT
+                    places.append((n, query, len(parts[query])))
+                    parts[query].append(part)
+        answers: dict[str, list[bytes]] = {query: [] for query in parts}
+        for query, raws in parts.items():
+            ends = np.cumsum([len(r) for r in raws])
+            start = 0
+            while start < len(raws):
+                # at least one word, and as many as fit a query
+                taken = ends[start - 1] if start else 0
+                stop = max(start + 1, int(np.searchsorted(ends, taken + QUERY_ROWS // 4)))
+                answers[query] += self._contract(query, raws[start:stop])
+                start = stop
+        for n, query, at in places:
+            found[n].append(answers[query][at])
+        return [b"".join(f) for f in found]
 
-    def chunks(self, chunks: list[str]) -> list[bytes]:
+    def encode_chunks(self, chunks: list[str]) -> list[bytes]:
         """Ids of texts, every match of the pattern by itself."""
         cut = [self.cut(c) for c in chunks]
         new = list(dict.fromkeys(m for matches in cut for m in matches if m not in self.known))
@@ -134,12 +230,43 @@ class RecursiveBpe:
             del self.known[match]
         return found
 
+    def chunks(self, chunks: list[str]) -> list[tuple[bytes, bytes]]:
+        """Ids of distinct chunks, and the bytes that decoding these ids gives."""
+        new = [c for c in chunks if c not in self.known_chunks]
+        if len(self.known_chunks) + len(new) > CACHED_CHUNKS:
+            self.known_chunks.clear()
+            new = chunks
+        ids = self.encode_chunks(new)
+        self.known_chunks.update(zip(new, zip(ids, self.decode(ids), strict=True), strict=True))
+        found = [self.known_chunks[c] for c in chunks]
+        for chunk in [c for c in new if len(c) > CACHED_CHARS]:
+            del self.known_chunks[chunk]
+        return found
+
+    def texts(self, texts: pa.Array) -> Iterator[tuple[bytes, bytes]]:
+        """Ids of texts, and their bytes as decoded from the ids."""
+        for part in slices(texts, SLICE_BYTES):
+            if len(part) == 1 and part.nbytes > 2 * SLICE_BYTES:
+                own = [pa.array([text]) for text in segments(part[0].as_py(), SLICE_BYTES // 4)]
+                ids, decoded = zip(*[next(self._slice(s)) for s in own], strict=True)
+                yield b"".join(ids), b"".join(decoded)
+            else:
+                yield from self._slice(part)
+
+    def _slice(self, texts: pa.Array) -> Iterator[tuple[bytes, bytes]]:
+        distinct, at, bounds = split_column(texts)
+        ids, decoded = zip(*self.chunks(distinct), strict=True)
+        cuts = bounds.tolist()
+        for a, b in zip(cuts, cuts[1:], strict=False):
+            own = at[a:b].tolist()
+            yield b"".join(map(ids.__getitem__, own)), b"".join(map(decoded.__getitem__, own))
+
     def decode(self, documents: list[bytes]) -> Iterator[bytes]:
         """Bytes of documents given as little-endian unsigned 32-bit ids."""
         start = 0
         while start < len(documents):
             stop, rows = start, 0
-            while stop < len(documents) and (stop == start or rows + len(documents[stop]) // 4 <= QUERY_ROWS // 8):
+            while stop < len(documents) and (stop == start or rows + len(documents[stop]) // 4 <= QUERY_ROWS // 4):
                 rows += len(documents[stop]) // 4
                 stop += 1
             part = documents[start:stop]
@@ -156,9 +283,11 @@ class RecursiveBpe:
             )
             found = dict(self.db.execute(_DECODE).fetchall())
             self.db.unregister("tokens")
-            for n in range(len(part)):
-                shifted = np.frombuffer(found.get(n, "").encode("utf-16-le"), "<u2")
-                yield (shifted - _BYTE_SHIFT).astype(np.uint8).tobytes()
+            text = "".join([found.get(n, "") for n in range(len(part))]).encode("utf-16-le")
+            raw = (np.frombuffer(text, "<u2") - _BYTE_SHIFT).astype(np.uint8).tobytes()
+            ends = np.cumsum([len(found.get(n, "")) for n in range(len(part))]).tolist()
+            for a, b in zip([0, *ends], ends, strict=False):
+                yield raw[a:b]
             start = stop
 
 
@@ -172,19 +301,27 @@ def encode_and_decode(
 
     A null text is empty. The hashes are of the ids as little-endian unsigned
     32-bit integers and of the bytes that decoding these ids gives back. Work
-    is cut into queries of bounded size, whatever the length of a text.
+    is cut into queries of bounded size, whatever the length of a text; a single
+    match of the pattern is one word of one query, cut where no token crosses.
+    The vocabulary is read once, where the plan is made, and travels with the
+    function: it has at most 2^18 tokens.
     """
+    ranks = read_ranks(ranks_path)
+    tables = merge_tables(ranks)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = RecursiveBpe(read_ranks(ranks_path), pattern)
-        encode = BatchEncoder(bpe.chunks, batch=2048)
+        bpe = RecursiveBpe(ranks, pattern, tables)
         for batch in batches:
-            encoded = list(encode([t or "" for t in batch.column(1).to_pylist()]))
+            encoded, digests = [], []
+            for own, decoded in bpe.texts(batch.column(1)):
+                encoded.append(own if ids else len(own))
+                digests.append((hashlib.sha256(own).hexdigest(), hashlib.sha256(decoded).hexdigest()))
+            sizes = [len(e) // 4 for e in encoded] if ids else [e // 4 for e in encoded]
             columns = [
                 batch.column(0),
-                pa.array([len(e) // 4 for e in encoded], pa.int64()),
-                pa.array([hashlib.sha256(e).hexdigest() for e in encoded]),
-                pa.array([hashlib.sha256(d).hexdigest() for d in bpe.decode(encoded)]),
+                pa.array(sizes, pa.int64()),
+                pa.array([a for a, _ in digests], pa.string()),
+                pa.array([b for _, b in digests], pa.string()),
             ]
             if ids:
                 columns.append(pa.array([np.frombuffer(e, "<u4").astype(np.int64) for e in encoded], pa.list_(pa.int64())))

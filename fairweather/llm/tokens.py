@@ -52,25 +52,63 @@ def encode_by_chunk(known: Known, text: str) -> bytes:
     return b"".join([known[c] for c in chunks(text)])
 
 
-class BatchEncoder:
-    """Texts to ids where ``encode`` takes many chunks at a time."""
-
-    def __init__(self, encode: Callable[[list[str]], Iterable[bytes]], batch: int):
-        self.encode, self.batch = encode, batch
-        self.known: dict[str, bytes] = {}
-
-    def __call__(self, texts: list[str]) -> Iterator[bytes]:
-        for start in range(0, len(texts), self.batch):
-            cut = [chunks(t) for t in texts[start : start + self.batch]]
-            new = dict.fromkeys(c for found in cut for c in found if c not in self.known)
-            if len(self.known) + len(new) > CACHED_CHUNKS:
-                self.known.clear()
-                new = dict.fromkeys(c for found in cut for c in found)
-            self.known.update(zip(new, self.encode(list(new)), strict=True))
-            for found in cut:
-                yield b"".join([self.known[c] for c in found])
-            for chunk in [c for c in new if len(c) > CACHED_CHARS]:
-                del self.known[chunk]
+def split_column(texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """The distinct chunks of texts, the chunks of all of them by number, and where each text starts.
+
+    Texts are split at spaces together; only those with a space before white
+    space are looked at one by one.
+    """
+    split = pc.split_pattern(texts, " ")
+    bounds = split.offsets.to_numpy().astype(np.int64)
+    bounds = bounds - bounds[0]
+    found = split.flatten().dictionary_encode()
+    parts, at = found.dictionary.to_pylist(), found.indices.to_numpy().astype(np.int64)
+    # a part stands after a space, but for the first of a text
+    first = bounds[:-1]
+    glued = np.fromiter((not p or p[0].isspace() for p in parts), bool, len(parts))[at]
+    glued[first] = False
+    starting, place = np.unique(at[first], return_inverse=True)
+    at[first] = len(parts) + place
+    distinct = [" " + p for p in parts] + [parts[p] for p in starting]
+    odd = np.unique(np.searchsorted(bounds, np.flatnonzero(glued), "right") - 1)
+    if len(odd):
+        number = {chunk: n for n, chunk in enumerate(distinct)}
+        pieces = np.split(at, bounds[1:-1])
+        for n in odd:
+            own = [number.setdefault(chunk, len(number)) for chunk in chunks(texts[n].as_py())]
+            pieces[n] = np.array(own, np.int64)
+        at, distinct = np.concatenate(pieces), list(number)
+        bounds = np.concatenate([[0], np.cumsum([len(p) for p in pieces])])
+    return distinct, at, bounds
+
+
+def gather(values: list[bytes], at: np.ndarray, bounds: np.ndarray) -> Iterator[bytes]:
+    """For each text the values of its chunks, joined."""
+    cuts = bounds.tolist()
+    for a, b in zip(cuts, cuts[1:], strict=False):
+        yield b"".join(map(values.__getitem__, at[a:b].tolist()))
+
+
+def slices(texts: pa.Array, size: int) -> Iterator[pa.Array]:
+    """A column in slices of about ``size`` bytes, of one text at least; nulls become empty."""
+    texts = pc.fill_null(texts.cast(pa.large_string()), "")
+    ends = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False))
+    start = 0
+    while start < len(texts):
+        taken = ends[start - 1] if start else 0
+        stop = max(start + 1, int(np.searchsorted(ends, taken + size, "right")))
+        yield texts.slice(start, stop - start)
+        start = stop
+
+
+def segments(text: str, size: int) -> Iterator[str]:
+    """A text in segments of at least ``size`` characters, cut where a chunk starts."""
+    at = 0
+    while at < len(text):
+        start = _CHUNK_START.search(text, at + size)
+        end = start.start() if start else len(text)
+        yield text[at:end]
+        at = end
 
 
 def _byte_of_character() -> dict[str, int]:
@@ -116,10 +154,9 @@ def file_encoder(path: str, pattern: str) -> Callable[[str], bytes]:
 class ColumnEncoder:
     """Columns of texts to the ids of :func:`file_encoder`, looked up once per distinct word.
 
-    The texts of some megabytes are split at spaces together, every distinct
-    part is encoded once, and the ids are gathered by part. A text with a special
-    token, or with a space before white space, goes the way of a single text; so
-    does a very long one, cut where a chunk starts.
+    The texts of some megabytes are split together, every distinct chunk is
+    encoded once, and the ids are gathered by chunk. A text with a special token
+    goes the way of a single text; so does a very long one, in segments.
     """
 
     def __init__(self, path: str, pattern: str):
@@ -127,49 +164,21 @@ class ColumnEncoder:
         self.known = Known(self.encoding.encode_ordinary)
 
     def __call__(self, texts: pa.Array) -> Iterator[bytes]:
-        texts = pc.fill_null(texts.cast(pa.large_string()), "")
-        sizes = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False))
-        start = 0
-        while start < len(texts):
-            taken = sizes[start - 1] if start else 0
-            stop = max(start + 1, int(np.searchsorted(sizes, taken + SLICE_BYTES, "right")))
-            part = texts.slice(start, stop - start)
-            yield from self._slice(part) if sizes[stop - 1] - taken <= SLICE_BYTES else [self._single(part[0].as_py())]
-            start = stop
+        for part in slices(texts, SLICE_BYTES):
+            if len(part) == 1 and part.nbytes > 2 * SLICE_BYTES:
+                yield self._single(part[0].as_py())
+            else:
+                yield from self._slice(part)
 
     def _single(self, text: str) -> bytes:
         if any(s in text for s in self.special):
             return np.asarray(self.encoding.encode(text, allowed_special="all"), "<u4").tobytes()
-        found, at = [], 0
-        while at < len(text):
-            start = _CHUNK_START.search(text, at + SLICE_BYTES // 4)
-            end = start.start() if start else len(text)
-            found.append(encode_by_chunk(self.known, text[at:end]))
-            at = end
-        return b"".join(found)
+        return b"".join([encode_by_chunk(self.known, part) for part in segments(text, SLICE_BYTES // 4)])
 
     def _slice(self, texts: pa.Array) -> Iterator[bytes]:
-        split = pc.split_pattern(texts, " ")
-        bounds = split.offsets.to_numpy().astype(np.int64)
-        bounds, first = bounds - bounds[0], bounds[:-1] - bounds[0]
-        found = split.flatten().dictionary_encode()
-        parts, at = found.dictionary.to_pylist(), found.indices.to_numpy().astype(np.int64)
-        # a part stands after a space, but for the first of a text
-        glued = np.fromiter((not p or p[0].isspace() for p in parts), bool, len(parts))[at]
-        glued[first] = False
-        odd = np.zeros(len(texts), bool)
-        odd[np.searchsorted(bounds, np.flatnonzero(glued), "right") - 1] = True
-        for special in self.special:
-            odd |= pc.match_substring(texts, special).to_numpy(zero_copy_only=False)
-        starting, place = np.unique(at[first], return_inverse=True)
-        at[first] = len(parts) + place
-        ids = [self.known[" " + p] for p in parts] + [self.known[parts[p]] for p in starting]
-        lengths = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
-        starts = np.cumsum(lengths) - lengths
-        ids = np.frombuffer(b"".join(ids), "<u4")
-        length = lengths[at]
-        ends = np.concatenate([[0], np.cumsum(length)])
-        gathered = ids[np.repeat(starts[at] - ends[:-1], length) + np.arange(ends[-1])]
-        cuts = ends[bounds].tolist()
-        for n, (a, b) in enumerate(zip(cuts, cuts[1:], strict=False)):
-            yield self._single(texts[n].as_py()) if odd[n] else gathered[a:b].tobytes()
+        special = np.zeros(len(texts), bool)
+        for token in self.special:
+            special |= pc.match_substring(texts, token).to_numpy(zero_copy_only=False)
+        distinct, at, bounds = split_column(texts)
+        for n, ids in enumerate(gather([self.known[c] for c in distinct], at, bounds)):
+            yield self._single(texts[n].as_py()) if special[n] else ids
