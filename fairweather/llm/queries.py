@@ -95,9 +95,9 @@ _ODD_CONVERSATION = (
 @register
 def op2_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All conversations formatted, and what reading them back gives."""
-    rows = chat.turns_of_rows(_table(spark, sf_dir, "conversations"))
-    odd = spark.range(1).select(F.lit(_ODD_CONVERSATION).alias("record"))
-    conversations = rows.unionByName(chat.turns_of_records(odd, "record"))
+    rows = chat.records_of_rows(_table(spark, sf_dir, "conversations"))
+    odd = spark.range(1).select(F.parse_json(F.lit(_ODD_CONVERSATION)).alias("record"))
+    conversations = chat.turns_of_variants(rows.unionByName(odd), "record")
     read = chat.format_turns(conversations).select(
         "conv_id",
         F.char_length("formatted").cast("bigint").alias("formatted_chars"),

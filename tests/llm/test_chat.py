@@ -85,20 +85,77 @@ def test_layouts_are_told_by_their_fields(spark):
     assert len(found) == len(lines)
     assert by_id[1] == ("messages", two) and by_id[2] == ("conversations", two) and by_id[3] == ("prompt", two)
     assert by_id[4] == ("instruction", [two[0], ("user", "more"), two[1]]) and by_id[5] == ("instruction only", two)
-    assert by_id[7] == ("messages", [("user", "")])
-    assert by_id[None] == (None, [])
-
-
-def test_fingerprints_of_schemas_and_records_agree(spark):
-    schema = "id bigint, messages array<struct<role: string, content: string>>"
-    paths = chat.schema_paths(spark.createDataFrame([], schema).schema)
-    record = F.parse_json(F.lit('{"messages": [{"content": "a", "role": "b"}], "id": 1}'))
-    one, other = spark.range(1).select(
-        chat.fingerprint(F.array(*[F.lit(p) for p in paths])), chat.fingerprint(chat.record_paths(record))
-    ).first()
-    assert one == other
-    with pytest.raises(ValueError):
-        chat.turns_of_rows(spark.range(1))
+    # nothing is lost where no layout fits
+    assert by_id[6] == (None, [("record", json.dumps(records[5]))])
+    assert by_id[7] == ("messages", [("user", "")]) and by_id[8] == ("messages", [])
+    rest = [(r["layout"], [tuple(t) for t in r["turns"]]) for r in found if r["conv_id"] is None]
+    assert sorted(rest, key=str) == [(None, [("record", "no json")]), (None, [])]
+
+
+def test_three_layouts_in_one_table(spark):
+    records = [
+        {"meta": {"id": 1, "more": [1]}, "data": {"messages": [
+            {"author": {"role": "human", "name": "x"}, "content": {"text": "hi", "parts": [{"a": 1}]}},
+            {"author": {"role": "bot"}, "content": {"text": "yo"}},
+        ]}},
+        {"prompt": "hi", "id": 2, "completion": "yo", "source": {"url": "u"}},
+        {"mood": 3, "turns": [{"turn": 1, "role": "assistant", "text": "yo"}, {"turn": 0, "role": "user", "text": "hi"}], "conv_id": 3},
+        {"conv_id": 4, "turns": [{"turn": 1, "role": "assistant", "text": "yo"}, {"turn": 0, "role": "user", "text": "hi"}]},
+        {"id": 5, "prompt": "hi", "messages": [{"role": "user", "content": "hi"}]},
+        {"deep": [[{"x": {"y": [{"z": "lost?"}]}}]], "conv_id": 6},
+        {"id": "text", "prompt": "hi", "completion": "yo"},
+        [1, 2],
+    ]
+    frame = spark.createDataFrame([(json.dumps(r), 1, "x") for r in records], "record string, conv_id int, turns string")
+    found = {r["conv_id"]: r for r in chat.turns_of_records(frame, "record").collect() if r["conv_id"] is not None}
+    two = [("user", "hi"), ("assistant", "yo")]
+    turns = {n: [tuple(t) for t in r["turns"]] for n, r in found.items()}
+    assert turns[1] == turns[2] == turns[3] == turns[4] == two
+    assert [found[n]["layout"] for n in (1, 2, 3, 4, 5, 6)] == ["nested messages", "prompt", "turn rows", "turn rows", None, None]
+    # two layouts at once are none, and are kept as they are
+    for n in (5, 6):
+        (role, text), = turns[n]
+        assert role == "record" and json.loads(text) == records[n - 1]
+    keyless = [r for r in chat.turns_of_records(frame, "record").collect() if r["conv_id"] is None]
+    assert sorted(str(r["layout"]) for r in keyless) == ["None", "prompt"]
+    back = chat.format_turns(chat.turns_of_records(frame, "record")).select("turns", chat.read_turns(F.col("formatted")).alias("back"))
+    assert all(r["turns"] == r["back"] for r in back.collect())
+
+
+def paths_of(value, prefix=""):
+    """Nested field paths, written apart from the library."""
+    if isinstance(value, dict) and value:
+        dot = f"{prefix}." if prefix else ""
+        return {p for k, v in value.items() for p in paths_of(v, dot + (k if k.isidentifier() else "`" + k.replace("`", "``") + "`"))}
+    if isinstance(value, list):
+        return {p for v in value for p in paths_of(v, f"{prefix}[]")} or {f"{prefix}[]"}
+    return {prefix}
+
+
+def test_paths_at_any_depth(spark):
+    deep = {"z": 1}
+    for n in range(60):
+        deep = {f"k{n}": [deep]} if n % 3 else {f"k{n}": deep, f"also{n}": None}
+    records = [
+        {}, {"a": 1}, {"a": {}}, {"a": []}, {"a": [[], []]}, {"a": [[{"b": 1}], [{"c": 2.5}]]}, deep,
+        {"a b": 1, "x: y": {"q<": ["s"]}, "t`k": True, "comma, x": {"OBJECT<": [{"ARRAY<": None}]}, "O": "OBJECT<a: STRING>"},
+        {"n": 10**30, "d": 1.25, "e": 1e300, "u": "é"}, "text", 5, [1], [], [{"a": [{"b": {"c": 1}}]}],
+    ]
+    frame = spark.createDataFrame([(n, json.dumps(r)) for n, r in enumerate(records)], "n int, j string")
+    found = frame.select("n", chat.record_paths(F.parse_json("j")).alias("paths")).collect()
+    assert {r["n"]: set(r["paths"]) for r in found} == {n: paths_of(r) for n, r in enumerate(records)}
+
+
+def test_rows_become_records_of_their_layout(spark):
+    rows = [(1, 2, "assistant", "b", "x"), (1, None, None, "a", "y"), (None, 0, "user", None, "z"), (2, 1, "user", "c" * (20 << 20), "")]
+    table = spark.createDataFrame(rows, "conv_id long, turn int, role string, text string, turns string")
+    found = chat.turns_of_variants(chat.records_of_rows(table), "record").collect()
+    by_id = {r["conv_id"]: (r["layout"], [tuple(t) for t in r["turns"]]) for r in found}
+    assert by_id[1] == ("turn rows", [("", "a"), ("assistant", "b")])
+    assert by_id[None] == ("turn rows", [("user", "")])
+    assert by_id[2][0] == "turn rows" and len(by_id[2][1][0][1]) == 20 << 20
+    plan = chat.turns_of_variants(chat.records_of_rows(table), "record")._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan.split("Scan")[0]
 
 
 def test_texts_come_back_and_segments_join(spark):
