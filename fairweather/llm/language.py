@@ -18,8 +18,6 @@ DIMENSIONS = 1024
 UNKNOWN = "und"
 # Texts learnt per language, about: more are thinned by a hash of the text.
 TEXTS_PER_LANGUAGE = 20_000
-# The prototypes travel with every task; more languages than this are an error.
-MAX_LANGUAGES = 1000
 _BLOCK = 4096
 
 
@@ -76,21 +74,18 @@ class Profiles:
 def learn(documents: DataFrame, text: str = "text", language: str = "lang") -> Profiles:
     """Prototypes of the languages of labelled texts.
 
-    Every task sums its texts per language and dimension; only the sums meet.
-    Each text counts with length one, whatever its size. Of a language with more
-    than about ``TEXTS_PER_LANGUAGE`` texts a part chosen by a hash is learnt.
+    Every task sums its texts per language and dimension; only the sums meet, and
+    reach the driver: 8 kB a language. Each text counts with length one, whatever
+    its size. Of a language with more than about ``TEXTS_PER_LANGUAGE`` texts a
+    part chosen by a hash is learnt.
     """
     labelled = documents.where(F.col(language).isNotNull() & F.col(text).isNotNull()).select(
         F.col(text).alias("text"), F.col(language).alias("language")
     )
-    counts = labelled.groupBy("language").count().limit(MAX_LANGUAGES + 1).collect()
-    if len(counts) > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages")
-    share = F.lit(0.0)
-    for row in counts:
-        wanted = min(1.0, TEXTS_PER_LANGUAGE / row["count"])
-        share = F.when(F.col("language") == row["language"], wanted).otherwise(share)
-    drawn = F.pmod(F.xxhash64("text"), F.lit(1 << 20)) < share * (1 << 20)
+    counts = labelled.groupBy("language").agg(F.count(F.lit(1)).alias("texts"))
+    # a text is drawn by its place in 2^20, of which the language wants a part
+    wanted = F.least(F.lit(1.0), TEXTS_PER_LANGUAGE / F.col("texts")) * (1 << 20)
+    drawn = labelled.join(counts, "language").where(F.pmod(F.xxhash64("text"), F.lit(1 << 20)) < wanted)
 
     def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         letters, sums = Letters(), {}
@@ -110,7 +105,7 @@ def learn(documents: DataFrame, text: str = "text", language: str = "lang") -> P
             )
 
     sums = (
-        labelled.where(drawn)
+        drawn.select("text", "language")
         .mapInArrow(add_up, "language string, dimension int, value double")
         .groupBy("language", "dimension")
         .agg(F.sum("value").alias("value"))
@@ -124,31 +119,47 @@ def learn(documents: DataFrame, text: str = "text", language: str = "lang") -> P
     return Profiles([str(name) for name in table.index], prototypes / np.where(lengths > 0, lengths, 1))
 
 
-def predict(documents: DataFrame, profiles: Profiles, text: str = "text") -> DataFrame:
-    """Documents with ``lang_pred`` and ``score``, the cosine with its prototype (0 to 1).
-
-    A text that is null or has no letters gets ``und`` and 0; so does every text
-    where nothing was learnt. Equal cosines go to the first language by name.
+def cosines_with(vectors: list[np.ndarray | None], profiles: Profiles) -> np.ndarray:
+    """Cosine of every text's vector with every prototype, zeros for texts without a vector."""
+    found = np.zeros((len(vectors), len(profiles.languages)))
+    for row, vector in enumerate(vectors):
+        if vector is not None:
+            found[row] = profiles.prototypes @ vector / (np.linalg.norm(vector) or 1.0)
+    return found
+
+
+def predict(
+    documents: DataFrame,
+    profiles: Profiles,
+    text: str = "text",
+    names: tuple[str, str, str] = ("lang_pred", "score", "margin"),
+) -> DataFrame:
+    """Documents with ``lang_pred``, ``score``, the cosine with its prototype (0 to 1), and ``margin``.
+
+    The margin is the score less that of the second language, or less 0 where
+    there is one language. A text that is null or has no letters gets ``und``, 0
+    and 0; so does every text where nothing was learnt. Equal cosines go to the
+    first language by name. ``names`` names the new columns, so that they can
+    stand beside any others.
     """
     columns = documents.columns
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         letters = Letters()
         for batch in batches:
-            languages, scores = [], []
-            for value in batch.column(columns.index(text)).to_pylist():
-                vector = letters.bundle(value) if profiles.languages else None
-                language, cosine = UNKNOWN, 0.0
-                if vector is not None:
-                    cosines = profiles.prototypes @ vector / (np.linalg.norm(vector) or 1.0)
-                    language = profiles.languages[int(np.argmax(cosines))]
-                    cosine = float(np.clip(cosines.max(), 0.0, 1.0))
-                languages.append(language)
-                scores.append(cosine)
+            texts = batch.column(columns.index(text)).to_pylist()
+            vectors = [letters.bundle(t) if profiles.languages else None for t in texts]
+            cosines = cosines_with(vectors, profiles)
+            languages, scores, margins = [], [], []
+            for vector, row in zip(vectors, cosines, strict=True):
+                second, best = np.clip(np.sort(np.append(row, 0.0))[-2:], 0.0, 1.0) if vector is not None else (0.0, 0.0)
+                languages.append(profiles.languages[int(np.argmax(row))] if vector is not None else UNKNOWN)
+                scores.append(float(best))
+                margins.append(float(best - second))
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(languages), pa.array(scores, pa.float64())],
-                [*columns, "lang_pred", "score"],
+                [*batch.columns, pa.array(languages, pa.string()), pa.array(scores, pa.float64()), pa.array(margins, pa.float64())],
+                [*columns, *names],
             )
 
-    schema = documents.select("*", F.lit("").alias("lang_pred"), F.lit(0.0).alias("score")).schema
-    return documents.mapInArrow(score, schema)
+    new = [value.alias(name) for value, name in zip((F.lit(""), F.lit(0.0), F.lit(0.0)), names, strict=True)]
+    return documents.mapInArrow(score, documents.select("*", *new).schema)

@@ -1,8 +1,8 @@
 """Quality rules: word rules per text, and lines that recur across the documents of a host.
 
-Lines are normalised and hashed; for each host and line the distinct texts that
-hold it are counted. Lines above the limit are removed, and a document that is
-depleted by that is rejected.
+Lines are normalised and hashed; for each host and line the distinct documents
+that hold it are counted. Lines above the limit are removed, and a document that
+is depleted by that is rejected.
 """
 
 from collections.abc import Iterator
@@ -24,10 +24,11 @@ WINDOW = 5
 class Rules:
     """Limits of the rules.
 
-    A line is removed where more than ``max_share`` of the distinct texts of its
-    host hold it, and more than ``min_documents`` of them do. A document is
-    depleted with fewer than ``min_words`` words left or less than ``min_left``
-    of its words.
+    A line is removed where more than ``max_share`` of the documents of its host
+    hold it, and more than ``min_documents`` of them do. A document is depleted
+    with fewer than ``min_words`` words left or less than ``min_left`` of its
+    words. With ``count_texts`` documents of the same text count as one, so that a
+    group of copies does not condemn its own lines.
     """
 
     min_words: int = 10
@@ -35,6 +36,7 @@ class Rules:
     max_share: float = 0.1
     min_documents: int = 20
     min_left: float = 0.2
+    count_texts: bool = False
 
 
 def repeated_words(ids: np.ndarray) -> int:
@@ -122,41 +124,42 @@ def judge(
     text: str = "text",
     host: str = "source",
     rules: Rules = Rules(),
+    into: str | None = None,
 ) -> DataFrame:
     """The columns ``keep`` of each document with its statistics and verdict.
 
     Adds ``n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words``,
     ``base_failed`` (too few words, or too many repeated ones), ``removed_lines``
-    (numbers of lines above the limit of the host, from 0) and ``kept``. A null
-    text has no words and fails. Repeated rows are judged each; copies of a text
-    count once for the limits, so a group of copies does not condemn its lines.
+    (numbers of lines above the limit of the host, from 0) and ``kept``; ``into``
+    puts them into one struct of that name, beside columns of any names. A null
+    text has no words and fails. Repeated rows are documents of their own.
     Documents without a host share one.
 
-    Counting takes two shuffles of hashes: first by host, line and text, then,
-    pre-aggregated, by host and line. Nothing is broadcast by hint.
+    A line counts once for a document. Counting takes one shuffle of hashes,
+    pre-aggregated by host and line; counting texts takes one more, by host,
+    line and text. Nothing is broadcast by hint.
     """
     measured = _measured(documents, text, host, keep).withColumn("_row", F.monotonically_increasing_id())
     rows = scratch.materialize(measured, "measured")
     host_key = F.coalesce(F.concat(F.lit("h"), F.col("_host").cast("string")), F.lit("")).alias("_host")
+    counted = F.count_distinct("_text") if rules.count_texts else F.count(F.lit(1))
 
-    texts = rows.select(host_key, "_text").groupBy("_host").agg(F.count_distinct("_text").alias("_texts"))
-    lines = rows.select(host_key, "_text", "_row", F.explode("_lines").alias("_line")).select(
-        "_host", "_text", "_row", "_line.*"
-    )
-    limit = F.greatest(F.lit(rules.min_documents), rules.max_share * F.col("_texts"))
+    documents_of = rows.select(host_key, "_text").groupBy("_host").agg(counted.alias("_documents"))
+    held = F.explode(F.array_distinct("_lines.hash")).alias("hash")
+    holding = rows.select(host_key, "_text", held).groupBy("_host", "hash").agg(counted.alias("_holding"))
+    limit = F.greatest(F.lit(rules.min_documents), rules.max_share * F.col("_documents"))
     frequent = scratch.materialize(
-        lines.groupBy("_host", "hash")
-        .agg(F.count_distinct("_text").alias("_holding"))
-        .where(F.col("_holding") > rules.min_documents)
-        .join(texts, "_host")
+        holding.where(F.col("_holding") > rules.min_documents)
+        .join(documents_of, "_host")
         .where(F.col("_holding") > limit)
         .select("_host", "hash"),
         "frequent-lines",
     )
+    lines = rows.select(host_key, "_row", F.explode("_lines").alias("_line")).select("_host", "_row", "_line.*")
     removed = (
         lines.join(frequent, ["_host", "hash"])
         .groupBy("_row")
-        .agg(F.sum("words").alias("_gone"), F.array_sort(F.collect_list("number")).alias("removed_lines"))
+        .agg(F.sum("words").alias("_gone"), F.array_sort(F.collect_list("number")).alias("_removed"))
     )
 
     n_words, left = F.col("n_words"), F.col("n_words") - F.coalesce(F.col("_gone"), F.lit(0))
@@ -164,12 +167,15 @@ def judge(
         100 * F.col("n_repeat_words") > rules.max_repeated_percent * n_words
     )
     depleted = (left < rules.min_words) | (left < rules.min_left * n_words)
-    return rows.join(removed, "_row", "left").select(
-        *[F.col(f"k{i}").alias(c) for i, c in enumerate(keep)],
-        *STATISTICS,
+    found = [
+        *map(F.col, STATISTICS),
         base_failed.alias("base_failed"),
-        F.coalesce("removed_lines", F.array().cast("array<int>")).alias("removed_lines"),
+        F.coalesce("_removed", F.array().cast("array<int>")).alias("removed_lines"),
         (~base_failed & ~depleted).alias("kept"),
+    ]
+    return rows.join(removed, "_row", "left").select(
+        *[F.col(f"k{i}").alias(c) for i, c in enumerate(keep)],
+        *(found if into is None else [F.struct(*found).alias(into)]),
     )
 
 

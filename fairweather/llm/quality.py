@@ -195,13 +195,17 @@ def learn(labelled: DataFrame, text: str = "text", label: str = "quality", setti
     """Trees from labelled texts (label 0 or 1; others and null texts are left out).
 
     The statistics of about ``TRAINING_ROWS`` rows, a part chosen by a hash of
-    the text, reach the driver; nothing else of the corpus does.
+    the text and all other columns, reach the driver; nothing else of the corpus
+    does. Copies of a text that another column tells apart, such as an id, are
+    drawn each; of rows that repeat in every column at most twice as many are
+    taken.
     """
+    others = [F.col(f"`{c}`") for c in labelled.columns if c not in (text, label)]
     usable = labelled.where(F.col(label).isin(0, 1) & F.col(text).isNotNull()).select(
-        F.col(text).alias("text"), F.col(label).cast("int").alias("label")
+        F.col(text).alias("text"), F.col(label).cast("int").alias("label"), F.xxhash64(text, *others).alias("draw")
     )
     share = min(1.0, TRAINING_ROWS / max(1, usable.count()))
-    drawn = usable.where(F.pmod(F.xxhash64("text"), F.lit(1 << 20)) < share * (1 << 20))
+    drawn = usable.where(F.pmod("draw", F.lit(1 << 20)) < share * (1 << 20)).limit(2 * TRAINING_ROWS)
     rows = _with_statistics(drawn, "text").select("label", "_statistics").toPandas()
     # the same order whatever the tasks' order, so that the trees are the same
     features = np.array(rows["_statistics"].tolist(), float).reshape(-1, len(FEATURES))

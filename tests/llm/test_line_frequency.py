@@ -27,17 +27,18 @@ def normal(line):
 
 def verdicts(rows, rules=lf.Rules()):
     """(doc, source, text) -> statistics, base_failed, removed line numbers, kept."""
-    holding, texts = defaultdict(set), defaultdict(set)
-    for _, text, source in rows:
-        texts[source].add(text or "")
+    holding, documents = defaultdict(set), defaultdict(set)
+    for n, (_, text, source) in enumerate(rows):
+        document = (text or "") if rules.count_texts else n
+        documents[source].add(document)
         for line in (text or "").split("\n"):
             if normal(line):
-                holding[(source, normal(line))].add(text or "")
+                holding[(source, normal(line))].add(document)
     found = []
     for doc, text, source in rows:
         s = statistics(text)
         failed = s[0] < rules.min_words or 100 * s[4] > rules.max_repeated_percent * s[0]
-        limit = max(rules.min_documents, rules.max_share * len(texts[source]))
+        limit = max(rules.min_documents, rules.max_share * len(documents[source]))
         gone = [
             (n, len(WORD.findall(x)))
             for n, x in enumerate((text or "").lower().split("\n"))
@@ -57,7 +58,7 @@ def judged(spark, frame, rules=lf.Rules()):
     )
 
 
-@pytest.mark.parametrize("rules", [lf.Rules(), lf.Rules(min_documents=1, max_share=0.02)])
+@pytest.mark.parametrize("rules", [lf.Rules(), lf.Rules(min_documents=1, max_share=0.02), lf.Rules(min_documents=1, max_share=0.02, count_texts=True)])
 @pytest.mark.parametrize("odd", [True, False])
 def test_verdicts(spark, tmp_path, odd, rules):
     folder = cases.SF
@@ -84,6 +85,19 @@ def test_frequent_lines_go_and_depleted_documents_are_rejected(spark):
     assert text == found[5]["text"].split("\n", 1)[1]
 
 
+def test_copies_are_documents_unless_texts_are_counted(spark):
+    page = "\n".join(" ".join(f"c{n}x{k}" for k in range(9)) for n in range(3))
+    rows = [(n, page, "h") for n in range(40)]
+    rows += [(100 + n, " ".join(f"o{n}x{k}" for k in range(30)), "h") for n in range(60)]
+    frame = spark.createDataFrame([(*r, "k", 5) for r in rows], "doc_id long, text string, source string, kept string, n_words int")
+    for count_texts in (False, True):
+        rules = lf.Rules(count_texts=count_texts)
+        assert judged(spark, frame, rules) == verdicts(rows, rules)
+        found = lf.judge(frame, Scratch(spark), keep=frame.columns, rules=rules, into="verdict").collect()
+        assert {r["doc_id"] for r in found if not r["verdict"]["kept"]} == (set() if count_texts else set(range(40)))
+        assert {(r["kept"], r["n_words"]) for r in found} == {("k", 5)}
+
+
 def test_the_query(spark, tmp_path):
     rows = cases.run(spark, "op9_line_frequency_rules", cases.SF)
     assert len(rows) == 200 and sum(r["kept"] for r in rows) > 140

@@ -57,3 +57,67 @@ def test_odd_texts(spark, tmp_path):
     assert len(found) == len(given) and all(0 <= r["score"] <= 1 for r in found)
     assert all(len(quality.document_statistics(t)) == len(quality.FEATURES) for t in cases.ODD_TEXTS)
     assert len({r["score"] for r in found if r["doc_id"] in (0, 1)}) == 1
+
+
+def plain_tree(rows, binned, cuts, gradient, curvature, depth, settings):
+    """One tree, split by split: (feature, limit, left, right) or a value."""
+    s = settings.smoothing
+    g, h = gradient[rows].sum(), curvature[rows].sum()
+    best = (1e-9, None)
+    for f in range(binned.shape[1]) if depth < settings.depth else ():
+        for b in range(len(cuts[f])):
+            left = rows[binned[rows, f] <= b]
+            lg, lh = gradient[left].sum(), curvature[left].sum()
+            if lh < settings.least_rows or h - lh < settings.least_rows:
+                continue
+            gain = lg**2 / (lh + s) + (g - lg) ** 2 / (h - lh + s) - g**2 / (h + s)
+            if gain > best[0] + 1e-9:
+                best = (gain, (f, b))
+    if best[1] is None:
+        return settings.rate * g / (h + s)
+    f, b = best[1]
+    sides = [rows[binned[rows, f] <= b], rows[binned[rows, f] > b]]
+    return (f, b, *[plain_tree(side, binned, cuts, gradient, curvature, depth + 1, settings) for side in sides])
+
+
+def plain_value(tree, row):
+    while isinstance(tree, tuple):
+        tree = tree[2 + (row[tree[0]] > tree[1])]
+    return tree
+
+
+def test_trees_against_splitting_one_by_one():
+    draw = np.random.default_rng(4)
+    features = draw.normal(size=(400, 4)).round(1)
+    labels = ((features[:, 1] > 0.2) ^ (features[:, 2] > 0)).astype(float)
+    labels[draw.random(400) < 0.1] = 1
+    settings = quality.Settings(trees=4, depth=2)
+    trees = quality.fit(features, labels, settings)
+    bins = np.linspace(0, 1, quality.BINS + 1)[1:-1]
+    cuts = [np.unique(np.quantile(features[:, f], bins)) for f in range(4)]
+    binned = np.stack([np.searchsorted(c, features[:, f]) for f, c in enumerate(cuts)], axis=1)
+    positive = (labels.sum() + 1) / (len(labels) + 2)
+    raw = np.full(400, np.log(positive / (1 - positive)))
+    for _ in range(settings.trees):
+        p = 1 / (1 + np.exp(-raw))
+        tree = plain_tree(np.arange(400), binned, cuts, labels - p, p * (1 - p), 0, settings)
+        raw += [plain_value(tree, row) for row in binned]
+    assert np.allclose(trees.score(features), 1 / (1 + np.exp(-raw)))
+
+
+def test_a_text_that_repeats_is_a_part_of_the_sample(spark, monkeypatch):
+    monkeypatch.setattr(quality, "TRAINING_ROWS", 200)
+    seen = []
+    monkeypatch.setattr(quality, "fit", lambda features, labels, settings: seen.append((len(labels), labels.mean())))
+    same = spark.range(4000).selectExpr("id AS doc_id", "if(id % 2 = 0, 'the one text', concat('text ', id)) AS text", "int(id % 2) AS quality")
+    quality.learn(same)
+    assert 120 < seen[0][0] < 300 and 0.35 < seen[0][1] < 0.65
+    # rows that no column tells apart
+    quality.learn(same.selectExpr("'the one text' AS text", "1 AS quality"))
+    assert seen[1][0] <= 400
+
+
+def test_an_empty_table(spark, tmp_path):
+    cases.documents(spark, tmp_path, rows=[])
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    assert cases.run(spark, "op6_boosted_quality", tmp_path) == []
