@@ -2,12 +2,13 @@
 
 Vectors of a label are dealt over shards, and every shard is indexed by a graph
 of its own. Every vector is searched in every shard of its label. Beams widen
-until a sample of the queries finds all that comparing with the whole shard
-finds; what is found is verified by the cosine in double precision. Links are
+until queries that are known to have near neighbours find what comparing with
+the whole shard finds; what is found is verified by the cosine in double precision. Links are
 reduced to a spanning forest where they are found, and forests are united.
 """
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -21,6 +22,8 @@ from fairweather.session import Scratch
 SHARD, QUERIES = 8192, 65_536
 # Neighbours kept per node, beam while building, first beam of a search, queries audited.
 DEGREE, BUILD_BEAM, BEAM, AUDITED = 12, 32, 24, 64
+# Share of the audited links that beams have to find.
+RECALL = 0.99
 # Single precision may be off by so much; what lies closer is verified in double.
 SLACK = 1e-5
 
@@ -189,21 +192,62 @@ def unit(vectors: np.ndarray) -> np.ndarray:
     return vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
 
 
-def links_to_shard(index: np.ndarray, queries: np.ndarray, threshold: float) -> Iterator[tuple[int, np.ndarray]]:
-    """``(query, linked rows of index)`` for every query, of vectors in double precision."""
+@dataclass
+class Audit:
+    """What comparing some queries with a whole shard showed: true links, and those the beams found."""
+
+    true: int = 0
+    found: int = 0
+    width: int = BEAM
+
+    @property
+    def recall(self) -> float:
+        return self.found / self.true if self.true else 1.0
+
+
+def probes(index: np.ndarray, queries: np.ndarray, graph: Graph, threshold: float) -> np.ndarray:
+    """Queries that have links to find: an audit of queries without any would show nothing.
+
+    Half are vectors of the index, turned so that their own cosine is between the
+    threshold and one; half are those of some queries that a first search found
+    the nearest neighbours for.
+    """
+    draw = np.random.default_rng(len(queries))
+    chosen = index[draw.integers(0, len(index), AUDITED // 2)]
+    noise = draw.normal(size=chosen.shape)
+    noise -= np.einsum("nd,nd->n", noise, chosen)[:, None] * chosen
+    lengths = np.linalg.norm(noise, axis=1, keepdims=True)
+    cosine = draw.uniform(min(1.0, threshold + 0.001), 1.0, (len(chosen), 1))
+    turned = cosine * chosen + np.sqrt(1 - cosine**2) * noise / np.where(lengths > 0, lengths, 1)
+    some = queries[draw.permutation(len(queries))[: 8 * AUDITED]]
+    _, sims = graph.search(some.astype(np.float32), BEAM)
+    nearest = some[np.argsort(-sims[:, 0], kind="stable")[: AUDITED // 2]]
+    return unit(np.concatenate([turned, nearest]))
+
+
+def links_to_shard(
+    index: np.ndarray, queries: np.ndarray, threshold: float, audit: Audit | None = None
+) -> Iterator[tuple[int, np.ndarray]]:
+    """``(query, linked rows of index)`` for every query, of vectors in double precision.
+
+    The beams widen until the links of the probes are found, ``RECALL`` of them at
+    least. ``audit`` takes up what was measured.
+    """
+    audit = audit if audit is not None else Audit()
     index, queries = unit(index), unit(queries)
     graph, single = Graph(index), queries.astype(np.float32)
-    audited = np.random.default_rng(len(queries)).permutation(len(queries))[:AUDITED]
-    true = single[audited] @ graph.vectors.T >= threshold
-    width = BEAM
-    while width < len(index):
-        found = graph.within(single[audited], threshold - SLACK, width)
-        if all(np.isin(np.flatnonzero(t), f).all() for t, f in zip(true, found, strict=True)):
+    audited = probes(index, queries, graph, threshold).astype(np.float32)
+    true = audited @ graph.vectors.T >= threshold
+    audit.true, audit.width = int(true.sum()), BEAM
+    while True:
+        found = graph.within(audited, threshold - SLACK, audit.width)
+        audit.found = sum(int(t[f].sum()) for t, f in zip(true, found, strict=True))
+        if audit.recall >= RECALL or audit.width >= len(index):
             break
-        width *= 2
+        audit.width *= 2
     for start in range(0, len(queries), 512):
         part = slice(start, start + 512)
-        for k, near in enumerate(graph.within(single[part], threshold - SLACK, width)):
+        for k, near in enumerate(graph.within(single[part], threshold - SLACK, audit.width)):
             yield start + k, near[index[near] @ queries[start + k] >= threshold]
 
 
@@ -241,13 +285,15 @@ def near_duplicates(
     vector: str = "embedding",
     label: str = "label",
 ) -> DataFrame:
-    """``(key, n_links, component_id, kept)`` for every vector.
+    """``(key, n_links, component_id, kept, audit_recall)`` for every vector.
 
     Vectors link within a label, at a cosine of ``threshold`` or more. A null
     label or vector, a zero vector, and one with null or non-finite components
     links with nothing; neither do vectors of different lengths. Copies are
     searched once and counted each. The component is the least key reachable by
-    links; ``kept`` tells whether it is the row's own key.
+    links; ``kept`` tells whether it is the row's own key. ``audit_recall`` is the
+    share of the links of audited queries, over all shards of the label, that the
+    search found; null for a label without vectors that can link.
     """
     rows = scratch.materialize(_read(embeddings, key, vector, label), "vectors")
     size = F.octet_length("raw").alias("size")
@@ -280,6 +326,7 @@ def near_duplicates(
         mine, theirs = np.flatnonzero(in_index), np.flatnonzero(~in_index)
         one, other, counts = [], [], []
         root: dict[int, int] = {}
+        audit = Audit()
 
         def find(n: int) -> int:
             while root.get(n, n) != n:
@@ -287,7 +334,7 @@ def near_duplicates(
             return n
 
         if len(mine) and len(theirs):
-            for k, near in links_to_shard(vectors[mine], vectors[theirs], threshold):
+            for k, near in links_to_shard(vectors[mine], vectors[theirs], threshold, audit):
                 node, linked = int(nodes[theirs[k]]), mine[near]
                 linked = linked[nodes[linked] != node]
                 if not len(linked):
@@ -302,11 +349,21 @@ def near_duplicates(
                         one.append(node)
                         other.append(found)
                         counts.append(0)
-        return pa.table({"a": pa.array(one, pa.int64()), "b": pa.array(other, pa.int64()), "links": pa.array(counts, pa.int64())})
+        # the audit in a row of its own
+        links = {"a": [*one, None], "b": [*other, None], "links": [*counts, None]}
+        nothing = [None] * len(one)
+        links |= {"audited": [*nothing, audit.true], "recalled": [*nothing, audit.found]}
+        columns = {name: pa.array(values, pa.int64()) for name, values in links.items()}
+        label = group.column("label")[0].as_py()
+        return pa.table({"label": pa.array([label] * (len(one) + 1), group.schema.field("label").type), **columns})
 
     together = indexed.unionByName(asked).groupBy("label", "size", "shard", "block")
-    found = scratch.materialize(together.applyInArrow(search, "a bigint, b bigint, links bigint"), "found-links")
-    n_links = found.where("b IS NULL").groupBy("a").agg(F.sum("links").alias("links")).withColumnRenamed("a", "node")
+    label_kind = rows.schema["label"].dataType.simpleString()
+    schema = f"label {label_kind}, a bigint, b bigint, links bigint, audited bigint, recalled bigint"
+    found = scratch.materialize(together.applyInArrow(search, schema), "found-links")
+    audits = found.groupBy("label").agg(F.sum("audited").alias("audited"), F.sum("recalled").alias("recalled"))
+    recall = audits.select("label", F.when(F.col("audited") > 0, F.col("recalled") / F.col("audited")).alias("audit_recall"))
+    n_links = found.where("a IS NOT NULL AND b IS NULL").groupBy("a").agg(F.sum("links").alias("links")).withColumnRenamed("a", "node")
     groups = connected_components(found.where("b IS NOT NULL").select("a", "b"), scratch)
     grouped = distinct.select("label", "size", "digest", "node", "copies", "vec").join(groups, "node", "left")
     grouped = scratch.materialize(grouped.withColumn("component", F.coalesce("component", "node")), "grouped-vectors")
@@ -317,9 +374,10 @@ def near_duplicates(
         .select("label", "digest", "least", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"))
     )
     component = F.coalesce("least", "vec")
-    return rows.join(answers, ["label", "digest"], "left").select(
+    return rows.join(answers, ["label", "digest"], "left").join(recall, "label", "left").select(
         F.col("vec").alias(key),
         F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links"),
         component.alias("component_id"),
         F.col("vec").eqNullSafe(component).alias("kept"),
+        "audit_recall",
     )
