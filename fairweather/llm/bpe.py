@@ -11,18 +11,21 @@ encoded and decoded once.
 
 import base64
 import hashlib
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from fairweather.llm.tokens import CACHED_CHARS, CACHED_CHUNKS, segments, slices, split_column
+from fairweather.llm.tokens import CACHED_CHARS, segments, slices, split_column
 
 # Text that is cut and looked up together.
 SLICE_BYTES = 8 << 20
 # Words of more bytes contract many pairs in a step.
 LONG_WORD = 48
+# Words whose ids a task remembers.
+KNOWN_WORDS = 600_000
 # Rows (a token of a word, or of a document) in one query.
 QUERY_ROWS = 2_000_000
 QUERY_MEMORY = "256MB"
@@ -169,79 +172,83 @@ class RecursiveBpe:
         self._table("merges", **{name: tables[name] for name in ("pair", "merged", "size")})
         pieces = ["".join(chr(b + _BYTE_SHIFT) for b in token) for token in ranks]
         self._table("vocabulary", token=np.fromiter(ranks.values(), np.int32), piece=pieces)
-        self.known: dict[str, bytes] = {}
-        self.known_chunks: dict[str, tuple[bytes, bytes]] = {}
+        self.known: dict[str, tuple[bytes, bytes]] = {}
 
     def _table(self, table: str, **columns) -> None:
         self.db.register("given", pa.table(columns))
         self.db.execute(f"CREATE OR REPLACE TABLE {table} AS SELECT * FROM given")
         self.db.unregister("given")
 
-    def _contract(self, query: str, raws: list[np.ndarray]) -> list[bytes]:
-        """Ids of words given as bytes, little-endian."""
-        word = np.repeat(np.arange(len(raws)), [len(r) for r in raws])
-        raw = np.concatenate(raws)
-        start = pa.table({"word": word, "pos": np.arange(len(raw)) + word, "token": self.single[raw]})
-        self.db.register("start", start)
-        done = self.db.sql(query).fetchnumpy()
-        self.db.unregister("start")
-        tokens = done["token"].astype("<u4").tobytes()
-        cuts = (4 * np.searchsorted(done["word"], np.arange(len(raws) + 1))).tolist()
-        return [tokens[a:b] for a, b in zip(cuts, cuts[1:], strict=False)]
+    def _contract(self, query: str, raw: np.ndarray, lengths: np.ndarray) -> list[bytes]:
+        """Ids of words given as bytes one after the other, little-endian."""
+        found: list[bytes] = []
+        ends = np.concatenate([[0], np.cumsum(lengths)])
+        start = 0
+        while start < len(lengths):
+            # at least one word, and as many as fit a query
+            stop = max(start + 1, int(np.searchsorted(ends, ends[start] + QUERY_ROWS // 4, "right")) - 1)
+            word = np.repeat(np.arange(stop - start), lengths[start:stop])
+            part = raw[ends[start] : ends[stop]]
+            given = pa.table({"word": word, "pos": np.arange(len(part)) + word, "token": self.single[part]})
+            self.db.register("start", given)
+            done = self.db.sql(query).fetchnumpy()
+            self.db.unregister("start")
+            tokens = done["token"].astype("<u4").tobytes()
+            cuts = (4 * np.searchsorted(done["word"], np.arange(stop - start + 1))).tolist()
+            found += [tokens[a:b] for a, b in zip(cuts, cuts[1:], strict=False)]
+            start = stop
+        return found
+
+    def _long_word(self, word: bytes) -> bytes:
+        """Ids of a word that is cut where no token can cross."""
+        raw = np.frombuffer(word, np.uint8)
+        cuts = np.flatnonzero(~self.together[raw[:-1], raw[1:]]) + 1
+        lengths = np.diff(np.concatenate([[0], cuts, [len(raw)]]))
+        is_long = lengths > LONG_WORD
+        of_byte = np.repeat(is_long, lengths)
+        answers = {
+            kind: iter(self._contract(query, raw[of_byte == kind], lengths[is_long == kind]))
+            for kind, query in ((False, _CONTRACT), (True, _CONTRACT_LONG))
+        }
+        return b"".join([next(answers[kind]) for kind in is_long.tolist()])
 
     def words(self, words: list[bytes]) -> list[bytes]:
         """Ids of words, little-endian. A word that is a token itself is that token."""
-        found = [[np.uint32(self.ranks[w]).tobytes()] if w in self.ranks else [] for w in words]
-        # words cut where no token can cross, in short and long parts
-        parts: dict[str, list[np.ndarray]] = {_CONTRACT: [], _CONTRACT_LONG: []}
-        places: list[tuple[int, str, int]] = []
+        found: list[bytes] = [np.uint32(self.ranks[w]).tobytes() if w in self.ranks else b"" for w in words]
+        short = [n for n, w in enumerate(words) if not found[n] and 0 < len(w) <= LONG_WORD]
+        raw = np.frombuffer(b"".join([words[n] for n in short]), np.uint8)
+        lengths = np.array([len(words[n]) for n in short], np.int64)
+        for n, ids in zip(short, self._contract(_CONTRACT, raw, lengths), strict=True):
+            found[n] = ids
         for n, w in enumerate(words):
-            if w and not found[n]:
-                raw = np.frombuffer(w, np.uint8)
-                cuts = np.flatnonzero(~self.together[raw[:-1], raw[1:]]) + 1 if len(raw) > LONG_WORD else []
-                for part in np.split(raw, cuts) if len(cuts) else [raw]:
-                    query = _CONTRACT_LONG if len(part) > LONG_WORD else _CONTRACT
-                    places.append((n, query, len(parts[query])))
-                    parts[query].append(part)
-        answers: dict[str, list[bytes]] = {query: [] for query in parts}
-        for query, raws in parts.items():
-            ends = np.cumsum([len(r) for r in raws])
-            start = 0
-            while start < len(raws):
-                # at least one word, and as many as fit a query
-                taken = ends[start - 1] if start else 0
-                stop = max(start + 1, int(np.searchsorted(ends, taken + QUERY_ROWS // 4)))
-                answers[query] += self._contract(query, raws[start:stop])
-                start = stop
-        for n, query, at in places:
-            found[n].append(answers[query][at])
-        return [b"".join(f) for f in found]
-
-    def encode_chunks(self, chunks: list[str]) -> list[bytes]:
-        """Ids of texts, every match of the pattern by itself."""
-        cut = [self.cut(c) for c in chunks]
-        new = list(dict.fromkeys(m for matches in cut for m in matches if m not in self.known))
-        if len(self.known) + len(new) > CACHED_CHUNKS:
-            self.known.clear()
-            new = list(dict.fromkeys(m for matches in cut for m in matches))
-        self.known.update(zip(new, self.words([m.encode("utf-8", "surrogatepass") for m in new]), strict=True))
-        found = [b"".join([self.known[m] for m in matches]) for matches in cut]
-        for match in [m for m in new if len(m) > CACHED_CHARS]:
-            del self.known[match]
+            if not found[n] and len(w) > LONG_WORD:
+                found[n] = self._long_word(w)
         return found
 
-    def chunks(self, chunks: list[str]) -> list[tuple[bytes, bytes]]:
-        """Ids of distinct chunks, and the bytes that decoding these ids gives."""
-        new = [c for c in chunks if c not in self.known_chunks]
-        if len(self.known_chunks) + len(new) > CACHED_CHUNKS:
-            self.known_chunks.clear()
-            new = chunks
-        ids = self.encode_chunks(new)
-        self.known_chunks.update(zip(new, zip(ids, self.decode(ids), strict=True), strict=True))
-        found = [self.known_chunks[c] for c in chunks]
-        for chunk in [c for c in new if len(c) > CACHED_CHARS]:
-            del self.known_chunks[chunk]
-        return found
+    def chunks(self, chunks: list[str]) -> tuple[list[bytes], list[bytes]]:
+        """Ids of distinct chunks, every match of the pattern by itself, and the bytes they decode to."""
+        cut = list(map(self.cut, chunks))
+        matches = dict.fromkeys(itertools.chain.from_iterable(cut))
+        new = [m for m in matches if m not in self.known]
+        if len(self.known) + len(new) > KNOWN_WORDS:
+            self.known.clear()
+            new = list(matches)
+        ids = self.words([m.encode("utf-8", "surrogatepass") for m in new])
+        self.known.update(zip(new, zip(ids, self.decode(ids), strict=True), strict=True))
+        known = self.known
+
+        def joined(parts: list[str]) -> tuple[bytes, bytes]:
+            if len(parts) == 1:
+                return known[parts[0]]
+            if len(parts) == 2:  # a word and a mark: most of the others
+                (a, b), (c, d) = known[parts[0]], known[parts[1]]
+                return a + c, b + d
+            return b"".join([known[p][0] for p in parts]), b"".join([known[p][1] for p in parts])
+
+        found = list(map(joined, cut))
+        for match in [m for m in new if len(m) > CACHED_CHARS]:
+            del known[match]
+        return [f[0] for f in found], [f[1] for f in found]
 
     def texts(self, texts: pa.Array) -> Iterator[tuple[bytes, bytes]]:
         """Ids of texts, and their bytes as decoded from the ids."""
@@ -255,7 +262,7 @@ class RecursiveBpe:
 
     def _slice(self, texts: pa.Array) -> Iterator[tuple[bytes, bytes]]:
         distinct, at, bounds = split_column(texts)
-        ids, decoded = zip(*self.chunks(distinct), strict=True)
+        ids, decoded = self.chunks(distinct)
         cuts = bounds.tolist()
         for a, b in zip(cuts, cuts[1:], strict=False):
             own = at[a:b].tolist()
@@ -283,9 +290,9 @@ class RecursiveBpe:
             )
             found = dict(self.db.execute(_DECODE).fetchall())
             self.db.unregister("tokens")
-            text = "".join([found.get(n, "") for n in range(len(part))]).encode("utf-16-le")
-            raw = (np.frombuffer(text, "<u2") - _BYTE_SHIFT).astype(np.uint8).tobytes()
-            ends = np.cumsum([len(found.get(n, "")) for n in range(len(part))]).tolist()
+            texts = [found.get(n, "") for n in range(len(part))]
+            raw = (np.frombuffer("".join(texts).encode("utf-16-le"), "<u2") - _BYTE_SHIFT).astype(np.uint8).tobytes()
+            ends = list(itertools.accumulate(map(len, texts)))
             for a, b in zip([0, *ends], ends, strict=False):
                 yield raw[a:b]
             start = stop
