@@ -290,6 +290,38 @@ def test_the_strict_check_adds_no_job(spark, tables):
     assert counts[0] == counts[1] > 0
 
 
+def test_strict_mode_is_one_job(spark):
+    geocoded = spark.createDataFrame([(f"k{n}", 1.0 if n % 2 else None) for n in range(50)], "full_address string, latitude double")
+    for frame, fails in ((geocoded, True), (geocoded.where("latitude = 1.0"), False), (geocoded.limit(0), True)):
+        # one partition less to plan: the shuffle of the aggregate is not a job of its own
+        with Jobs(spark) as jobs:
+            try:
+                geo.require_complete_geocoding(frame)
+                failed = False
+            except geo.IncompleteGeocoding:
+                failed = True
+        completeness = frame.transform(geo.geocode_completeness)
+        with Jobs(spark) as counted:
+            completeness.collect()
+        assert failed == fails and jobs.count <= counted.count
+
+
+def test_fetched_weather_is_read_once(spark, tables, tmp_path):
+    *_, weather = tables
+    path = str(tmp_path / "weather")
+    weather.write.parquet(path)
+    landed = spark.read.schema(weather.schema).parquet(path)
+    station_days = spark.createDataFrame([("031", dt.date(2024, 6, 1))], "station_id string, day date")
+    scratch = Scratch(spark)
+    with Jobs(spark) as jobs:
+        found = plans.station_day_weather(landed, station_days, scratch=scratch)
+    assert found.columns == ["poste", "jour", "rr"] and found.count() == 2
+    # the write alone: what it wrote is not read to learn which columns are empty
+    with Jobs(spark) as write:
+        Scratch(spark).materialize(landed.join(station_days.selectExpr("station_id AS poste"), "poste"), "same")
+    assert len(scratch.paths) == 1 and jobs.count <= write.count + 1
+
+
 def test_intermediate_tables_can_be_removed(spark, tables, tmp_path):
     scratch = Scratch(spark)
     df = plans.enrich_events_with_weather(*tables, as_of=AS_OF, columns=["id"], strict=False, scratch=scratch)
