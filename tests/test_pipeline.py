@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from fairweather import build_session, enrich_files, plans
 from fairweather.operators import filters as flt
 from fairweather.operators import geocoding as geo
+from fairweather.operators.weather import drop_null_columns
+from fairweather.plans import enrichment
 from fairweather.plans.enrichment import covered_days
 from fairweather.session import Scratch
 
@@ -277,17 +279,21 @@ class Jobs:
 
     def __exit__(self, *_):
         self.spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        # jobs are counted as the listeners hear of them
+        self.spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
         self.count = len(self.spark.sparkContext.statusTracker().getJobIdsForGroup(self.group))
 
 
-def test_the_strict_check_adds_no_job(spark, tables):
+def test_the_strict_check_adds_no_job(spark, tables, monkeypatch):
     declarations, *rest = tables
-    known, counts = declarations.where("id <> 8"), []
-    for strict in (False, True):
-        with Jobs(spark) as jobs:
-            plans.enrich_events_with_weather(known, *rest, as_of=AS_OF, columns=["id"], strict=strict)
-        counts.append(jobs.count)
-    assert counts[0] == counts[1] > 0
+    asked = []
+    monkeypatch.setattr(enrichment, "require_complete_geocoding", lambda frame: asked.append(frame.count()))
+    known = declarations.where("id <> 8")
+    plans.enrich_events_with_weather(known, *rest, as_of=AS_OF, columns=["id"])
+    assert not asked  # the write of the groups has told
+    plans.enrich_events_with_weather(declarations, *rest, as_of=AS_OF, columns=["id"])
+    plans.enrich_events_with_weather(declarations.where("false"), *rest, as_of=AS_OF, columns=["id"])
+    assert asked == [3, 0]
 
 
 def test_strict_mode_is_one_job(spark):
@@ -306,20 +312,20 @@ def test_strict_mode_is_one_job(spark):
         assert failed == fails and jobs.count <= counted.count
 
 
-def test_fetched_weather_is_read_once(spark, tables, tmp_path):
+def test_fetched_weather_is_not_read_to_learn_its_empty_columns(spark, tables, monkeypatch):
     *_, weather = tables
-    path = str(tmp_path / "weather")
-    weather.write.parquet(path)
-    landed = spark.read.schema(weather.schema).parquet(path)
-    station_days = spark.createDataFrame([("031", dt.date(2024, 6, 1))], "station_id string, day date")
+    station_days = spark.createDataFrame([("031", dt.date(2024, 6, 1)), ("031", dt.date(2024, 6, 1))], "station_id string, day date")
+    told = []
+
+    def drop(df, counts=None):
+        told.append(counts)
+        return drop_null_columns(df, counts)
+
+    monkeypatch.setattr(enrichment, "drop_null_columns", drop)
     scratch = Scratch(spark)
-    with Jobs(spark) as jobs:
-        found = plans.station_day_weather(landed, station_days, scratch=scratch)
-    assert found.columns == ["poste", "jour", "rr"] and found.count() == 2
-    # the write alone: what it wrote is not read to learn which columns are empty
-    with Jobs(spark) as write:
-        Scratch(spark).materialize(landed.join(station_days.selectExpr("station_id AS poste"), "poste"), "same")
-    assert len(scratch.paths) == 1 and jobs.count <= write.count + 1
+    found = plans.station_day_weather(weather, station_days, scratch=scratch)
+    assert found.columns == ["poste", "jour", "rr"] and found.count() == 2 and len(scratch.paths) == 1
+    assert list(told[0].values()) == [2, 2, 2, 0]
 
 
 def test_intermediate_tables_can_be_removed(spark, tables, tmp_path):
