@@ -34,8 +34,9 @@ LEADER_ROUNDS = 3
 # Shingles of more sets than this come last, the most frequent of them first to be
 # noted: the table travels with the tasks and is at most 16 MB.
 FREQUENT, FREQUENT_SHINGLES = 4, 1 << 21
-# Sets that share a leader are dealt over so many tasks; entries per block of a list.
-SALTS, BLOCK = 256, 64
+# Sets that share a leader are dealt over so many tasks, and those that share a hash in
+# search of one; entries per block of a list.
+SALTS, MEET_SALTS, BLOCK = 256, 32, 64
 # Bytes of a set's signature; bits of the table of shingles that sets share; shingles a
 # task counts at a time.
 SIGNATURE, FILTER_BITS, _COUNTED = 12, 1 << 27, 4_000_000
@@ -239,18 +240,23 @@ def _with_leaders(sets: DataFrame, texts: DataFrame, threshold: Threshold, scrat
             free = sets.join(members, "sig", "left_anti").join(leading, "sig", "left").withColumn(
                 "leads", F.coalesce("leads", F.lit(False))
             )
-        free = scratch.materialize(free.withColumn("meet", F.col("least")[turn]), "free-sets")
-        heads = (
-            free.groupBy("meet")
-            .agg(
-                F.min(F.struct((~F.col("leads")).alias("idle"), "rare", "sig", "n", "least")).alias("head"),
-                F.count(F.lit(1)).alias("sets"),
-            )
+        salt = F.pmod(F.xxhash64("sig"), F.lit(MEET_SALTS)).cast("int")
+        free = free.withColumns({"meet": F.col("least")[turn], "salt": salt})
+        free = scratch.materialize(free, "free-sets")
+        # a hash that very many sets share: its sets are dealt over salts, and so is their head
+        by_salt = free.groupBy("meet", "salt").agg(
+            F.min(F.struct((~F.col("leads")).alias("idle"), "rare", "sig", "n", "least")).alias("head"),
+            F.count(F.lit(1)).alias("sets"),
+        )
+        by_meet = (
+            by_salt.groupBy("meet")
+            .agg(F.min("head").alias("head"), F.sum("sets").alias("sets"), F.collect_list("salt").alias("salts"))
             .where("sets > 1")
         )
+        heads = by_meet.select("meet", "head", F.explode("salts").alias("salt"))
         equal = F.size(F.filter(F.sequence(F.lit(0), F.lit(LEADER_ROUNDS - 1)), lambda k: F.col("least")[k] == F.col("head.least")[k]))
         most = F.least("n", "head.n")
-        pairs = free.join(heads, "meet").where(
+        pairs = free.join(heads, ["meet", "salt"]).where(
             ~F.col("leads")
             & (F.col("sig") != F.col("head.sig"))
             & (equal > 1)
