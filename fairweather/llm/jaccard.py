@@ -566,9 +566,11 @@ def _leader_links(
     columns = ["a", "b", "set_a", "set_b", "m_a", "m_b"]
     # without a common rare shingle, the frequent ones have to do
     frequent_ones = F.least(F.col("m_a") - F.col("r_a"), F.col("m_b") - F.col("r_b"))
+    # and so many of them as a link needs: sets with fewer meet nothing here
+    frequent_enough = led.where(100 * (F.col("n") - F.col("rare")) >= threshold.percent * F.col("n"))
     of_members = (
-        open_pairs.join(sets_of(led, "a"), "a")
-        .join(sets_of(led, "b"), "b")
+        open_pairs.join(sets_of(frequent_enough, "a"), "a")
+        .join(sets_of(frequent_enough, "b"), "b")
         .where(still_open & threshold.reachable(frequent_ones, F.col("m_a"), F.col("m_b")))
         .select(*columns)
     )
