@@ -40,8 +40,9 @@ SALTS, MEET_SALTS, BLOCK = 256, 32, 64
 # Bytes of a set's signature; bits of the table of shingles that sets share; shingles a
 # task counts at a time.
 SIGNATURE, FILTER_BITS, _COUNTED = 12, 1 << 27, 4_000_000
-# Lists up to this length are handled together.
-_SHORT = 16
+# Lists up to this length are handled together; longer ones than this are cut in chunks,
+# whose pairs are compared in tasks of their own.
+_SHORT, LONG_LIST = 16, 8192
 
 
 @dataclass(frozen=True)
@@ -291,8 +292,8 @@ def _unpacked(batch: pa.RecordBatch, shingles: Shingles) -> Iterator[np.ndarray]
         yield shingles(unpack(packed).decode("utf-8", "surrogatepass"))
 
 
-def _frequent(texts: DataFrame, threshold: Threshold) -> np.ndarray:
-    """Shingles of many sets, sorted.
+def _frequent(texts: DataFrame, threshold: Threshold) -> tuple[np.ndarray, np.ndarray]:
+    """Shingles of many sets, sorted, and how many sets each was seen in.
 
     Every task counts over all shingles of its sets and reports what it saw more than once.
     """
@@ -317,7 +318,8 @@ def _frequent(texts: DataFrame, threshold: Threshold) -> np.ndarray:
         F.sum("sets").alias("sets")
     )
     often = sums.where(F.col("sets") > FREQUENT).orderBy(F.desc("sets"), "shingle").limit(FREQUENT_SHINGLES)
-    return np.sort(often.select("shingle").toPandas()["shingle"].to_numpy(np.int64))
+    found = often.toPandas().sort_values("shingle")
+    return found["shingle"].to_numpy(np.int64), found["sets"].to_numpy(np.int64)
 
 
 def _often(own: np.ndarray, frequent: np.ndarray) -> np.ndarray:
@@ -385,11 +387,15 @@ def _may_be_shared(tokens: np.ndarray, table: np.ndarray) -> np.ndarray:
     return (table[bucket, place // 8] >> (place % 8).astype(np.uint8)) & 1 == 1
 
 
-def _listed(led: DataFrame, frequent: np.ndarray, shared: np.ndarray, threshold: Threshold) -> DataFrame:
-    """Index entries ``(shingle, leader, low, high, rest)``, those of a leader's sets in one.
+def _listed(
+    led: DataFrame, frequent: np.ndarray, chunks: np.ndarray, shared: np.ndarray, threshold: Threshold
+) -> DataFrame:
+    """Index entries ``(shingle, one, two, leader, chunk, low, high, rest)``, those of a leader's sets in one.
 
     ``low`` and ``high`` bound the sizes of the sets, ``rest`` the shingles that
-    follow in the order. Shingles of one set alone are left out.
+    follow in the order. Shingles of one set alone are left out. ``chunks`` tells
+    in how many chunks the list of a frequent shingle is cut, by leader; an entry
+    stands in every pair of chunks ``(one, two)`` that its own is in.
     """
 
     def enter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -412,18 +418,30 @@ def _listed(led: DataFrame, frequent: np.ndarray, shared: np.ndarray, threshold:
             order = np.lexsort((owner, tokens))
             tokens, owner, sizes, rests = tokens[order], owner[order], sizes[order], rests[order]
             new = np.flatnonzero(np.concatenate([[True], (tokens[1:] != tokens[:-1]) | (owner[1:] != owner[:-1])]))
+            low, high = np.minimum.reduceat(sizes, new), np.maximum.reduceat(sizes, new)
+            tokens, owner, rests = tokens[new], owner[new], np.maximum.reduceat(rests, new)
+            copies = np.ones(len(tokens), np.int64)
+            if len(long):
+                place = np.minimum(np.searchsorted(long, tokens), len(long) - 1)
+                copies = np.where(long[place] == tokens, cut[place], 1)
+            # the chunk of a leader is that of its signature
+            numbers = np.array([int.from_bytes(d[:4], "little") for d in leaders.dictionary.to_pylist()], np.int64)
+            chunk = numbers[owner] % copies
+            row = np.repeat(np.arange(len(tokens)), copies)
+            other = np.arange(len(row)) - np.repeat(np.cumsum(copies) - copies, copies)
+            ints = [np.minimum(chunk[row], other), np.maximum(chunk[row], other), chunk[row], low[row], high[row], rests[row]]
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(tokens[new]),
-                    leaders.dictionary.take(pa.array(owner[new])),
-                    pa.array(np.minimum.reduceat(sizes, new), pa.int32()),
-                    pa.array(np.maximum.reduceat(sizes, new), pa.int32()),
-                    pa.array(np.maximum.reduceat(rests, new), pa.int32()),
+                    pa.array(tokens[row]),
+                    leaders.dictionary.take(pa.array(owner[row])),
+                    *[pa.array(values, pa.int32()) for values in ints],
                 ],
-                ["shingle", "leader", "low", "high", "rest"],
+                ["shingle", "leader", "one", "two", "chunk", "low", "high", "rest"],
             )
 
-    return led.select("leader", "packed").mapInArrow(enter, "shingle bigint, leader binary, low int, high int, rest int")
+    long, cut = frequent[chunks > 1], chunks[chunks > 1]
+    schema = "shingle bigint, leader binary, one int, two int, chunk int, low int, high int, rest int"
+    return led.select("leader", "packed").mapInArrow(enter, schema)
 
 
 def _rare_listed(sets: DataFrame, frequent: np.ndarray, threshold: Threshold) -> DataFrame:
@@ -483,28 +501,36 @@ def _block_pairs(
 def _candidates(entries: DataFrame, percent: int) -> DataFrame:
     """Distinct pairs of leaders ``(a, b)``, ``a < b``, from the index lists."""
 
+    def ends_of(table: pa.Table) -> np.ndarray:
+        """Where the lists of a table end: lists are of a shingle and a pair of chunks."""
+        shingle, one, two = (table.column(c).to_numpy() for c in ("shingle", "one", "two"))
+        changes = (shingle[1:] != shingle[:-1]) | (one[1:] != one[:-1]) | (two[1:] != two[:-1])
+        return np.append(np.flatnonzero(changes) + 1, len(shingle))
+
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         left = None
         for batch in batches:
             batch = pa.Table.from_batches([batch])
             left = batch if left is None else pa.concat_tables([left, batch])
-            tokens = left.column("shingle").to_numpy()
-            if not len(tokens):
+            if not left.num_rows:
                 continue
             # the last list may go on in the next batch
-            end = int(np.searchsorted(tokens, tokens[-1]))
-            if end:
-                yield from pairs(left.slice(0, end))
-                left = left.slice(end)
+            ends = ends_of(left)
+            if len(ends) > 1:
+                yield from pairs(left.slice(0, int(ends[-2])))
+                left = left.slice(int(ends[-2]))
         if left is not None and left.num_rows:
             yield from pairs(left)
 
     def pairs(table: pa.Table) -> Iterator[pa.RecordBatch]:
-        tokens = table.column("shingle").to_numpy()
         leader = table.column("leader").combine_chunks()
-        low, high, rest = (table.column(c).to_numpy().astype(np.int64) for c in ("low", "high", "rest"))
-        starts = np.flatnonzero(np.concatenate([[True], tokens[1:] != tokens[:-1]]))
-        sizes = np.diff(np.append(starts, len(tokens)))
+        names = ("low", "high", "rest", "chunk", "one", "two")
+        low, high, rest, chunk, one_, two_ = (table.column(c).to_numpy().astype(np.int64) for c in names)
+        ends = ends_of(table)
+        sizes = np.diff(np.append(0, ends))
+        starts = ends - sizes
+        # two entries of one chunk meet in the pair of that chunk with itself
+        alone = one_ == two_
         for size in range(2, _SHORT + 1):
             # lists of one length, all at once
             first = starts[sizes == size]
@@ -512,30 +538,40 @@ def _candidates(entries: DataFrame, percent: int) -> DataFrame:
                 for j in range(i + 1, size):
                     one, other = first + i, first + j
                     fits = _may_link(low[one], high[one], rest[one], low[other], high[other], rest[other], percent)
+                    fits &= alone[one] | (chunk[one] != chunk[other])
                     if fits.any():
                         yield named(leader, one[fits], other[fits])
-        for s, e in zip(starts[sizes > _SHORT].tolist(), (starts + sizes)[sizes > _SHORT].tolist(), strict=True):
+        for s, e in zip(starts[sizes > _SHORT].tolist(), ends[sizes > _SHORT].tolist(), strict=True):
             for one, other in _block_pairs(low[s:e], high[s:e], rest[s:e], percent):
-                yield named(leader, one + s, other + s)
+                one, other = one + s, other + s
+                if not alone[s]:
+                    kept = chunk[one] != chunk[other]
+                    one, other = one[kept], other[kept]
+                yield named(leader, one, other)
 
     def named(leader: pa.Array, one: np.ndarray, other: np.ndarray) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([leader.take(pa.array(one)), leader.take(pa.array(other))], ["a", "b"])
 
-    lists = entries.repartition("shingle").groupBy("shingle", "leader").agg(
-        F.min("low").alias("low"), F.max("high").alias("high"), F.max("rest").alias("rest")
+    lists = entries.repartition("shingle", "one", "two").groupBy("shingle", "one", "two", "leader").agg(
+        F.min("low").alias("low"), F.max("high").alias("high"), F.max("rest").alias("rest"), F.max("chunk").alias("chunk")
     )
-    ordered = lists.sortWithinPartitions("shingle", "low", "leader")
+    ordered = lists.sortWithinPartitions("shingle", "one", "two", "low", "leader")
     found = ordered.mapInArrow(meet, "a binary, b binary").where("a <> b")
     return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
 def _leader_links(
-    led: DataFrame, texts: DataFrame, frequent: np.ndarray, threshold: Threshold, scratch: Scratch
+    led: DataFrame,
+    texts: DataFrame,
+    frequent: np.ndarray,
+    chunks: np.ndarray,
+    threshold: Threshold,
+    scratch: Scratch,
 ) -> DataFrame:
     """Links ``(a, b)`` between leaders whose sets, or sets that they lead, link."""
     with_texts = texts.join(led.hint("shuffle_hash"), "sig")
     shared = _shared(with_texts, frequent, threshold)
-    entries = _listed(with_texts, frequent, shared, threshold)
+    entries = _listed(with_texts, frequent, chunks, shared, threshold)
     pairs = scratch.materialize(_candidates(entries, threshold.percent), "candidates")
 
     led_by = led.groupBy("leader").agg(F.min("n").alias("low"), F.max("lacking").alias("lacking"))
@@ -623,10 +659,11 @@ def similar_groups(
     # dealt by signature once, for all the joins that fetch texts
     parts = int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     texts = _packed_texts(documents, text, words).repartition(parts, "sig").persist(StorageLevel.DISK_ONLY)
-    frequent = _frequent(texts, threshold)
+    frequent, holding = _frequent(texts, threshold)
+    chunks = -(-holding // LONG_LIST)
     rated = sets.select("sig", "n", "least").join(_rare(texts, frequent, threshold), "sig")
     led = _with_leaders(scratch.materialize(rated, "rated-sets"), texts, threshold, scratch)
-    links = scratch.materialize(_leader_links(led, texts, frequent, threshold, scratch), "leader-links")
+    links = scratch.materialize(_leader_links(led, texts, frequent, chunks, threshold, scratch), "leader-links")
     texts.unpersist()
 
     groups = connected_components(links, scratch).withColumnsRenamed({"node": "leader", "component": "group"})

@@ -6,7 +6,6 @@ import cases
 import pyarrow as pa
 import public_tokenizers
 import pytest
-from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from fairweather.llm import decomposition, tokens

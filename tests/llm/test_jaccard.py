@@ -1,6 +1,6 @@
 import random
 import re
-from collections import Counter, defaultdict
+from collections import Counter
 
 import cases
 import pytest
@@ -78,6 +78,9 @@ def test_chains_families_and_passages_around_the_threshold(spark, seed, monkeypa
     # few sets make a frequent shingle here, so that the order matters
     monkeypatch.setattr(jaccard, "FREQUENT", 3)
     monkeypatch.setattr(jaccard, "BLOCK", 4)
+    # and lists are cut in chunks
+    monkeypatch.setattr(jaccard, "LONG_LIST", [3, 8192][seed])
+    monkeypatch.setattr(jaccard, "MEET_SALTS", [2, 32][seed])
     passage = [f"p{n}" for n in range(60)]
     rows = []
     for family in range(25):
@@ -114,7 +117,7 @@ def test_answers_are_derived_for_a_large_group_of_near_copies(spark):
     threshold = jaccard.Threshold()
     sets = jaccard._described(frame, "doc_id", "text", 4).select("sig", "n", "least").dropDuplicates(["sig"])
     texts = jaccard._packed_texts(frame, "text", 4)
-    frequent = jaccard._frequent(texts, threshold)
+    frequent, _ = jaccard._frequent(texts, threshold)
     sets = scratch.materialize(sets.join(jaccard._rare(texts, frequent, threshold), "sig"), "sets")
     led = jaccard._with_leaders(sets, texts, threshold, scratch)
     assert led.select("leader").distinct().count() < 20
