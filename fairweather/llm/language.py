@@ -18,6 +18,8 @@ DIMENSIONS = 1024
 UNKNOWN = "und"
 # Texts learnt per language, about: more are thinned by a hash of the text.
 TEXTS_PER_LANGUAGE = 20_000
+# Languages that are thinned, those with most texts; others are learnt as a whole.
+THINNED = 10_000
 _BLOCK = 4096
 
 
@@ -80,12 +82,20 @@ def learn(documents: DataFrame, text: str = "text", language: str = "lang") -> P
     part chosen by a hash is learnt.
     """
     labelled = documents.where(F.col(language).isNotNull() & F.col(text).isNotNull()).select(
-        F.col(text).alias("text"), F.col(language).alias("language")
+        F.col(text).alias("text"), F.col(language).cast("string").alias("language")
     )
+    # a text is drawn by its place in 2^20, of which a language with many texts wants a part
     counts = labelled.groupBy("language").agg(F.count(F.lit(1)).alias("texts"))
-    # a text is drawn by its place in 2^20, of which the language wants a part
-    wanted = F.least(F.lit(1.0), TEXTS_PER_LANGUAGE / F.col("texts")) * (1 << 20)
-    drawn = labelled.join(counts, "language").where(F.pmod(F.xxhash64("text"), F.lit(1 << 20)) < wanted)
+    many = counts.where(F.col("texts") > TEXTS_PER_LANGUAGE).orderBy(F.desc("texts"), "language")
+    thinned = [(row["language"], TEXTS_PER_LANGUAGE / row["texts"] * (1 << 20)) for row in many.limit(THINNED).collect()]
+    drawn = labelled
+    if thinned:
+        # at most THINNED short rows
+        wanted = documents.sparkSession.createDataFrame(thinned, "language string, wanted double")
+        place = F.pmod(F.xxhash64("text"), F.lit(1 << 20))
+        drawn = labelled.join(F.broadcast(wanted), "language", "left").where(
+            F.col("wanted").isNull() | (place < F.col("wanted"))
+        )
 
     def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         letters, sums = Letters(), {}
@@ -119,15 +129,6 @@ def learn(documents: DataFrame, text: str = "text", language: str = "lang") -> P
     return Profiles([str(name) for name in table.index], prototypes / np.where(lengths > 0, lengths, 1))
 
 
-def cosines_with(vectors: list[np.ndarray | None], profiles: Profiles) -> np.ndarray:
-    """Cosine of every text's vector with every prototype, zeros for texts without a vector."""
-    found = np.zeros((len(vectors), len(profiles.languages)))
-    for row, vector in enumerate(vectors):
-        if vector is not None:
-            found[row] = profiles.prototypes @ vector / (np.linalg.norm(vector) or 1.0)
-    return found
-
-
 def predict(
     documents: DataFrame,
     profiles: Profiles,
@@ -147,13 +148,15 @@ def predict(
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         letters = Letters()
         for batch in batches:
-            texts = batch.column(columns.index(text)).to_pylist()
-            vectors = [letters.bundle(t) if profiles.languages else None for t in texts]
-            cosines = cosines_with(vectors, profiles)
             languages, scores, margins = [], [], []
-            for vector, row in zip(vectors, cosines, strict=True):
-                second, best = np.clip(np.sort(np.append(row, 0.0))[-2:], 0.0, 1.0) if vector is not None else (0.0, 0.0)
-                languages.append(profiles.languages[int(np.argmax(row))] if vector is not None else UNKNOWN)
+            for value in batch.column(columns.index(text)).to_pylist():
+                vector = letters.bundle(value) if profiles.languages else None
+                language, best, second = UNKNOWN, 0.0, 0.0
+                if vector is not None:
+                    cosines = profiles.prototypes @ vector / (np.linalg.norm(vector) or 1.0)
+                    language = profiles.languages[int(np.argmax(cosines))]
+                    second, best = np.clip(np.sort(np.append(cosines, 0.0))[-2:], 0.0, 1.0)
+                languages.append(language)
                 scores.append(float(best))
                 margins.append(float(best - second))
             yield pa.RecordBatch.from_arrays(
