@@ -299,20 +299,25 @@ def _frequent(texts: DataFrame, threshold: Threshold) -> tuple[np.ndarray, np.nd
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingles, found, held = Shingles(threshold.words), [np.zeros(0, np.int64)], 0
+        # one array that is filled, sorted in place and filled again
+        shingles, found, held = Shingles(threshold.words), np.empty(_COUNTED, np.int64), 0
         for batch in batches:
             for own in _unpacked(batch, shingles):
-                found.append(own)
-                held += len(own)
-                if held > _COUNTED:
-                    yield counted(found)
-                    found, held = [np.zeros(0, np.int64)], 0
-        yield counted(found)
-
-    def counted(found: list[np.ndarray]) -> pa.RecordBatch:
-        values, counts = np.unique(np.concatenate(found), return_counts=True)
+                while len(own):
+                    taken = own[: _COUNTED - held]
+                    found[held : held + len(taken)] = taken
+                    held, own = held + len(taken), own[len(taken) :]
+                    if held == _COUNTED:
+                        yield counted(found)
+                        held = 0
+        yield counted(found[:held])
+
+    def counted(found: np.ndarray) -> pa.RecordBatch:
+        found.sort()
+        starts = np.flatnonzero(np.concatenate([[True][: len(found)], found[1:] != found[:-1]]))
+        counts = np.diff(np.append(starts, len(found)))
         again = counts > 1
-        return pa.RecordBatch.from_arrays([pa.array(values[again]), pa.array(counts[again])], ["shingle", "sets"])
+        return pa.RecordBatch.from_arrays([pa.array(found[starts[again]]), pa.array(counts[again])], ["shingle", "sets"])
 
     sums = texts.select("packed").mapInArrow(count, "shingle bigint, sets bigint").groupBy("shingle").agg(
         F.sum("sets").alias("sets")
@@ -420,21 +425,22 @@ def _listed(
             new = np.flatnonzero(np.concatenate([[True], (tokens[1:] != tokens[:-1]) | (owner[1:] != owner[:-1])]))
             low, high = np.minimum.reduceat(sizes, new), np.maximum.reduceat(sizes, new)
             tokens, owner, rests = tokens[new], owner[new], np.maximum.reduceat(rests, new)
-            copies = np.ones(len(tokens), np.int64)
+            one = two = chunk = np.zeros(len(tokens), np.int32)
             if len(long):
                 place = np.minimum(np.searchsorted(long, tokens), len(long) - 1)
                 copies = np.where(long[place] == tokens, cut[place], 1)
-            # the chunk of a leader is that of its signature
-            numbers = np.array([int.from_bytes(d[:4], "little") for d in leaders.dictionary.to_pylist()], np.int64)
-            chunk = numbers[owner] % copies
-            row = np.repeat(np.arange(len(tokens)), copies)
-            other = np.arange(len(row)) - np.repeat(np.cumsum(copies) - copies, copies)
-            ints = [np.minimum(chunk[row], other), np.maximum(chunk[row], other), chunk[row], low[row], high[row], rests[row]]
+                # the chunk of a leader is that of its signature
+                numbers = np.array([int.from_bytes(d[:4], "little") for d in leaders.dictionary.to_pylist()], np.int64)
+                row = np.repeat(np.arange(len(tokens)), copies)
+                other = np.arange(len(row)) - np.repeat(np.cumsum(copies) - copies, copies)
+                chunk = (numbers[owner] % copies)[row]
+                one, two = np.minimum(chunk, other), np.maximum(chunk, other)
+                tokens, owner, low, high, rests = (values[row] for values in (tokens, owner, low, high, rests))
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(tokens[row]),
-                    leaders.dictionary.take(pa.array(owner[row])),
-                    *[pa.array(values, pa.int32()) for values in ints],
+                    pa.array(tokens),
+                    leaders.dictionary.take(pa.array(owner)),
+                    *[pa.array(values, pa.int32()) for values in (one, two, chunk, low, high, rests)],
                 ],
                 ["shingle", "leader", "one", "two", "chunk", "low", "high", "rest"],
             )
