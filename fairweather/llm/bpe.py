@@ -28,39 +28,41 @@ LONG_WORD = 48
 KNOWN_WORDS = 600_000
 # Rows (a token of a word, or of a document) in one query.
 QUERY_ROWS = 2_000_000
+# Rows of a query that contracts short words: what its joins look up stays small.
+SHORT_ROWS = 400_000
 QUERY_MEMORY = "256MB"
 
-# A byte as a character that no text function treats in its own way.
-_BYTE_SHIFT = 0x100
-
 # Rank, place and length of a merge in one number, so that the least is the leftmost of
 # the least rank.
-_RANK, _PLACE = 1 << 45, 1 << 10
-_SIDE = 1 << 20
+_RANK_BIT, _PLACE_BIT = 45, 10
+_RANK, _PLACE = 1 << _RANK_BIT, 1 << _PLACE_BIT
+_SIDE_BIT = 20
+_SIDE = 1 << _SIDE_BIT
 _MOST_RANKS = 1 << 18
 
 # Words leave a place free between them, so that a place tells its word.
 _CONTRACT = f"""
 WITH RECURSIVE step(word, pos, token, size, done) AS (
-    SELECT word, pos, token, 1, false FROM start
+    SELECT word::INT, pos::INT, token::INT, 1::INT, false FROM start
     UNION ALL
     SELECT * FROM (
         WITH live AS (
             SELECT * FROM step WHERE NOT done
-        ), chosen AS (
-            SELECT a.word, min(m.merged * {_RANK} + a.pos * {_PLACE} + m.size) AS best
+        ), least AS (
+            SELECT a.word, min((m.merged << {_RANK_BIT}) | (a.pos::BIGINT << {_PLACE_BIT}) | m.size) AS best
             FROM live a
             JOIN live b ON b.pos = a.pos + a.size
-            JOIN merges m ON m.pair = a.token * {_SIDE} + b.token
+            JOIN merges m ON m.pair = (a.token::BIGINT << {_SIDE_BIT}) | b.token
             GROUP BY a.word
-        ), told AS (
-            SELECT s.word, s.pos, s.token, s.size, best // {_RANK} AS merged,
-                   best % {_RANK} // {_PLACE} AS place, best % {_PLACE} AS length
-            FROM live s LEFT JOIN chosen c ON c.word = s.word
+        ), chosen AS MATERIALIZED (
+            SELECT word, (best >> {_RANK_BIT})::INT AS merged,
+                   ((best & {_RANK - 1}) >> {_PLACE_BIT})::INT AS place, (best & {_PLACE - 1})::INT AS length
+            FROM least
         )
-        SELECT word, pos, CASE WHEN pos = place THEN merged ELSE token END,
+        SELECT s.word, pos, CASE WHEN pos = place THEN merged ELSE token END,
                CASE WHEN pos = place THEN length ELSE size END, merged IS NULL
-        FROM told WHERE merged IS NULL OR pos <= place OR pos >= place + length
+        FROM live s LEFT JOIN chosen c ON c.word = s.word
+        WHERE merged IS NULL OR pos <= place OR pos >= place + length
     )
 )
 SELECT word, token FROM step WHERE done ORDER BY pos
@@ -119,11 +121,7 @@ WITH RECURSIVE step(word, pos, token, size, done) AS (
 SELECT word, token FROM step WHERE done ORDER BY pos
 """
 
-_DECODE = """
-SELECT document, string_agg(piece, '' ORDER BY pos) AS bytes
-FROM tokens JOIN vocabulary USING (token)
-GROUP BY document ORDER BY document
-"""
+_DECODE = "SELECT piece FROM tokens JOIN vocabulary USING (token) ORDER BY pos"
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -157,6 +155,22 @@ def merge_tables(ranks: dict[bytes, int]) -> dict[str, np.ndarray]:
     return {"pair": pair, "merged": merged, "size": size, "single": single, "together": together}
 
 
+def _between(values: pa.LargeBinaryArray, bounds: np.ndarray) -> list[bytes]:
+    """What the values between each two bounds are, one after the other."""
+    if not len(values):
+        return [b""] * (len(bounds) - 1)
+    _, offsets, raw = values.buffers()
+    places = np.frombuffer(offsets, np.int64)[values.offset :][: len(values) + 1]
+    cuts = places[bounds].tolist()
+    whole = memoryview(raw or b"")
+    return [bytes(whole[a:b]) for a, b in zip(cuts, cuts[1:], strict=False)]
+
+
+def _gather(values: list[bytes], at: np.ndarray, bounds: np.ndarray) -> list[bytes]:
+    """For each text the values of its chunks, joined."""
+    return _between(pa.array(values, pa.large_binary()).take(pa.array(at)), bounds)
+
+
 class RecursiveBpe:
     """Encodes and decodes with one in-process database; ranks are the ids."""
 
@@ -170,7 +184,7 @@ class RecursiveBpe:
         # queries are of bounded size and never spill
         self.db = duckdb.connect(config={"threads": 1, "memory_limit": QUERY_MEMORY, "temp_directory": ""})
         self._table("merges", **{name: tables[name] for name in ("pair", "merged", "size")})
-        pieces = ["".join(chr(b + _BYTE_SHIFT) for b in token) for token in ranks]
+        pieces = pa.array(list(ranks), pa.binary())
         self._table("vocabulary", token=np.fromiter(ranks.values(), np.int32), piece=pieces)
         self.known: dict[str, tuple[bytes, bytes]] = {}
 
@@ -179,14 +193,14 @@ class RecursiveBpe:
         self.db.execute(f"CREATE OR REPLACE TABLE {table} AS SELECT * FROM given")
         self.db.unregister("given")
 
-    def _contract(self, query: str, raw: np.ndarray, lengths: np.ndarray) -> list[bytes]:
+    def _contract(self, query: str, raw: np.ndarray, lengths: np.ndarray, rows: int = QUERY_ROWS) -> list[bytes]:
         """Ids of words given as bytes one after the other, little-endian."""
         found: list[bytes] = []
         ends = np.concatenate([[0], np.cumsum(lengths)])
         start = 0
         while start < len(lengths):
             # at least one word, and as many as fit a query
-            stop = max(start + 1, int(np.searchsorted(ends, ends[start] + QUERY_ROWS // 4, "right")) - 1)
+            stop = max(start + 1, int(np.searchsorted(ends, ends[start] + rows // 4, "right")) - 1)
             word = np.repeat(np.arange(stop - start), lengths[start:stop])
             part = raw[ends[start] : ends[stop]]
             given = pa.table({"word": word, "pos": np.arange(len(part)) + word, "token": self.single[part]})
@@ -216,9 +230,11 @@ class RecursiveBpe:
         """Ids of words, little-endian. A word that is a token itself is that token."""
         found: list[bytes] = [np.uint32(self.ranks[w]).tobytes() if w in self.ranks else b"" for w in words]
         short = [n for n, w in enumerate(words) if not found[n] and 0 < len(w) <= LONG_WORD]
+        # words of a length take about as many steps
+        short.sort(key=lambda n: len(words[n]))
         raw = np.frombuffer(b"".join([words[n] for n in short]), np.uint8)
         lengths = np.array([len(words[n]) for n in short], np.int64)
-        for n, ids in zip(short, self._contract(_CONTRACT, raw, lengths), strict=True):
+        for n, ids in zip(short, self._contract(_CONTRACT, raw, lengths, SHORT_ROWS), strict=True):
             found[n] = ids
         for n, w in enumerate(words):
             if not found[n] and len(w) > LONG_WORD:
@@ -262,11 +278,7 @@ class RecursiveBpe:
 
     def _slice(self, texts: pa.Array) -> Iterator[tuple[bytes, bytes]]:
         distinct, at, bounds = split_column(texts)
-        ids, decoded = self.chunks(distinct)
-        cuts = bounds.tolist()
-        for a, b in zip(cuts, cuts[1:], strict=False):
-            own = at[a:b].tolist()
-            yield b"".join(map(ids.__getitem__, own)), b"".join(map(decoded.__getitem__, own))
+        yield from zip(*(_gather(values, at, bounds) for values in self.chunks(distinct)), strict=True)
 
     def decode(self, documents: list[bytes]) -> Iterator[bytes]:
         """Bytes of documents given as little-endian unsigned 32-bit ids."""
@@ -288,13 +300,11 @@ class RecursiveBpe:
                     }
                 ),
             )
-            found = dict(self.db.execute(_DECODE).fetchall())
+            found = self.db.sql(_DECODE).to_arrow_table().column("piece")
             self.db.unregister("tokens")
-            texts = [found.get(n, "") for n in range(len(part))]
-            raw = (np.frombuffer("".join(texts).encode("utf-16-le"), "<u2") - _BYTE_SHIFT).astype(np.uint8).tobytes()
-            ends = list(itertools.accumulate(map(len, texts)))
-            for a, b in zip([0, *ends], ends, strict=False):
-                yield raw[a:b]
+            pieces = pa.concat_arrays([pa.array([], pa.large_binary()), *found.cast(pa.large_binary()).chunks])
+            ends = np.concatenate([[0], np.cumsum(sizes)])
+            yield from _between(pieces, ends)
             start = stop
 
 

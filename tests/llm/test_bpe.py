@@ -109,3 +109,26 @@ def test_ids_are_returned_and_other_columns_left_alone(spark, library):
 def test_an_empty_table(spark, tmp_path):
     cases.documents(spark, tmp_path, rows=[])
     assert cases.run(spark, "op5_recursive_bpe", tmp_path) == []
+
+
+def test_short_words_of_a_length_share_small_queries(library, monkeypatch):
+    own = bpe.RecursiveBpe(bpe.read_ranks(RANKS), public_tokenizers.PATTERN)
+    monkeypatch.setattr(bpe, "SHORT_ROWS", 400)
+    asked, register = [], own.db.register
+
+    class Database:
+        def register(self, name, table):
+            if name == "start":
+                asked.append(Counter(table.column("word").to_pylist()))
+            return register(name, table)
+
+        def __getattr__(self, name):
+            return getattr(type(own.db_itself), name).__get__(own.db_itself)
+
+    own.db_itself, own.db = own.db, Database()
+    draw = random.Random(3)
+    words = ["".join(draw.choices("abcdeé", k=draw.randint(2, 20))) for _ in range(200)]
+    found = own.words([w.encode() for w in words])
+    assert [ids(f) for f in found] == [library.encode_ordinary(w) for w in words]
+    lengths = [n for query in asked for _, n in sorted(query.items())]
+    assert lengths == sorted(lengths) and max(q.total() for q in asked) <= 100 and len(asked) > 10
