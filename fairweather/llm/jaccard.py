@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
 from fairweather.llm.components import connected_components
+from fairweather.llm.tokens import batch_slices
 from fairweather.session import Scratch
 
 # How many hashes of a set are tried to find it a leader.
@@ -141,7 +142,7 @@ def _described(documents: DataFrame, key: str, text: str, words: int) -> DataFra
 
         shingles = Shingles(words)
         seeds = np.array([pow(0xD1342543DE82EF95, k + 1, 1 << 64) for k in range(LEADER_ROUNDS)], np.uint64)
-        for batch in batches:
+        for batch in batch_slices(batches, 1):
             sizes, signatures, least = [], [], []
             for value in batch.column(1).to_pylist():
                 found = shingles(value)
@@ -171,7 +172,7 @@ def _packed_texts(documents: DataFrame, text: str, words: int) -> DataFrame:
         from zstandard import ZstdCompressor
 
         shingles, compress, seen = Shingles(words), ZstdCompressor(level=3).compress, set()
-        for batch in batches:
+        for batch in batch_slices(batches, 0):
             signatures, packed = [], []
             for value in batch.column(0).to_pylist():
                 found = shingles(value)

@@ -14,6 +14,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from fairweather.llm.tokens import batch_slices
+
 DIMENSIONS = 1024
 UNKNOWN = "und"
 # Texts learnt per language, about: more are thinned by a hash of the text.
@@ -99,7 +101,7 @@ def learn(documents: DataFrame, text: str = "text", language: str = "lang") -> P
 
     def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         letters, sums = Letters(), {}
-        for batch in batches:
+        for batch in batch_slices(batches, 0):
             for value, label in zip(*map(pa.Array.to_pylist, batch.columns), strict=True):
                 vector = letters.bundle(value)
                 if vector is not None:
@@ -147,7 +149,7 @@ def predict(
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         letters = Letters()
-        for batch in batches:
+        for batch in batch_slices(batches, columns.index(text)):
             languages, scores, margins = [], [], []
             for value in batch.column(columns.index(text)).to_pylist():
                 vector = letters.bundle(value) if profiles.languages else None

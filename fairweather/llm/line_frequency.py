@@ -13,6 +13,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from fairweather.llm.tokens import batch_slices
 from fairweather.session import Scratch
 
 SPACE = b" \t\n\x0b\x0c\r"
@@ -88,7 +89,7 @@ def _measured(documents: DataFrame, text: str, host: str, keep: list[str]) -> Da
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from xxhash import xxh3_128_digest
 
-        for batch in batches:
+        for batch in batch_slices(batches, 0):
             statistics, lines, hashes = [], [], []
             for value in batch.column(0).to_pylist():
                 value = value or ""

@@ -17,6 +17,8 @@ import pyarrow.compute as pc
 CACHED_CHUNKS, CACHED_CHARS = 300_000, 64
 # Texts of about so many bytes are split together.
 SLICE_BYTES = 4 << 20
+# Texts of about so many bytes are objects of Python at a time, where all of a batch need not be.
+BATCH_BYTES = 1 << 20
 _CHUNK_START = re.compile(r" (?=\S)")
 
 
@@ -101,6 +103,18 @@ def slices(texts: pa.Array, size: int) -> Iterator[pa.Array]:
         start = stop
 
 
+def batch_slices(batches: Iterable[pa.RecordBatch], column: int, size: int = BATCH_BYTES) -> Iterator[pa.RecordBatch]:
+    """Batches cut to about ``size`` bytes in a column of texts, and to one row at least."""
+    for batch in batches:
+        ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+        start = 0
+        while start < len(ends):
+            taken = ends[start - 1] if start else 0
+            stop = max(start + 1, int(np.searchsorted(ends, taken + size, "right")))
+            yield batch.slice(start, stop - start)
+            start = stop
+
+
 def segments(text: str, size: int) -> Iterator[str]:
     """A text in segments of at least ``size`` characters, cut where a chunk starts."""
     at = 0

@@ -2,9 +2,11 @@ import re
 from collections import Counter, defaultdict
 
 import cases
+import pyarrow as pa
 import pytest
 
 from fairweather.llm import line_frequency as lf
+from fairweather.llm import tokens
 from fairweather.session import Scratch
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -103,3 +105,20 @@ def test_the_query(spark, tmp_path):
     assert len(rows) == 200 and sum(r["kept"] for r in rows) > 140
     cases.documents(spark, tmp_path, rows=[])
     assert cases.run(spark, "op9_line_frequency_rules", tmp_path) == []
+
+
+def test_a_batch_is_measured_in_parts_of_few_bytes(spark, monkeypatch):
+    docs = spark.createDataFrame([(1, "s", "text")], "doc_id int, source string, text string")
+    measures, real = [], type(docs).mapInArrow
+    monkeypatch.setattr(type(docs), "mapInArrow", lambda frame, f, schema: measures.append(f) or real(frame, f, schema))
+    lf._measured(docs, "text", "source", ["doc_id"])
+    texts = [None, "", "a b c\n" * 400_000, *["some words " * 1000] * 300, "d"]
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array(texts, pa.string()), pa.array(["s"] * len(texts)), pa.array(range(len(texts)), pa.int32())],
+        ["_whole", "_host", "k0"],
+    )
+    parts = list(measures[0](iter([batch.slice(0, 0), batch])))
+    assert [n for p in parts for n in p.column("k0").to_pylist()] == list(range(len(texts)))
+    assert [n for p in parts for n in p.column("n_words").to_pylist()] == [len((t or "").split()) for t in texts]
+    sizes = [sum(len(texts[n] or "") for n in p.column("k0").to_pylist()) for p in parts]
+    assert all(size <= tokens.BATCH_BYTES or p.num_rows == 1 for size, p in zip(sizes, parts, strict=True))
